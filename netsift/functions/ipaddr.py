@@ -90,24 +90,30 @@ def v4_to_hex(c) -> Column:
 
 def _expand_v6(s: Column) -> Column:
     """Lower-case IPv6 text without zone and dotted quad -> 32 hex digits or NULL."""
-    has_dc = F.instr(s, "::") > 0
-    left = F.substring_index(s, "::", 1)
-    right = F.substring_index(s, "::", -1)
-    n_left = F.when(left == "", 0).otherwise(F.size(F.split(left, ":")))
-    n_right = F.when(right == "", 0).otherwise(F.size(F.split(right, ":")))
-    k = 8 - n_left - n_right
-    zeros = F.expr("substring(repeat('0:', 8), 1, 15)").substr(F.lit(1), k * 2 - 1)
-    expanded = F.when(
-        has_dc & (k >= 1),
-        F.concat_ws(":", F.nullif(left, F.lit("")), zeros, F.nullif(right, F.lit(""))),
-    ).when(~has_dc, s)
-    ok = expanded.rlike(r"^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$") & (F.size(F.split(s, "::")) <= 2)
+
+    def expand(parts: Column) -> Column:
+        # parts: [text before '::', text after '::', whole text]
+        left, right, whole = parts.getItem(0), parts.getItem(1), parts.getItem(2)
+        n_left = F.when(left == "", 0).otherwise(F.size(F.split(left, ":")))
+        n_right = F.when(right == "", 0).otherwise(F.size(F.split(right, ":")))
+        k = 8 - n_left - n_right
+        zeros = F.lit("0:0:0:0:0:0:0:0").substr(F.lit(1), k * 2 - 1)
+        compressed = F.when(
+            k >= 1, F.concat_ws(":", F.nullif(left, F.lit("")), zeros, F.nullif(right, F.lit("")))
+        )
+        return F.when(F.instr(whole, "::") > 0, compressed).otherwise(whole)
+
+    parts = F.array(F.substring_index(s, "::", 1), F.substring_index(s, "::", -1), s)
+    expanded = let(parts, expand)
 
     def pad(e: Column) -> Column:
         g = F.split(e, ":")
-        return F.concat(*[F.lpad(g.getItem(i), 4, "0") for i in range(8)])
+        return F.when(
+            e.rlike(r"^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"),
+            F.concat(*[F.lpad(g.getItem(i), 4, "0") for i in range(8)]),
+        )
 
-    return F.when(ok, let(expanded, pad))
+    return let(expanded, pad)
 
 
 def v6_to_hex(c) -> Column:
@@ -119,17 +125,15 @@ def v6_to_hex(c) -> Column:
 
     def convert(s: Column) -> Column:
         quad = F.regexp_extract(s, r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$", 1)
-        q = v4_to_long(quad)
-        with_quad = F.concat(
-            s.substr(F.lit(1), F.length(s) - F.length(quad)),
-            F.lower(F.hex(F.shiftright(q, 16))),
-            F.lit(":"),
-            F.lower(F.hex(q.bitwiseAND(65535))),
-        )
-        return F.when(quad == "", _expand_v6(s)).when(q.isNotNull(), _expand_v6(with_quad))
+
+        def with_quad(q: Column) -> Column:
+            groups = F.concat(F.lower(F.hex(F.shiftright(q, 16))), F.lit(":"), F.lower(F.hex(q.bitwiseAND(65535))))
+            return F.when(quad == "", s).when(q.isNotNull(), F.concat(s.substr(F.lit(1), F.length(s) - F.length(quad)), groups))
+
+        return _expand_v6(let(v4_to_long(quad), with_quad))
 
     s = F.regexp_replace(F.lower(java_trim(c)), "%.*$", "")
-    return F.when(is_v6(c), let(s, convert))
+    return F.when(is_v6(c) & (F.size(F.split(s, "::")) <= 2), let(s, convert))
 
 
 def hex_to_v6(h) -> Column:

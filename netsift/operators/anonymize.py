@@ -45,7 +45,7 @@ def address_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def sensitive_ips(
     df: DataFrame,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
-    policy: DataFrame | None = None,
+    policy: pol.Policy | None = None,
     *,
     plan: str = "auto",
 ) -> DataFrame:
@@ -93,7 +93,7 @@ def apply_mapping(
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     mapping: DataFrame | None = None,
     *,
-    policy: DataFrame | None = None,
+    policy: pol.Policy | None = None,
     key: bytes | None = None,
     strategy: str = "auto",
     strict: bool = False,
@@ -156,9 +156,13 @@ def apply_mapping(
 
 
 def reverse_mapping(mapping: DataFrame) -> DataFrame:
-    """``obfuscated_ip -> original_ip`` with one canonical original per pseudonym."""
-    canon = ipaddr.ip_text(ipaddr.ip_family("original_ip"), ipaddr.ip_key("original_ip"))
-    return mapping.select(F.col("obfuscated_ip"), canon.alias("original_ip")).dropDuplicates(["obfuscated_ip"])
+    """``obfuscated_ip -> original_ip``, one original per pseudonym.
+
+    The original text is given back as it was seen. Several texts of one
+    address (``::1`` and ``0:0:0:0:0:0:0:1``) share a pseudonym; the least
+    text is then returned, so the answer is deterministic.
+    """
+    return mapping.groupBy("obfuscated_ip").agg(F.min("original_ip").alias("original_ip"))
 
 
 def deanonymize(

@@ -26,6 +26,7 @@ broadcast or compiled into an expression.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,68 +49,91 @@ def policy_lines(spark: SparkSession, lines: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(str(x),) for x in lines], "value string")
 
 
-def _v4_subnet(base: Column, bits: Column, include_edges: bool) -> tuple[Column, Column]:
-    n = ipaddr.v4_to_long(base)
-    host_bits = F.lit(32) - bits
-    size = F.pow(F.lit(2), host_bits).cast("bigint")
-    net = F.floor(n / size).cast("bigint") * size
-    bcast = net + size - 1
-    if include_edges:
-        return net, bcast
-    return net + 1, bcast - 1
-
-
-def _v6_subnet(base: Column, bits: Column) -> tuple[Column, Column]:
-    b = ipaddr.hex_to_bits(ipaddr.v6_to_hex(base), 32)
-    head = b.substr(F.lit(1), bits)
-    lo = ipaddr.bits_to_hex(F.rpad(head, 128, "0"), 32)
-    hi = ipaddr.bits_to_hex(F.rpad(head, 128, "1"), 32)
-    return lo, hi
-
-
 def compile_rules(rules: DataFrame, *, include_edges: bool = False, column: str = "value") -> DataFrame:
-    """Policy text lines -> ``rule, kind, family, lo, hi`` (NULL bounds for a bad rule)."""
+    """Policy text lines -> ``rule, kind, family, lo, hi, empty`` (NULL bounds for a bad rule).
+
+    Built in stages of named columns so that each address conversion appears
+    once in the plan.
+    """
     r = ipaddr.java_trim(F.col(column))
     df = rules.select(r.alias("rule")).filter(F.col("rule") != "")
     rule = F.col("rule")
     kind = F.when(F.instr(rule, ",") > 0, "range").when(F.instr(rule, "/") > 0, "subnet").otherwise("single")
-    a = ipaddr.java_trim(F.substring_index(rule, ",", 1))
-    b = ipaddr.java_trim(F.substring_index(F.substring_index(rule, ",", 2), ",", -1))
-    base = ipaddr.java_trim(F.substring_index(rule, "/", 1))
-    bits = ipaddr.java_trim(F.substring_index(rule, "/", -1)).try_cast("int")
-    first = F.when(kind == "subnet", base).otherwise(a)
-    df = df.select("rule", kind.alias("kind"), F.when(ipaddr.is_v6(first), V6).otherwise(V4).alias("family"),
-                   a.alias("_a"), b.alias("_b"), base.alias("_base"), bits.alias("_bits"))
+    df = df.select(
+        "rule",
+        kind.alias("kind"),
+        ipaddr.java_trim(F.substring_index(rule, ",", 1)).alias("_a"),
+        ipaddr.java_trim(F.substring_index(F.substring_index(rule, ",", 2), ",", -1)).alias("_b"),
+        ipaddr.java_trim(F.substring_index(rule, "/", 1)).alias("_base"),
+        ipaddr.java_trim(F.substring_index(rule, "/", -1)).try_cast("int").alias("_bits"),
+    )
+    first = F.when(F.col("kind") == "subnet", F.col("_base")).otherwise(F.col("_a"))
+    df = df.select(
+        "*",
+        F.when(ipaddr.is_v6(first), V6).otherwise(V4).alias("family"),
+        ipaddr.v4_to_hex("_a").alias("_ka4"),
+        ipaddr.v4_to_hex("_b").alias("_kb4"),
+        ipaddr.v6_to_hex("_a").alias("_ka6"),
+        ipaddr.v6_to_hex("_b").alias("_kb6"),
+        ipaddr.v4_to_long("_base").alias("_n4"),
+        ipaddr.v6_to_hex("_base").alias("_h6"),
+    )
+    # IPv4 subnet bounds by arithmetic; IPv6 prefix bounds on the 128-bit string
+    size = F.pow(F.lit(2), F.lit(32) - F.col("_bits")).cast("bigint")
+    net = F.floor(F.col("_n4") / size).cast("bigint") * size
+    df = df.select("*", net.alias("_net"), (net + size - 1).alias("_bcast"), ipaddr.hex_to_bits("_h6", 32).alias("_b6"))
+    head = F.col("_b6").substr(F.lit(1), F.col("_bits"))
+    lo4 = F.col("_net") if include_edges else F.col("_net") + 1
+    hi4 = F.col("_bcast") if include_edges else F.col("_bcast") - 1
+    df = df.select(
+        "*",
+        F.rpad(head, 128, "0").alias("_lob6"),
+        F.rpad(head, 128, "1").alias("_hib6"),
+        lo4.alias("_s4lo"),
+        hi4.alias("_s4hi"),
+    )
+    df = df.select(
+        "*",
+        ipaddr.bits_to_hex("_lob6", 32).alias("_s6lo"),
+        ipaddr.bits_to_hex("_hib6", 32).alias("_s6hi"),
+    )
     fam, k = F.col("family"), F.col("kind")
-    ka4, kb4 = ipaddr.v4_to_hex("_a"), ipaddr.v4_to_hex("_b")
-    ka6, kb6 = ipaddr.v6_to_hex("_a"), ipaddr.v6_to_hex("_b")
-    s4lo, s4hi = _v4_subnet(F.col("_base"), F.col("_bits"), include_edges)
-    s6lo, s6hi = _v6_subnet(F.col("_base"), F.col("_bits"))
-    bits_ok4 = F.col("_bits").between(0, 32)
-    bits_ok6 = F.col("_bits").between(0, 128)
+    ka4, kb4, ka6, kb6 = F.col("_ka4"), F.col("_kb4"), F.col("_ka6"), F.col("_kb6")
+    bits_ok4 = F.col("_bits").between(0, 32) & F.col("_n4").isNotNull()
+    bits_ok6 = F.col("_bits").between(0, 128) & F.col("_h6").isNotNull()
+    v4sub = (fam == V4) & (k == "subnet") & bits_ok4
+    # a host-only IPv4 subnet of /31 or /32 holds no address: an empty rule, not a bad one
+    empty = v4sub & (F.col("_s4lo") > F.col("_s4hi"))
     lo = (
         F.when((fam == V4) & (k == "single"), ka4)
-        .when((fam == V4) & (k == "range"), F.least(ka4, kb4))
-        .when((fam == V4) & (k == "subnet") & bits_ok4, ipaddr.long_to_hex(s4lo, 8))
+        .when((fam == V4) & (k == "range") & kb4.isNotNull(), F.least(ka4, kb4))
+        .when(v4sub & ~empty, ipaddr.long_to_hex("_s4lo", 8))
         .when((fam == V6) & (k == "single"), ka6)
-        .when((fam == V6) & (k == "range"), F.least(ka6, kb6))
-        .when((fam == V6) & (k == "subnet") & bits_ok6 & ipaddr.v6_to_hex("_base").isNotNull(), s6lo)
+        .when((fam == V6) & (k == "range") & kb6.isNotNull(), F.least(ka6, kb6))
+        .when((fam == V6) & (k == "subnet") & bits_ok6, F.col("_s6lo"))
     )
     hi = (
         F.when((fam == V4) & (k == "single"), ka4)
-        .when((fam == V4) & (k == "range"), F.greatest(ka4, kb4))
-        .when((fam == V4) & (k == "subnet") & bits_ok4, ipaddr.long_to_hex(s4hi, 8))
+        .when((fam == V4) & (k == "range") & kb4.isNotNull(), F.greatest(ka4, kb4))
+        .when(v4sub & ~empty, ipaddr.long_to_hex("_s4hi", 8))
         .when((fam == V6) & (k == "single"), ka6)
-        .when((fam == V6) & (k == "range"), F.greatest(ka6, kb6))
-        .when((fam == V6) & (k == "subnet") & bits_ok6 & ipaddr.v6_to_hex("_base").isNotNull(), s6hi)
+        .when((fam == V6) & (k == "range") & kb6.isNotNull(), F.greatest(ka6, kb6))
+        .when((fam == V6) & (k == "subnet") & bits_ok6, F.col("_s6hi"))
     )
-    # a range needs both ends valid; an IPv4 subnet below /31 has negative host count
-    valid_range = (k != "range") | (ka4.isNotNull() & kb4.isNotNull()) | (ka6.isNotNull() & kb6.isNotNull())
-    # a v4 host-only subnet of /31 or /32 holds no address: an empty rule, not a bad one
-    empty = (fam == V4) & (k == "subnet") & bits_ok4 & (s4lo > s4hi) & ipaddr.v4_to_long("_base").isNotNull()
-    lo = F.when(valid_range & ~empty, lo)
-    hi = F.when(valid_range & ~empty, hi)
-    return df.select("rule", "kind", "family", lo.alias("lo"), hi.alias("hi"), empty.alias("empty"))
+    return df.select("rule", "kind", "family", lo.alias("lo"), hi.alias("hi"), F.coalesce(empty, F.lit(False)).alias("empty"))
+
+
+@dataclass
+class Policy:
+    """A compiled policy: merged, disjoint intervals, materialized once.
+
+    ``rows`` holds the intervals on the driver when there are at most
+    ``MAX_OR_INTERVALS`` of them (for the OR predicate); ``n`` is their count.
+    """
+
+    intervals: DataFrame
+    n: int
+    rows: list | None
 
 
 def read_policy(
@@ -121,8 +145,9 @@ def read_policy(
     default: bool = False,
     strict: bool = True,
     max_rules: int = MAX_RULES,
-) -> DataFrame:
-    """Policy file (or inline lines) -> intervals ``family, lo, hi, rule``.
+    max_or_intervals: int = MAX_OR_INTERVALS,
+) -> Policy:
+    """Policy file (or inline lines) -> compiled ``Policy``.
 
     ``default=True`` with no path gives the built-in default policy. A missing
     file is an error (never a silent default). With ``strict`` a rule that
@@ -136,15 +161,25 @@ def read_policy(
         text = policy_lines(spark, schemas.DEFAULT_POLICY_LINES)
     else:
         raise ValueError("read_policy needs a path, inline lines, or default=True")
-    compiled = compile_rules(text, include_edges=include_edges)
-    if strict:
+    from netsift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    # The rules are computed once; the reliable checkpoint also stops later
+    # filters from being pushed into (and multiplying) the address conversions.
+    compiled = compile_rules(text, include_edges=include_edges).checkpoint(eager=True)
+    stats = compiled.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("lo").isNull() & ~F.col("empty"), 1).otherwise(0)).alias("bad"),
+    ).first()
+    if stats.n > max_rules:
+        raise ValueError(f"policy has {stats.n} rules, more than max_rules={max_rules}")
+    if strict and stats.bad:
         bad = compiled.filter(F.col("lo").isNull() & ~F.col("empty")).select("rule").limit(5).collect()
-        if bad:
-            raise ValueError(f"policy rules that do not parse: {[r.rule for r in bad]}")
-    n = compiled.count()
-    if n > max_rules:
-        raise ValueError(f"policy has {n} rules, more than max_rules={max_rules}")
-    return compiled.filter(F.col("lo").isNotNull()).select("family", "lo", "hi", "rule")
+        raise ValueError(f"policy rules that do not parse: {[r.rule for r in bad]}")
+    merged = merge_intervals(compiled.filter(F.col("lo").isNotNull())).checkpoint(eager=True)
+    n = merged.count()
+    rows = merged.collect() if n <= max_or_intervals else None
+    return Policy(merged, n, rows)
 
 
 def merge_intervals(policy: DataFrame) -> DataFrame:
@@ -212,11 +247,10 @@ def address_key(df: DataFrame, column: str, prefix: str = "_") -> DataFrame:
 def match_policy(
     df: DataFrame,
     column: str,
-    policy: DataFrame,
+    policy: Policy,
     *,
     plan: str = "auto",
     out: str | None = None,
-    merged: bool = False,
     max_or_intervals: int = MAX_OR_INTERVALS,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
@@ -226,13 +260,13 @@ def match_policy(
     dropped, whatever the plan.
     """
     out = out or f"{column}_sensitive"
-    intervals = policy if merged else merge_intervals(policy)
+    intervals = policy.intervals
     keyed = address_key(df, column)
     fam, key = F.col(f"_{column}_fam"), F.col(f"_{column}_key")
     if plan == "auto":
-        plan = "or" if intervals.count() <= max_or_intervals else "bucket"
+        plan = "or" if policy.rows is not None and policy.n <= max_or_intervals else "bucket"
     if plan == "or":
-        rows = _checked_rows(intervals, max_or_intervals, "policy intervals for an OR predicate")
+        rows = policy.rows if policy.rows is not None else _checked_rows(intervals, max_or_intervals, "policy intervals")
         result = keyed.withColumn(out, F.coalesce(or_predicate(key, fam, rows), F.lit(False)))
     elif plan == "bucket":
         wide = _checked_rows(wide_intervals(intervals), max_or_intervals, "wide policy intervals")
@@ -253,9 +287,8 @@ def match_policy(
         hit = F.col("_plo").isNotNull() | F.coalesce(or_predicate(key, fam, wide), F.lit(False))
         result = joined.withColumn(out, hit).drop("_pf", "_pb", "_plo", "_phi", f"_{column}_bucket")
     elif plan == "range":
-        rows_n = intervals.count()
-        if rows_n > max_broadcast_rows:
-            raise ValueError(f"policy has {rows_n} intervals, above max_broadcast_rows={max_broadcast_rows}")
+        if policy.n > max_broadcast_rows:
+            raise ValueError(f"policy has {policy.n} intervals, above max_broadcast_rows={max_broadcast_rows}")
         p = intervals.select(F.col("family").alias("_pf"), F.col("lo").alias("_plo"), F.col("hi").alias("_phi"))
         joined = keyed.join(F.broadcast(p), (fam == F.col("_pf")) & key.between(F.col("_plo"), F.col("_phi")), "left")
         result = joined.withColumn(out, F.col("_plo").isNotNull()).drop("_pf", "_plo", "_phi")

@@ -28,4 +28,10 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that its queries register."""
-    from netsift.plans import netflow_queries, ordering_queries, syslog_queries, streaming_queries  # noqa: F401
+    from netsift.plans import (  # noqa: F401
+        anonymize_queries,
+        netflow_queries,
+        ordering_queries,
+        streaming_queries,
+        syslog_queries,
+    )
