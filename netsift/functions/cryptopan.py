@@ -8,8 +8,9 @@ The pseudonym is address XOR pad bits, so two addresses sharing a k-bit prefix
 map to pseudonyms sharing a k-bit prefix, and the map is a bijection.
 
 Built from Spark's ``aes_encrypt`` inside ``transform``/``aggregate`` lambdas:
-one AES call per bit (32 for IPv4, 128 for IPv6), all inside the JVM. Run it
-on distinct addresses, not on every flow cell.
+one AES call per bit (32 for IPv4, 128 for IPv6), all inside the JVM. The pad
+is a constant expression that Catalyst folds. Run it on distinct addresses,
+not on every flow cell.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from netsift.functions import ipaddr
+from netsift.functions import ipaddr as ip
 
 _WORD = 0xFFFFFFFF
+# masks[r]: a 32-bit word with its top r bits set, r = 0..31
+_MASKS = "array(" + ", ".join(f"CAST({(_WORD << (32 - r)) & _WORD} AS BIGINT)" for r in range(32)) + ")"
 
 
 def _check_key(key: bytes) -> bytes:
@@ -28,94 +31,85 @@ def _check_key(key: bytes) -> bytes:
     return bytes(key)
 
 
-def _aes_top_bit(block_hex: Column, aes_key: bytes) -> Column:
-    """1 when the first bit of AES-ECB(block) is set, else 0."""
-    enc = F.aes_encrypt(F.unhex(block_hex), F.lit(aes_key), F.lit("ECB"), F.lit("PKCS"))
-    return F.when(F.hex(F.substring(enc, 1, 1)) >= F.lit("80"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+def _aes_key(key: bytes) -> str:
+    return f"X'{key[:16].hex()}'"
+
 
+def _pad_hex(key: bytes) -> str:
+    """32 hex digits of the encrypted pad (a constant-folded expression)."""
+    return f"hex(substring(aes_encrypt(X'{key[16:].hex()}', {_aes_key(key)}, 'ECB', 'PKCS'), 1, 16))"
 
-def _pad_words(key: bytes) -> list[Column]:
-    """The encrypted pad as four 32-bit words (constant-folded by Catalyst)."""
-    pad = F.aes_encrypt(F.lit(key[16:]), F.lit(key[:16]), F.lit("ECB"), F.lit("PKCS"))
-    pad_hex = F.hex(F.substring(pad, 1, 16))
-    return [ipaddr.hex_to_long(pad_hex.substr(1 + 8 * j, 8)) for j in range(4)]
 
+def _pad_word(key: bytes, j: int) -> str:
+    return ip.hex_to_long_sql(f"substr({_pad_hex(key)}, {1 + 8 * j}, 8)")
 
-def _top_mask(r: Column) -> Column:
-    """32-bit word with the top r bits set (r in 0..31), from a literal table."""
-    masks = F.array(*[F.lit((_WORD << (32 - k)) & _WORD).cast("bigint") for k in range(32)])
-    return F.element_at(masks, r + 1)
+
+def _top_bit(block_hex: str, key: bytes) -> str:
+    """1 when the first bit of AES-ECB(block) is set, else 0."""
+    enc = f"aes_encrypt(unhex({block_hex}), {_aes_key(key)}, 'ECB', 'PKCS')"
+    return f"CAST(hex(substring({enc}, 1, 1)) >= '80' AS BIGINT)"
 
 
-def _mixed_word(addr_w: Column, pad_w: Column, r: Column) -> Column:
-    m = _top_mask(r)
-    return addr_w.bitwiseAND(m).bitwiseOR(pad_w.bitwiseAND(F.lit(_WORD) - m))
+def _mixed(addr_w: str, pad_w: str, r: str) -> str:
+    m = f"element_at({_MASKS}, {r} + 1)"
+    return f"(({addr_w} & {m}) | ({pad_w} & ({_WORD} - {m})))"
 
 
-def _bits_to_word(bits: Column, offset: int) -> Column:
-    """Fold 32 bits (0/1 bigint array, starting at 1-based offset) into a word."""
-    return F.aggregate(F.slice(bits, offset, 32), F.lit(0).cast("bigint"), lambda a, b: a * 2 + b)
+def _fold(bits: str, offset: int) -> str:
+    acc, b = ip.fresh("acc"), ip.fresh("b")
+    return f"aggregate(slice({bits}, {offset}, 32), CAST(0 AS BIGINT), ({acc}, {b}) -> {acc} * 2 + {b})"
 
 
-def cryptopan_v4_long(addr: Column, key: bytes) -> Column:
+def cryptopan_v4_sql(addr: str, key: bytes) -> str:
     """bigint IPv4 address -> bigint pseudonym."""
     key = _check_key(key)
-    aes_key = key[:16]
-    p = _pad_words(key)
-    pad_rest = F.concat(*[ipaddr.long_to_hex(w, 8) for w in p[1:]])
+    pad_rest = f"substr({_pad_hex(key)}, 9, 24)"
 
-    def pseudonym(a: Column) -> Column:
-        def bit(i):
-            first = _mixed_word(a, p[0], i)
-            return _aes_top_bit(F.concat(ipaddr.long_to_hex(first, 8), pad_rest), aes_key)
+    def body(a):
+        i = ip.fresh("i")
+        first = _mixed(a, _pad_word(key, 0), i)
+        bits = f"transform(sequence(0, 31), {i} -> {_top_bit(f'concat({ip.long_to_hex_sql(first, 8)}, {pad_rest})', key)})"
+        return f"{a} ^ {_fold(bits, 1)}"
 
-        otp = _bits_to_word(F.transform(F.sequence(F.lit(0), F.lit(31)), bit), 1)
-        return a.bitwiseXOR(otp)
+    return ip.let_sql(addr, body)
 
-    return ipaddr.let(addr, pseudonym)
 
-
-def cryptopan_v6_hex(addr_hex: Column, key: bytes) -> Column:
+def cryptopan_v6_sql(addr_hex: str, key: bytes) -> str:
     """32-hex-digit IPv6 address -> 32-hex-digit pseudonym."""
     key = _check_key(key)
-    aes_key = key[:16]
-    p = _pad_words(key)
-
-    def pseudonym(h: Column) -> Column:
-        a = [ipaddr.hex_to_long(h.substr(1 + 8 * j, 8)) for j in range(4)]
-
-        def bit(i):
-            w = F.floor(i / 32).cast("int")
-            r = i % 32
-            words = [
-                F.when(F.lit(j) < w, a[j]).when(F.lit(j) > w, p[j]).otherwise(_mixed_word(a[j], p[j], r))
-                for j in range(4)
-            ]
-            return _aes_top_bit(F.concat(*[ipaddr.long_to_hex(x, 8) for x in words]), aes_key)
-
-        bits = F.transform(F.sequence(F.lit(0), F.lit(127)), bit)
-        return ipaddr.let(
-            bits,
-            lambda b: F.concat(
-                *[ipaddr.long_to_hex(a[j].bitwiseXOR(_bits_to_word(b, 1 + 32 * j)), 8) for j in range(4)]
-            ),
-        )
-
-    return ipaddr.let(addr_hex, pseudonym)
-
-
-def cryptopan(ip, key: bytes) -> Column:
-    """Address text of either family -> pseudonym text of the same family.
-
-    IPv4 comes out as a dotted quad, IPv6 in RFC 5952 short form. Text that is
-    not an address gives NULL.
-    """
-    ip = F.col(ip) if isinstance(ip, str) else ip
-
-    def convert(t: Column) -> Column:
-        v4 = ipaddr.v4_to_long(t)
-        return F.when(
-            ipaddr.is_v6(t), ipaddr.hex_to_v6(cryptopan_v6_hex(ipaddr.v6_to_hex(t), key))
-        ).when(v4.isNotNull(), ipaddr.long_to_v4(cryptopan_v4_long(v4, key)))
-
-    return ipaddr.let(ip, convert)
+    p = [_pad_word(key, j) for j in range(4)]
+
+    def body(words):
+        a = [f"{words}[{j}]" for j in range(4)]
+        i = ip.fresh("i")
+        w, r = f"({i} div 32)", f"({i} % 32)"
+        block = [
+            f"CASE WHEN {j} < {w} THEN {a[j]} WHEN {j} > {w} THEN {p[j]} ELSE {_mixed(a[j], p[j], r)} END"
+            for j in range(4)
+        ]
+        block_hex = "concat(" + ", ".join(ip.long_to_hex_sql(x, 8) for x in block) + ")"
+        bits = f"transform(sequence(0, 127), {i} -> {_top_bit(block_hex, key)})"
+
+        def xor(b):
+            return "concat(" + ", ".join(ip.long_to_hex_sql(f"{a[j]} ^ {_fold(b, 1 + 32 * j)}", 8) for j in range(4)) + ")"
+
+        return ip.let_sql(bits, xor)
+
+    words = "array(" + ", ".join(ip.hex_to_long_sql(f"substr({addr_hex}, {1 + 8 * j}, 8)") for j in range(4)) + ")"
+    return ip.let_sql(words, body)
+
+
+def cryptopan_sql(x: str, key: bytes) -> str:
+    """Address text of either family -> pseudonym text of the same family (NULL if not an address)."""
+
+    def body(t):
+        v6 = ip.hex_to_v6_sql(cryptopan_v6_sql(ip.v6_to_hex_sql(t), key))
+        v4 = ip.long_to_v4_sql(cryptopan_v4_sql(ip.v4_to_long_sql(t), key))
+        return f"CASE WHEN {ip.is_v6_sql(t)} THEN {v6} WHEN {ip.v4_to_long_sql(t)} IS NOT NULL THEN {v4} END"
+
+    return ip.let_sql(x, body)
+
+
+def cryptopan(c: str, key: bytes) -> Column:
+    """Pseudonym of the address in column ``c``."""
+    return F.expr(cryptopan_sql(ip.name(c), key))

@@ -1,16 +1,18 @@
-"""IP address expressions: Column in, Column out, all JVM-side.
+"""IP address expressions, all JVM-side.
+
+Each helper has two forms: ``*_sql(x)`` returns Spark SQL text over a SQL
+expression ``x`` (a column name or any expression), and the plain name
+returns a ``Column`` for a column name. Building the text is pure Python and
+Spark parses it in one call, which keeps plan construction cheap.
 
 Addresses are compared as fixed-width lowercase hex text: 8 digits for IPv4,
 32 for IPv6. Within one family lexicographic order equals numeric order, so
 ranges and prefix buckets work on plain strings.
-
-The per-row path (trim, family test, IPv4 parse) uses plain string functions
-that whole-stage codegen compiles; only the IPv6 text forms use lambdas.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,164 +21,190 @@ from netsift.schemas import IPV6_PATTERN
 
 V4, V6 = 4, 6
 
-# every character <= U+0020, the set JVM String.trim removes
-_JAVA_WS = "".join(chr(i) for i in range(0x21))
 _OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_V4_TEXT = rf"^({_OCTET}\.){{3}}{_OCTET}$"
+V4_TEXT = rf"^({_OCTET}\.){{3}}{_OCTET}$"
+V6_TEXT = f"^(?:{IPV6_PATTERN})$"
+_QUAD_TAIL = r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$"
+_names = count()
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def lit(s: str) -> str:
+    """A Spark SQL string literal holding ``s`` exactly."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+def fresh(prefix: str) -> str:
+    """A lambda variable name not used elsewhere in the same expression."""
+    return f"{prefix}_{next(_names)}"
 
-    Keeps a sub-expression that ``body`` uses many times from being copied
-    into the plan once per use.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
 
+def let_sql(value: str, body) -> str:
+    """Evaluate ``value`` once and hand its name to ``body`` (a str -> str function)."""
+    v = fresh("v")
+    return f"element_at(transform(array({value}), {v} -> {body(v)}), 1)"
 
-def trim_sql(expr: str) -> str:
-    """SQL text of java_trim over a SQL expression (one gateway call when parsed)."""
-    chars = "".join(f"\\u{i:04x}" for i in range(0x21))
-    return f"btrim({expr}, '{chars}')"
 
+def name(c: str) -> str:
+    """SQL text for a column name."""
+    return f"`{c}`" if c.isidentifier() else c
 
-def java_trim(c) -> Column:
-    """Strip every character <= U+0020 at both ends (what JVM String.trim does)."""
-    return F.btrim(_col(c), F.lit(_JAVA_WS))
+
+def trim_sql(x: str) -> str:
+    """Strip every character <= U+0020 at both ends, as JVM String.trim does."""
+    chars = "".join(f"\\u{i:04x}" for i in range(0x21))
+    return f"btrim({x}, '{chars}')"
 
 
-def is_v6(c) -> Column:
-    """True when the trimmed text is an IPv6 literal (anchored match)."""
-    s = java_trim(c)
-    return (F.instr(s, ":") > 0) & s.rlike(f"^(?:{IPV6_PATTERN})$")
+def is_v6_sql(x: str) -> str:
+    t = trim_sql(x)
+    return f"(instr({t}, ':') > 0 AND {t} RLIKE {lit(V6_TEXT)})"
 
 
-def v4_to_long(c) -> Column:
-    """Dotted quad text -> bigint; NULL unless four octets 0..255 without leading zeros."""
-    s = java_trim(c)
-    p = F.split(s, r"\.")
-    value = (
-        p.getItem(0).cast("bigint") * 16777216
-        + p.getItem(1).cast("bigint") * 65536
-        + p.getItem(2).cast("bigint") * 256
-        + p.getItem(3).cast("bigint")
-    )
-    return F.when(s.rlike(_V4_TEXT), value)
+def v4_to_long_sql(x: str) -> str:
+    def body(t):
+        parts = " + ".join(f"CAST(split_part({t}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+        return f"CASE WHEN {t} RLIKE {lit(V4_TEXT)} THEN {parts} END"
 
+    return let_sql(trim_sql(x), body)
 
-def long_to_v4(n) -> Column:
-    """bigint -> dotted quad text."""
-    n = _col(n)
-    return F.concat_ws(".", *[F.shiftright(n, s).bitwiseAND(255).cast("string") for s in (24, 16, 8, 0)])
 
+def long_to_v4_sql(n: str) -> str:
+    return "concat_ws('.', " + ", ".join(f"CAST(shiftright({n}, {s}) & 255 AS STRING)" for s in (24, 16, 8, 0)) + ")"
 
-def long_to_hex(n, width: int) -> Column:
-    return F.lower(F.lpad(F.hex(_col(n)), width, "0"))
 
+def long_to_hex_sql(n: str, width: int) -> str:
+    return f"lower(lpad(hex({n}), {width}, '0'))"
 
-def hex_to_long(h) -> Column:
-    """Up to 15 hex digits -> bigint (8-digit words, bucket prefixes)."""
-    return F.conv(_col(h), 16, 10).cast("bigint")
 
+def hex_to_long_sql(h: str) -> str:
+    return f"CAST(conv({h}, 16, 10) AS BIGINT)"
 
-def v4_to_hex(c) -> Column:
-    """Dotted quad -> 8 hex digits; NULL when invalid."""
-    return long_to_hex(v4_to_long(c), 8)
 
+def v4_to_hex_sql(x: str) -> str:
+    return long_to_hex_sql(v4_to_long_sql(x), 8)
 
-def _expand_v6(s: Column) -> Column:
-    """Lower-case IPv6 text without zone and dotted quad -> 32 hex digits or NULL."""
 
-    def expand(parts: Column) -> Column:
-        # parts: [text before '::', text after '::', whole text]
-        left, right, whole = parts.getItem(0), parts.getItem(1), parts.getItem(2)
-        n_left = F.when(left == "", 0).otherwise(F.size(F.split(left, ":")))
-        n_right = F.when(right == "", 0).otherwise(F.size(F.split(right, ":")))
-        k = 8 - n_left - n_right
-        zeros = F.lit("0:0:0:0:0:0:0:0").substr(F.lit(1), k * 2 - 1)
-        compressed = F.when(
-            k >= 1, F.concat_ws(":", F.nullif(left, F.lit("")), zeros, F.nullif(right, F.lit("")))
-        )
-        return F.when(F.instr(whole, "::") > 0, compressed).otherwise(whole)
+def _expand_v6_sql(s: str) -> str:
+    """Lower-case IPv6 text without zone or dotted quad -> 32 hex digits or NULL."""
 
-    parts = F.array(F.substring_index(s, "::", 1), F.substring_index(s, "::", -1), s)
-    expanded = let(parts, expand)
+    def expand(p):
+        left, right, whole = f"{p}[0]", f"{p}[1]", f"{p}[2]"
+        nl = f"(CASE WHEN {left} = '' THEN 0 ELSE size(split({left}, ':')) END)"
+        nr = f"(CASE WHEN {right} = '' THEN 0 ELSE size(split({right}, ':')) END)"
+        k = f"(8 - {nl} - {nr})"
+        zeros = f"substr('0:0:0:0:0:0:0:0', 1, {k} * 2 - 1)"
+        compressed = f"CASE WHEN {k} >= 1 THEN concat_ws(':', nullif({left}, ''), {zeros}, nullif({right}, '')) END"
+        return f"CASE WHEN instr({whole}, '::') > 0 THEN {compressed} ELSE {whole} END"
 
-    def pad(e: Column) -> Column:
-        g = F.split(e, ":")
-        return F.when(
-            e.rlike(r"^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"),
-            F.concat(*[F.lpad(g.getItem(i), 4, "0") for i in range(8)]),
-        )
+    def pad(e):
+        groups = ", ".join(f"lpad(split({e}, ':')[{i}], 4, '0')" for i in range(8))
+        return f"CASE WHEN {e} RLIKE {lit(r'^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$')} THEN concat({groups}) END"
 
-    return let(expanded, pad)
+    parts = f"array(substring_index({s}, '::', 1), substring_index({s}, '::', -1), {s})"
+    return let_sql(let_sql(parts, expand), pad)
 
 
-def v6_to_hex(c) -> Column:
+def v6_to_hex_sql(x: str) -> str:
     """IPv6 text -> 32 lowercase hex digits; NULL when it is not IPv6.
 
     Handles `::` compression, a `%zone` suffix and a trailing dotted quad
     (v4-mapped and v4-embedded forms).
     """
 
-    def convert(s: Column) -> Column:
-        quad = F.regexp_extract(s, r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$", 1)
+    def convert(s):
+        def with_quad(qt):
+            def join(q):
+                groups = f"concat(lower(hex(shiftright({q}, 16))), ':', lower(hex({q} & 65535)))"
+                return (f"CASE WHEN {qt} = '' THEN {s} WHEN {q} IS NOT NULL "
+                        f"THEN concat(substr({s}, 1, length({s}) - length({qt})), {groups}) END")
 
-        def with_quad(q: Column) -> Column:
-            groups = F.concat(F.lower(F.hex(F.shiftright(q, 16))), F.lit(":"), F.lower(F.hex(q.bitwiseAND(65535))))
-            return F.when(quad == "", s).when(q.isNotNull(), F.concat(s.substr(F.lit(1), F.length(s) - F.length(quad)), groups))
+            return let_sql(v4_to_long_sql(qt), join)
 
-        return _expand_v6(let(v4_to_long(quad), with_quad))
+        quad = f"regexp_extract({s}, {lit(_QUAD_TAIL)}, 1)"
+        return _expand_v6_sql(let_sql(quad, with_quad))
 
-    s = F.regexp_replace(F.lower(java_trim(c)), "%.*$", "")
-    return F.when(is_v6(c) & (F.size(F.split(s, "::")) <= 2), let(s, convert))
+    s = f"regexp_replace(lower({trim_sql(x)}), '%.*$', '')"
+    return f"CASE WHEN {is_v6_sql(x)} AND size(split({s}, '::')) <= 2 THEN {let_sql(s, convert)} END"
 
 
-def hex_to_v6(h) -> Column:
+def hex_to_v6_sql(h: str) -> str:
     """32 hex digits -> IPv6 text in RFC 5952 short form (`2001:db8::1`).
 
     The longest run of two or more zero groups becomes `::`; at equal length
     the first run.
     """
-    grouped = F.regexp_replace(F.lower(_col(h)), "(.{4})(?!$)", "$1:")
-    full = F.regexp_replace(grouped, "(^|:)0{1,3}(?=[0-9a-f])", "$1")
+    grouped = f"regexp_replace(lower({h}), {lit('(.{4})(?!$)')}, '$1:')"
+    full = f"regexp_replace({grouped}, {lit('(^|:)0{1,3}(?=[0-9a-f])')}, '$1')"
+
+    def shorten(t):
+        branches = []
+        for k in range(8, 1, -1):  # widest run first
+            test = lit(rf"(^|:)0(:0){{{k - 1}}}(:|$)")
+            run = lit(rf"^(.*?)(?:^|:)0(?::0){{{k - 1}}}(?::|$)(.*)$")
+            branches.append(f"WHEN {t} RLIKE {test} THEN regexp_replace({t}, {run}, '$1::$2')")
+        return f"CASE {' '.join(branches)} ELSE {t} END"
+
+    return f"CASE WHEN {h} IS NOT NULL THEN {let_sql(full, shorten)} END"
+
+
+def ip_family_sql(x: str) -> str:
+    return f"CASE WHEN {is_v6_sql(x)} THEN {V6} WHEN {v4_to_long_sql(x)} IS NOT NULL THEN {V4} END"
+
+
+def ip_key_sql(x: str) -> str:
+    return f"CASE WHEN {is_v6_sql(x)} THEN {v6_to_hex_sql(x)} ELSE {v4_to_hex_sql(x)} END"
+
+
+def ip_text_sql(family: str, key: str) -> str:
+    return f"CASE WHEN {family} = {V6} THEN {hex_to_v6_sql(key)} ELSE {long_to_v4_sql(hex_to_long_sql(key))} END"
+
+
+def hex_to_bits_sql(h: str, width: int) -> str:
+    return "concat(" + ", ".join(f"lpad(conv(substr({h}, {i}, 1), 16, 2), 4, '0')" for i in range(1, width + 1)) + ")"
+
+
+def bits_to_hex_sql(b: str, width: int) -> str:
+    return "lower(concat(" + ", ".join(f"conv(substr({b}, {4 * i + 1}, 4), 2, 16)" for i in range(width)) + "))"
+
+
+# Column forms, for a column name
+
+
+def java_trim(c: str) -> Column:
+    return F.expr(trim_sql(name(c)))
+
+
+def is_v6(c: str) -> Column:
+    return F.expr(is_v6_sql(name(c)))
+
+
+def v4_to_long(c: str) -> Column:
+    return F.expr(v4_to_long_sql(name(c)))
+
+
+def v4_to_hex(c: str) -> Column:
+    return F.expr(v4_to_hex_sql(name(c)))
 
-    def shorten(t: Column) -> Column:
-        out = t
-        for k in range(2, 9):  # the widest run is tested last, so it wins
-            run = rf"^(.*?)(?:^|:)0(?::0){{{k - 1}}}(?::|$)(.*)$"
-            out = F.when(t.rlike(rf"(^|:)0(:0){{{k - 1}}}(:|$)"), F.regexp_replace(t, run, "$1::$2")).otherwise(out)
-        return out
 
-    return let(full, shorten)
+def v6_to_hex(c: str) -> Column:
+    return F.expr(v6_to_hex_sql(name(c)))
 
 
-def ip_family(c) -> Column:
-    """6 for an IPv6 literal, 4 for a valid dotted quad, NULL otherwise."""
-    return F.when(is_v6(c), F.lit(V6)).when(v4_to_long(c).isNotNull(), F.lit(V4))
+def hex_to_v6(c: str) -> Column:
+    return F.expr(hex_to_v6_sql(name(c)))
 
 
-def ip_key(c) -> Column:
-    """Fixed-width hex of an address of either family; NULL when it is neither."""
-    return F.when(is_v6(c), v6_to_hex(c)).otherwise(v4_to_hex(c))
+def long_to_v4(c: str) -> Column:
+    return F.expr(long_to_v4_sql(name(c)))
 
 
-def ip_text(family, key) -> Column:
-    """Inverse of ip_key: address text from family and hex key."""
-    return F.when(_col(family) == V6, hex_to_v6(key)).otherwise(long_to_v4(hex_to_long(key)))
+def ip_family(c: str) -> Column:
+    return F.expr(ip_family_sql(name(c)))
 
 
-def hex_to_bits(h, width: int) -> Column:
-    """Hex text of ``width`` digits -> bit string of 4*width characters."""
-    h = _col(h)
-    return F.concat(*[F.lpad(F.conv(h.substr(i, 1), 16, 2), 4, "0") for i in range(1, width + 1)])
+def ip_key(c: str) -> Column:
+    return F.expr(ip_key_sql(name(c)))
 
 
-def bits_to_hex(b, width: int) -> Column:
-    """Bit string of 4*width characters -> lowercase hex text of ``width`` digits."""
-    b = _col(b)
-    return F.lower(F.concat(*[F.conv(b.substr(4 * i + 1, 4), 2, 16) for i in range(width)]))
+def ip_text(family: str, key: str) -> Column:
+    return F.expr(ip_text_sql(name(family), name(key)))

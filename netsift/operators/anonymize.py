@@ -65,7 +65,7 @@ def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip") -> Da
     extra = [c for c in ("family", "n_cells") if c in ips.columns]
     return ips.select(
         F.col(column).alias("original_ip"),
-        cp.cryptopan(F.col(column), key).alias("obfuscated_ip"),
+        cp.cryptopan(column, key).alias("obfuscated_ip"),
         *extra,
     )
 
@@ -126,7 +126,8 @@ def apply_mapping(
         out = df
         for c in cols:
             out = pol.match_policy(out, c, policy, out=f"_{c}_s")
-            out = out.withColumn(c, F.when(F.col(f"_{c}_s"), cp.cryptopan(ipaddr.java_trim(c), key)).otherwise(F.col(c)))
+            pseudonym = F.expr(cp.cryptopan_sql(ipaddr.trim_sql(ipaddr.name(c)), key))
+            out = out.withColumn(c, F.when(F.col(f"_{c}_s"), pseudonym).otherwise(F.col(c)))
             out = out.drop(f"_{c}_s")
         return out
     if mapping is None:

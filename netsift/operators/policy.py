@@ -55,72 +55,65 @@ def compile_rules(rules: DataFrame, *, include_edges: bool = False, column: str
     Built in stages of named columns so that each address conversion appears
     once in the plan.
     """
-    r = ipaddr.java_trim(F.col(column))
-    df = rules.select(r.alias("rule")).filter(F.col("rule") != "")
-    rule = F.col("rule")
-    kind = F.when(F.instr(rule, ",") > 0, "range").when(F.instr(rule, "/") > 0, "subnet").otherwise("single")
-    df = df.select(
+    t = ipaddr.trim_sql
+    df = rules.selectExpr(f"{t(ipaddr.name(column))} AS rule").filter("rule <> ''")
+    df = df.selectExpr(
         "rule",
-        kind.alias("kind"),
-        ipaddr.java_trim(F.substring_index(rule, ",", 1)).alias("_a"),
-        ipaddr.java_trim(F.substring_index(F.substring_index(rule, ",", 2), ",", -1)).alias("_b"),
-        ipaddr.java_trim(F.substring_index(rule, "/", 1)).alias("_base"),
-        ipaddr.java_trim(F.substring_index(rule, "/", -1)).try_cast("int").alias("_bits"),
+        "CASE WHEN instr(rule, ',') > 0 THEN 'range' WHEN instr(rule, '/') > 0 THEN 'subnet' ELSE 'single' END AS kind",
+        t("substring_index(rule, ',', 1)") + " AS _a",
+        t("substring_index(substring_index(rule, ',', 2), ',', -1)") + " AS _b",
+        t("substring_index(rule, '/', 1)") + " AS _base",
+        "try_cast(" + t("substring_index(rule, '/', -1)") + " AS INT) AS _bits",
     )
-    first = F.when(F.col("kind") == "subnet", F.col("_base")).otherwise(F.col("_a"))
-    df = df.select(
+    first = "CASE WHEN kind = 'subnet' THEN _base ELSE _a END"
+    df = df.selectExpr(
         "*",
-        F.when(ipaddr.is_v6(first), V6).otherwise(V4).alias("family"),
-        ipaddr.v4_to_hex("_a").alias("_ka4"),
-        ipaddr.v4_to_hex("_b").alias("_kb4"),
-        ipaddr.v6_to_hex("_a").alias("_ka6"),
-        ipaddr.v6_to_hex("_b").alias("_kb6"),
-        ipaddr.v4_to_long("_base").alias("_n4"),
-        ipaddr.v6_to_hex("_base").alias("_h6"),
+        f"CASE WHEN {ipaddr.is_v6_sql(first)} THEN {V6} ELSE {V4} END AS family",
+        f"{ipaddr.v4_to_hex_sql('_a')} AS _ka4",
+        f"{ipaddr.v4_to_hex_sql('_b')} AS _kb4",
+        f"{ipaddr.v6_to_hex_sql('_a')} AS _ka6",
+        f"{ipaddr.v6_to_hex_sql('_b')} AS _kb6",
+        f"{ipaddr.v4_to_long_sql('_base')} AS _n4",
+        f"{ipaddr.v6_to_hex_sql('_base')} AS _h6",
     )
     # IPv4 subnet bounds by arithmetic; IPv6 prefix bounds on the 128-bit string
-    size = F.pow(F.lit(2), F.lit(32) - F.col("_bits")).cast("bigint")
-    net = F.floor(F.col("_n4") / size).cast("bigint") * size
-    df = df.select("*", net.alias("_net"), (net + size - 1).alias("_bcast"), ipaddr.hex_to_bits("_h6", 32).alias("_b6"))
-    head = F.col("_b6").substr(F.lit(1), F.col("_bits"))
-    lo4 = F.col("_net") if include_edges else F.col("_net") + 1
-    hi4 = F.col("_bcast") if include_edges else F.col("_bcast") - 1
-    df = df.select(
+    size = "CAST(pow(2, 32 - _bits) AS BIGINT)"
+    net = f"CAST(floor(_n4 / {size}) AS BIGINT) * {size}"
+    df = df.selectExpr("*", f"{net} AS _net", f"{net} + {size} - 1 AS _bcast", f"{ipaddr.hex_to_bits_sql('_h6', 32)} AS _b6")
+    lo4, hi4 = ("_net", "_bcast") if include_edges else ("_net + 1", "_bcast - 1")
+    df = df.selectExpr(
         "*",
-        F.rpad(head, 128, "0").alias("_lob6"),
-        F.rpad(head, 128, "1").alias("_hib6"),
-        lo4.alias("_s4lo"),
-        hi4.alias("_s4hi"),
+        "rpad(substr(_b6, 1, _bits), 128, '0') AS _lob6",
+        "rpad(substr(_b6, 1, _bits), 128, '1') AS _hib6",
+        f"{lo4} AS _s4lo",
+        f"{hi4} AS _s4hi",
     )
-    df = df.select(
+    df = df.selectExpr(
         "*",
-        ipaddr.bits_to_hex("_lob6", 32).alias("_s6lo"),
-        ipaddr.bits_to_hex("_hib6", 32).alias("_s6hi"),
+        f"{ipaddr.bits_to_hex_sql('_lob6', 32)} AS _s6lo",
+        f"{ipaddr.bits_to_hex_sql('_hib6', 32)} AS _s6hi",
+        f"family = {V4} AND kind = 'subnet' AND _bits BETWEEN 0 AND 32 AND _n4 IS NOT NULL AS _v4sub",
+        f"family = {V6} AND kind = 'subnet' AND _bits BETWEEN 0 AND 128 AND _h6 IS NOT NULL AS _v6sub",
     )
-    fam, k = F.col("family"), F.col("kind")
-    ka4, kb4, ka6, kb6 = F.col("_ka4"), F.col("_kb4"), F.col("_ka6"), F.col("_kb6")
-    bits_ok4 = F.col("_bits").between(0, 32) & F.col("_n4").isNotNull()
-    bits_ok6 = F.col("_bits").between(0, 128) & F.col("_h6").isNotNull()
-    v4sub = (fam == V4) & (k == "subnet") & bits_ok4
     # a host-only IPv4 subnet of /31 or /32 holds no address: an empty rule, not a bad one
-    empty = v4sub & (F.col("_s4lo") > F.col("_s4hi"))
-    lo = (
-        F.when((fam == V4) & (k == "single"), ka4)
-        .when((fam == V4) & (k == "range") & kb4.isNotNull(), F.least(ka4, kb4))
-        .when(v4sub & ~empty, ipaddr.long_to_hex("_s4lo", 8))
-        .when((fam == V6) & (k == "single"), ka6)
-        .when((fam == V6) & (k == "range") & kb6.isNotNull(), F.least(ka6, kb6))
-        .when((fam == V6) & (k == "subnet") & bits_ok6, F.col("_s6lo"))
-    )
-    hi = (
-        F.when((fam == V4) & (k == "single"), ka4)
-        .when((fam == V4) & (k == "range") & kb4.isNotNull(), F.greatest(ka4, kb4))
-        .when(v4sub & ~empty, ipaddr.long_to_hex("_s4hi", 8))
-        .when((fam == V6) & (k == "single"), ka6)
-        .when((fam == V6) & (k == "range") & kb6.isNotNull(), F.greatest(ka6, kb6))
-        .when((fam == V6) & (k == "subnet") & bits_ok6, F.col("_s6hi"))
+    df = df.selectExpr("*", "coalesce(_v4sub AND _s4lo > _s4hi, false) AS empty")
+
+    def bound(pick: str, v4sub: str, v6sub: str) -> str:
+        return (
+            f"CASE WHEN family = {V4} AND kind = 'single' THEN _ka4 "
+            f"WHEN family = {V4} AND kind = 'range' AND _kb4 IS NOT NULL THEN {pick}(_ka4, _kb4) "
+            f"WHEN _v4sub AND NOT empty THEN {ipaddr.long_to_hex_sql(v4sub, 8)} "
+            f"WHEN family = {V6} AND kind = 'single' THEN _ka6 "
+            f"WHEN family = {V6} AND kind = 'range' AND _kb6 IS NOT NULL THEN {pick}(_ka6, _kb6) "
+            f"WHEN _v6sub THEN {v6sub} END"
+        )
+
+    return df.selectExpr(
+        "rule", "kind", "family",
+        f"{bound('least', '_s4lo', '_s6lo')} AS lo",
+        f"{bound('greatest', '_s4hi', '_s6hi')} AS hi",
+        "empty",
     )
-    return df.select("rule", "kind", "family", lo.alias("lo"), hi.alias("hi"), F.coalesce(empty, F.lit(False)).alias("empty"))
 
 
 @dataclass
@@ -161,25 +154,33 @@ def read_policy(
         text = policy_lines(spark, schemas.DEFAULT_POLICY_LINES)
     else:
         raise ValueError("read_policy needs a path, inline lines, or default=True")
-    from netsift.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    # The rules are computed once; the reliable checkpoint also stops later
-    # filters from being pushed into (and multiplying) the address conversions.
-    compiled = compile_rules(text, include_edges=include_edges).checkpoint(eager=True)
+    # Computed once and cached: the checks, the merge and the broadcast reuse
+    # it, and the cache keeps later filters from being pushed into (and
+    # multiplying) the address conversions.
+    compiled = compile_rules(text, include_edges=include_edges).persist()
     stats = compiled.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(F.col("lo").isNull() & ~F.col("empty"), 1).otherwise(0)).alias("bad"),
     ).first()
-    if stats.n > max_rules:
-        raise ValueError(f"policy has {stats.n} rules, more than max_rules={max_rules}")
-    if strict and stats.bad:
-        bad = compiled.filter(F.col("lo").isNull() & ~F.col("empty")).select("rule").limit(5).collect()
-        raise ValueError(f"policy rules that do not parse: {[r.rule for r in bad]}")
-    merged = merge_intervals(compiled.filter(F.col("lo").isNotNull())).checkpoint(eager=True)
-    n = merged.count()
-    rows = merged.collect() if n <= max_or_intervals else None
-    return Policy(merged, n, rows)
+    try:
+        if stats.n > max_rules:
+            raise ValueError(f"policy has {stats.n} rules, more than max_rules={max_rules}")
+        if strict and stats.bad:
+            bad = compiled.filter(F.col("lo").isNull() & ~F.col("empty")).select("rule").limit(5).collect()
+            raise ValueError(f"policy rules that do not parse: {[r.rule for r in bad]}")
+        merged = merge_intervals(compiled.filter(F.col("lo").isNotNull()))
+        if stats.n - stats.bad <= max_or_intervals:
+            # a small policy: at most max_or_intervals rows on the driver
+            rows = merged.collect()
+            table = spark.createDataFrame(rows, "family int, lo string, hi string")
+            return Policy(table, len(rows), rows)
+        from netsift.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        merged = merged.checkpoint(eager=True)
+        return Policy(merged, merged.count(), None)
+    finally:
+        compiled.unpersist()
 
 
 def merge_intervals(policy: DataFrame) -> DataFrame:
@@ -205,13 +206,22 @@ def _checked_rows(intervals: DataFrame, limit: int, what: str) -> list:
     return intervals.collect()
 
 
-def or_predicate(key: Column, family: Column, rows) -> Column:
-    """OR of ``family = f AND key BETWEEN lo AND hi`` over the given intervals."""
-    cond = F.lit(False)
+def or_predicate_sql(key: str, family: str, rows) -> str:
+    """SQL: OR of ``family = f AND key BETWEEN lo AND hi`` over the given intervals."""
+    terms = []
     for r in rows:
-        test = key == r.lo if r.lo == r.hi else key.between(r.lo, r.hi)
-        cond = cond | ((family == r.family) & test)
-    return cond
+        test = f"{key} = '{r.lo}'" if r.lo == r.hi else f"{key} BETWEEN '{r.lo}' AND '{r.hi}'"
+        terms.append(f"({family} = {r.family} AND {test})")
+    return "coalesce(" + " OR ".join(terms or ["false"]) + ", false)"
+
+
+def or_predicate(key: str, family: str, rows) -> Column:
+    return F.expr(or_predicate_sql(ipaddr.name(key), ipaddr.name(family), rows))
+
+
+def _bucket_bounds() -> tuple[str, str]:
+    width = f"CASE WHEN family = {V6} THEN {BUCKET_WIDTH[V6]} ELSE {BUCKET_WIDTH[V4]} END"
+    return (ipaddr.hex_to_long_sql(f"substr(lo, 1, {width})"), ipaddr.hex_to_long_sql(f"substr(hi, 1, {width})"))
 
 
 def bucket_table(merged: DataFrame) -> DataFrame:
@@ -220,21 +230,17 @@ def bucket_table(merged: DataFrame) -> DataFrame:
     Intervals spanning more than MAX_BUCKETS_PER_INTERVAL buckets are left out
     here; ``wide_intervals`` returns them for the OR predicate.
     """
-    width = F.when(F.col("family") == V6, BUCKET_WIDTH[V6]).otherwise(BUCKET_WIDTH[V4])
-    lo_b = ipaddr.hex_to_long(F.col("lo").substr(F.lit(1), width))
-    hi_b = ipaddr.hex_to_long(F.col("hi").substr(F.lit(1), width))
-    narrow = merged.filter(hi_b - lo_b < MAX_BUCKETS_PER_INTERVAL)
-    return narrow.select(
-        "family", "lo", "hi",
-        F.explode(F.sequence(lo_b, hi_b)).alias("_b"),
-    ).select("family", F.lower(F.lpad(F.hex("_b"), width, "0")).alias("bucket"), "lo", "hi")
+    lo_b, hi_b = _bucket_bounds()
+    width = f"CASE WHEN family = {V6} THEN {BUCKET_WIDTH[V6]} ELSE {BUCKET_WIDTH[V4]} END"
+    narrow = merged.filter(f"{hi_b} - {lo_b} < {MAX_BUCKETS_PER_INTERVAL}")
+    return narrow.selectExpr("family", "lo", "hi", f"explode(sequence({lo_b}, {hi_b})) AS _b").selectExpr(
+        "family", f"lower(lpad(hex(_b), {width}, '0')) AS bucket", "lo", "hi"
+    )
 
 
 def wide_intervals(merged: DataFrame) -> DataFrame:
-    width = F.when(F.col("family") == V6, BUCKET_WIDTH[V6]).otherwise(BUCKET_WIDTH[V4])
-    lo_b = ipaddr.hex_to_long(F.col("lo").substr(F.lit(1), width))
-    hi_b = ipaddr.hex_to_long(F.col("hi").substr(F.lit(1), width))
-    return merged.filter(hi_b - lo_b >= MAX_BUCKETS_PER_INTERVAL)
+    lo_b, hi_b = _bucket_bounds()
+    return merged.filter(f"{hi_b} - {lo_b} >= {MAX_BUCKETS_PER_INTERVAL}")
 
 
 def address_key(df: DataFrame, column: str, prefix: str = "_") -> DataFrame:
@@ -267,7 +273,7 @@ def match_policy(
         plan = "or" if policy.rows is not None and policy.n <= max_or_intervals else "bucket"
     if plan == "or":
         rows = policy.rows if policy.rows is not None else _checked_rows(intervals, max_or_intervals, "policy intervals")
-        result = keyed.withColumn(out, F.coalesce(or_predicate(key, fam, rows), F.lit(False)))
+        result = keyed.withColumn(out, or_predicate(f"_{column}_key", f"_{column}_fam", rows))
     elif plan == "bucket":
         wide = _checked_rows(wide_intervals(intervals), max_or_intervals, "wide policy intervals")
         buckets = bucket_table(intervals)
@@ -284,7 +290,7 @@ def match_policy(
             (fam == F.col("_pf")) & (F.col(f"_{column}_bucket") == F.col("_pb")) & key.between(F.col("_plo"), F.col("_phi")),
             "left",
         )
-        hit = F.col("_plo").isNotNull() | F.coalesce(or_predicate(key, fam, wide), F.lit(False))
+        hit = F.col("_plo").isNotNull() | or_predicate(f"_{column}_key", f"_{column}_fam", wide)
         result = joined.withColumn(out, hit).drop("_pf", "_pb", "_plo", "_phi", f"_{column}_bucket")
     elif plan == "range":
         if policy.n > max_broadcast_rows:
