@@ -28,10 +28,10 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that its queries register."""
-    from netsift.plans import (  # noqa: F401
-        anonymize_queries,
+    from netsift.plans import (  # noqa: F401  (order matters: streaming reuses oracle text)
         netflow_queries,
+        anonymize_queries,
         ordering_queries,
-        streaming_queries,
         syslog_queries,
+        streaming_queries,
     )

@@ -1 +1,113 @@
-"""placeholder"""
+"""Registered streaming queries: a file source of envelopes, availableNow runs, outputs read back."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from netsift import fixtures, schemas
+from netsift.operators import policy as pol
+from netsift.plans.common import FLOW_CTE, POLICY, SAMPLE_KEY, with_cte
+from netsift.plans.netflow_queries import flow_append_line
+from netsift.plans.registry import ORACLE, register
+from netsift.plans.syslog_queries import parsed_logs
+from netsift.operators import syslog as sl
+from netsift.session import scratch_path
+from netsift.sources.envelope import read_envelope
+from netsift.streaming import netflow as snf
+from netsift.streaming import syslog as ssl
+
+FILES_PER_BATCH = 2
+
+
+def _flow_source(spark, sf_dir):
+    """Envelope rows written as parquet files, then opened as a stream (several micro-batches)."""
+    path = scratch_path(spark, "flow-source")
+    fixtures.flow_envelope(spark, sf_dir).repartition(4).write.parquet(path)
+    return read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(FILES_PER_BATCH)})
+
+
+def _run_fanout(spark, sf_dir):
+    root = scratch_path(spark, "flow-out")
+    q = snf.start_netflow_fanout(
+        _flow_source(spark, sf_dir),
+        root=root,
+        checkpoint=scratch_path(spark, "flow-ckpt"),
+        policy=pol.read_policy(spark, lines=POLICY),
+        key=SAMPLE_KEY,
+        available_now=True,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return root
+
+
+@register(
+    "stream_fanout_counts",
+    with_cte(FLOW_CTE) + """
+SELECT 'anonymized' AS output, count(*) AS n FROM flow
+UNION ALL SELECT 'preprocessed', count(*) FROM flow WHERE dp <> ''
+UNION ALL SELECT 'both', count(*) FROM flow WHERE dp <> ''
+UNION ALL SELECT 'rejects', count(*) FROM flow WHERE dp = ''""",
+)
+def stream_fanout_counts(spark, sf_dir):
+    """One streaming query writes all outputs; rows per output."""
+    root = _run_fanout(spark, sf_dir)
+    parts = [spark.read.parquet(os.path.join(root, name)).select(F.lit(name).alias("output")) for name in
+             ("anonymized", "preprocessed", "both", "rejects")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("output").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_fanout_preprocessed", ORACLE["flow_append_line"])
+def stream_fanout_preprocessed(spark, sf_dir):
+    """K2 through the fan-out: the preprocessed records equal the batch result."""
+    root = _run_fanout(spark, sf_dir)
+    return spark.read.parquet(os.path.join(root, "preprocessed")).select(F.col("offset").alias("k"), F.col("value").alias("line"))
+
+
+@register("stream_fanout_both")
+def stream_fanout_both(spark, sf_dir):
+    """K3 through the fan-out: anonymized and preprocessed records."""
+    root = _run_fanout(spark, sf_dir)
+    return spark.read.parquet(os.path.join(root, "both")).select(F.col("offset").alias("k"), F.col("value").alias("line"))
+
+
+@register("stream_queries_preprocessed", ORACLE["flow_append_line"])
+def stream_queries_preprocessed(spark, sf_dir):
+    """Three independent queries with disjoint checkpoints; the preprocessed one read back."""
+    root = scratch_path(spark, "flow-q-out")
+    sinks = {name: {"format": "parquet", "path": os.path.join(root, name)} for name in snf.OUTPUTS}
+    qs = snf.start_netflow_queries(
+        _flow_source(spark, sf_dir),
+        sinks=sinks,
+        checkpoint_root=scratch_path(spark, "flow-q-ckpt"),
+        policy=pol.read_policy(spark, lines=POLICY),
+        key=SAMPLE_KEY,
+        available_now=True,
+    )
+    snf.await_all(spark, qs)
+    return spark.read.parquet(os.path.join(root, "preprocessed")).select(F.col("offset").alias("k"), F.col("value").alias("line"))
+
+
+@register("stream_syslog_lines")
+def stream_syslog_lines(spark, sf_dir):
+    """Log lines scored by a fitted model on a stream; the output records."""
+    p = parsed_logs(spark, sf_dir)
+    model = sl.fit_tfidf(p)
+    src_path = scratch_path(spark, "syslog-source")
+    fixtures.syslog_envelope(spark, sf_dir).repartition(4).write.parquet(src_path)
+    source = read_envelope(spark, "parquet", streaming=True, path=src_path, options={"maxFilesPerTrigger": "2"})
+    out = scratch_path(spark, "syslog-out")
+    lines = ssl.syslog_lines(source, model, keep=("offset",))
+    q = (lines.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "syslog-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(F.col("offset").alias("k"), "value")
+
+
+_ = (schemas, flow_append_line)
