@@ -70,16 +70,21 @@ def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip") -> Da
     )
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's checkpoint folder.
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once and cut lineage with a reliable checkpoint in the cluster's checkpoint folder.
 
-    A mapping is reused by every output and by de-anonymization; computing it
-    once and reading it back also keeps the key out of later plans.
+    A mapping is reused by every output and by de-anonymization; reading it
+    back from the checkpoint also keeps the key out of later plans. The input
+    is persisted first so the checkpoint does not compute it a second time.
     """
     from netsift.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def _unmapped(strict: bool, column: str) -> Column:
@@ -109,17 +114,18 @@ def apply_mapping(
     ``strategy``: ``broadcast`` (mapping under ``max_broadcast_rows``, checked),
     ``inline`` (needs ``key`` and ``policy``; no join), ``shuffle``, or ``auto``.
     """
+    n = None
+    if mapping is not None and strategy in ("auto", "broadcast"):
+        n = mapping.count()
     if strategy == "auto":
         if mapping is None:
             strategy = "inline"
+        elif n <= max_broadcast_rows:
+            strategy = "broadcast"
+        elif key is not None and policy is not None:
+            strategy = "inline"
         else:
-            n = mapping.count()
-            if n <= max_broadcast_rows:
-                strategy = "broadcast"
-            elif key is not None and policy is not None:
-                strategy = "inline"
-            else:
-                strategy = "shuffle"
+            strategy = "shuffle"
     if strategy == "inline":
         if key is None or policy is None:
             raise ValueError("inline anonymization needs the key and the policy")
@@ -132,11 +138,9 @@ def apply_mapping(
         return out
     if mapping is None:
         raise ValueError(f"strategy {strategy!r} needs a mapping table")
-    if strategy == "broadcast":
-        n = mapping.count()
-        if n > max_broadcast_rows:
-            raise ValueError(f"mapping has {n} rows, above max_broadcast_rows={max_broadcast_rows}")
-    elif strategy != "shuffle":
+    if strategy == "broadcast" and n > max_broadcast_rows:
+        raise ValueError(f"mapping has {n} rows, above max_broadcast_rows={max_broadcast_rows}")
+    if strategy not in ("broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     m = mapping.select("original_ip", "obfuscated_ip").dropDuplicates(["original_ip"])
     out = df

@@ -146,6 +146,23 @@ def read_policy(
     file is an error (never a silent default). With ``strict`` a rule that
     does not parse raises, since skipping it would leave addresses in clear.
     """
+    if path is None and (lines is not None or default):
+        # an inline policy is a config value: the same text compiles to the same intervals
+        memo_key = (id(spark), tuple(lines) if lines is not None else None, include_edges, strict, max_or_intervals)
+        if memo_key not in _INLINE_MEMO:
+            _INLINE_MEMO[memo_key] = _read_policy(
+                spark, None, lines=lines, include_edges=include_edges, default=default, strict=strict,
+                max_rules=max_rules, max_or_intervals=max_or_intervals,
+            )
+        return _INLINE_MEMO[memo_key]
+    return _read_policy(spark, path, lines=lines, include_edges=include_edges, default=default, strict=strict,
+                        max_rules=max_rules, max_or_intervals=max_or_intervals)
+
+
+_INLINE_MEMO: dict = {}
+
+
+def _read_policy(spark, path, *, lines, include_edges, default, strict, max_rules, max_or_intervals) -> Policy:
     if path is not None:
         text = spark.read.text(path)
     elif lines is not None:

@@ -82,8 +82,17 @@ def fanout_batch(
         mapping = anon.build_mapping(anon.sensitive_ips(parsed, cols, policy), key).persist()
         try:
             outs = netflow_outputs(parsed, policy=policy, mapping=mapping, cols=cols, columns=columns)
-            outs["mapping"] = mapping
-            for name, df in outs.items():
+            # the three record outputs share a layout: one job writes them all
+            records = None
+            for name in OUTPUTS:
+                part = outs[name].withColumn("_output", F.lit(name))
+                records = part if records is None else records.unionByName(part)
+            staged = os.path.join(root, "_records", f"batch={batch_id}")
+            records.write.mode("overwrite").partitionBy("_output").parquet(staged)
+            for name in OUTPUTS:
+                src = os.path.join(staged, f"_output={name}")
+                _publish(batch.sparkSession, src, os.path.join(root, name, f"batch={batch_id}"))
+            for name, df in (("rejects", outs["rejects"]), ("mapping", mapping)):
                 df.write.mode("overwrite").parquet(os.path.join(root, name, f"batch={batch_id}"))
         finally:
             mapping.unpersist()
@@ -91,6 +100,21 @@ def fanout_batch(
         parsed.unpersist()
 
 
+def _publish(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a finished output folder into place (a rename on the cluster filesystem)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_path, dst_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = src_path.getFileSystem(conf)
+    if fs.exists(dst_path):
+        fs.delete(dst_path, True)
+    fs.mkdirs(dst_path.getParent())
+    if fs.exists(src_path):
+        fs.rename(src_path, dst_path)
+    else:  # an output with no rows in this batch
+        fs.mkdirs(dst_path)
+
+
 def start_netflow_fanout(
     source: DataFrame,
     *,
