@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A test table; a small file is spread over the cores (see ``session.spread``)."""
+    from netsift.session import spread
+
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 # Cell expressions of a derived flow, in Spark SQL (see FIXTURES.md §2.1).

@@ -61,11 +61,11 @@ def is_v6_sql(x: str) -> str:
 
 
 def v4_to_long_sql(x: str) -> str:
-    def body(t):
-        parts = " + ".join(f"CAST(split_part({t}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
-        return f"CASE WHEN {t} RLIKE {lit(V4_TEXT)} THEN {parts} END"
-
-    return let_sql(trim_sql(x), body)
+    # No lambda here: this runs on every address cell, and plain expressions
+    # stay in generated code (the repeated trim is one common subexpression).
+    t = trim_sql(x)
+    parts = " + ".join(f"CAST(split_part({t}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+    return f"CASE WHEN {t} RLIKE {lit(V4_TEXT)} THEN {parts} END"
 
 
 def long_to_v4_sql(n: str) -> str:

@@ -34,6 +34,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def spread(df, min_partitions: int | None = None):
+    """Spread a small input over the cluster's cores.
+
+    A scan of a small file is one partition, so every per-row expression
+    would run in one task. When the plan has fewer partitions than the
+    default parallelism, rows are dealt round-robin over that many; a large
+    input (already split by the scan) is returned untouched, never shuffled.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
