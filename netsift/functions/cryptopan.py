@@ -15,14 +15,14 @@ not on every flow cell.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from netsift.functions import ipaddr as ip
 
 _WORD = 0xFFFFFFFF
-# masks[r]: a 32-bit word with its top r bits set, r = 0..31
-_MASKS = "array(" + ", ".join(f"CAST({(_WORD << (32 - r)) & _WORD} AS BIGINT)" for r in range(32)) + ")"
 
 
 def _check_key(key: bytes) -> bytes:
@@ -35,13 +35,24 @@ def _aes_key(key: bytes) -> str:
     return f"X'{key[:16].hex()}'"
 
 
-def _pad_hex(key: bytes) -> str:
-    """32 hex digits of the encrypted pad (a constant-folded expression)."""
-    return f"hex(substring(aes_encrypt(X'{key[16:].hex()}', {_aes_key(key)}, 'ECB', 'PKCS'), 1, 16))"
+@lru_cache(maxsize=32)
+def _pad_words_of(key: bytes) -> tuple[int, int, int, int]:
+    """The key's encrypted pad as four 32-bit words.
+
+    A constant of the key, not of the data: one AES call in a one-row query,
+    done once per key, so the cipher expressions carry plain literals.
+    """
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    pad = spark.range(1).selectExpr(
+        f"hex(substring(aes_encrypt(X'{key[16:].hex()}', {_aes_key(key)}, 'ECB', 'PKCS'), 1, 16)) AS p"
+    ).first().p
+    return tuple(int(pad[8 * j: 8 * j + 8], 16) for j in range(4))
 
 
 def _pad_word(key: bytes, j: int) -> str:
-    return ip.hex_to_long_sql(f"substr({_pad_hex(key)}, {1 + 8 * j}, 8)")
+    return f"CAST({_pad_words_of(key)[j]} AS BIGINT)"
 
 
 def _top_bit(block_hex: str, key: bytes) -> str:
@@ -51,7 +62,8 @@ def _top_bit(block_hex: str, key: bytes) -> str:
 
 
 def _mixed(addr_w: str, pad_w: str, r: str) -> str:
-    m = f"element_at({_MASKS}, {r} + 1)"
+    # the top r bits of a 32-bit word (r = 0..31)
+    m = f"shiftleft(shiftright(CAST({_WORD} AS BIGINT), 32 - {r}), 32 - {r})"
     return f"(({addr_w} & {m}) | ({pad_w} & ({_WORD} - {m})))"
 
 
@@ -63,7 +75,7 @@ def _fold(bits: str, offset: int) -> str:
 def cryptopan_v4_sql(addr: str, key: bytes) -> str:
     """bigint IPv4 address -> bigint pseudonym."""
     key = _check_key(key)
-    pad_rest = f"substr({_pad_hex(key)}, 9, 24)"
+    pad_rest = "'" + "".join(f"{w:08x}" for w in _pad_words_of(key)[1:]) + "'"
 
     def body(a):
         i = ip.fresh("i")

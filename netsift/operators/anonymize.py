@@ -60,9 +60,19 @@ def sensitive_ips(
     )
 
 
-def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip") -> DataFrame:
-    """Distinct addresses -> ``original_ip, obfuscated_ip, family, n_cells`` (A3, A4)."""
+def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip", partitions: int | None = None) -> DataFrame:
+    """Distinct addresses -> ``original_ip, obfuscated_ip, family, n_cells`` (A3, A4).
+
+    Crypto-PAn costs 32 or 128 AES calls per row, while the distinct rows are
+    few bytes: left to adaptive execution, the shuffle after the distinct step
+    would be coalesced by size into a handful of partitions and the cipher work
+    would run on a handful of cores. The rows are therefore hash-partitioned
+    by address into an explicit number of partitions (the cluster's default
+    parallelism), which adaptive execution keeps. Only distinct rows move.
+    """
     extra = [c for c in ("family", "n_cells") if c in ips.columns]
+    n = partitions or ips.sparkSession.sparkContext.defaultParallelism
+    ips = ips.repartition(n, column)
     return ips.select(
         F.col(column).alias("original_ip"),
         cp.cryptopan(column, key).alias("obfuscated_ip"),

@@ -77,7 +77,10 @@ def fanout_batch(
     columns: Sequence[str] | None = None,
 ) -> None:
     """Parse one micro-batch once and write all outputs plus the batch's mapping."""
-    parsed = flowop.parse_flow(batch, columns, keep=("key", "partition", "offset")).persist()
+    from netsift.session import spread
+
+    # a micro-batch from a topic with few partitions would use few cores
+    parsed = flowop.parse_flow(spread(batch), columns, keep=("key", "partition", "offset")).persist()
     try:
         mapping = anon.build_mapping(anon.sensitive_ips(parsed, cols, policy), key).persist()
         try:
