@@ -47,12 +47,18 @@ def netflow_outputs(
     mapping: DataFrame | None = None,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     columns: Sequence[str] | None = None,
+    anonymized: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The three outputs and the rejects of parsed flow records, as record DataFrames."""
+    """The three outputs and the rejects of parsed flow records, as record DataFrames.
+
+    ``anonymized`` may pass in the parsed rows already anonymized (e.g. persisted).
+    """
     columns = list(columns or schemas.flow_columns())
     derived = columns + list(schemas.DERIVED_COLUMNS)
     good = flowop.good_rows(parsed)
-    if mapping is not None:
+    if anonymized is not None:
+        pass
+    elif mapping is not None:
         anonymized = anon.apply_mapping(parsed, cols, mapping, policy=policy)
     else:
         anonymized = anon.apply_mapping(parsed, cols, None, policy=policy, key=key, strategy="inline")
@@ -83,8 +89,11 @@ def fanout_batch(
     parsed = flowop.parse_flow(spread(batch), columns, keep=("key", "partition", "offset")).persist()
     try:
         mapping = anon.build_mapping(anon.sensitive_ips(parsed, cols, policy), key).persist()
+        # The mapping holds every sensitive (trimmed) cell of this very batch, so
+        # no cell can be sensitive and unmapped: the per-cell policy check is skipped.
+        anonymized = anon.apply_mapping(parsed, cols, mapping).persist()
         try:
-            outs = netflow_outputs(parsed, policy=policy, mapping=mapping, cols=cols, columns=columns)
+            outs = netflow_outputs(parsed, policy=policy, cols=cols, columns=columns, anonymized=anonymized)
             # the three record outputs share a layout: one job writes them all
             records = None
             for name in OUTPUTS:
@@ -98,6 +107,7 @@ def fanout_batch(
             for name, df in (("rejects", outs["rejects"]), ("mapping", mapping)):
                 df.write.mode("overwrite").parquet(os.path.join(root, name, f"batch={batch_id}"))
         finally:
+            anonymized.unpersist()
             mapping.unpersist()
     finally:
         parsed.unpersist()
