@@ -70,3 +70,11 @@ def test_audit_rows(flows, policy):
     mapping = anon.build_mapping(anon.sensitive_ips(flows, ["sa", "da"], policy), SAMPLE_KEY)
     rows = anon.audit(mapping).collect()
     assert {r.result for r in rows} == {"anonymized"} and sum(r.n_cells for r in rows) == 6
+
+
+def test_over_limit_with_key_computes_inline(flows, policy):
+    mapping = anon.build_mapping(anon.sensitive_ips(flows, ["sa", "da"], policy), SAMPLE_KEY)
+    a = sorted(anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy).collect())
+    b = sorted(anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy, key=SAMPLE_KEY,
+                                  max_broadcast_rows=1).collect())
+    assert a == b

@@ -74,3 +74,13 @@ def test_bucket_plan_is_a_broadcast_hash_join(spark):
     plan = pol.match_policy(flows, "sa", p, plan="bucket")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert F  # keep import used
+
+
+def test_large_policy_path_is_checkpointed_and_bucketed(spark):
+    rules = [f"10.{i}.0.0/24" for i in range(12)] + ["2001:db8::/120"]
+    small = pol.read_policy(spark, lines=rules)
+    large = pol.read_policy(spark, lines=rules, max_or_intervals=3)
+    assert large.rows is None and large.n == small.n == 13
+    cells = spark.createDataFrame([("10.3.0.7",), ("10.3.1.7",), ("2001:db8::ff",), ("2001:db8::1:0",), ("x",)], "ip string")
+    got = {r.ip: r.ip_sensitive for r in pol.match_policy(cells, "ip", large).collect()}
+    assert got == {"10.3.0.7": True, "10.3.1.7": False, "2001:db8::ff": True, "2001:db8::1:0": False, "x": False}
