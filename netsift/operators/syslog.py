@@ -13,11 +13,7 @@ of ``vocab_size`` per task.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, RegexTokenizer, StopWordsRemover
@@ -26,23 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift import schemas
-
-
-@lru_cache(maxsize=None)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's own stop-word list for ``language``, read from the installed MLlib jar.
-
-    The same list ``StopWordsRemover.loadDefaultStopWords`` returns, without
-    needing a running JVM (the oracle SQL is built from it too).
-    """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found; pass stop_words explicitly")
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+from netsift.stopwords import ENGLISH
 
 
 def read_stop_words(spark: SparkSession, path: str, max_words: int = 100_000) -> list[str]:
@@ -92,7 +72,7 @@ def tokenizer() -> RegexTokenizer:
 
 def stop_words_remover(stop_words: Sequence[str] | None = None) -> StopWordsRemover:
     """Drop stop words, case-insensitively, keeping duplicates."""
-    words = list(stop_words) if stop_words is not None else list(spark_stop_words())
+    words = list(stop_words) if stop_words is not None else list(ENGLISH)
     return StopWordsRemover(
         inputCol="tokenizedMessage", outputCol="filteredMessage", caseSensitive=False, stopWords=words
     )
@@ -180,5 +160,5 @@ def sparse_entries(df: DataFrame, vector: str, keep: Sequence[str] = ("k",)) ->
 
 def stop_words_sql(stop_words: Sequence[str] | None = None) -> str:
     """The stop-word list as a SQL list literal (for the oracle)."""
-    words = list(stop_words) if stop_words is not None else list(spark_stop_words())
+    words = list(stop_words) if stop_words is not None else list(ENGLISH)
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"

@@ -44,9 +44,10 @@ def test_line_is_null_when_a_part_is_null(spark):
     assert sl.to_syslog_line(nulled).first().value is None
 
 
-def test_stop_words_from_spark():
-    words = sl.spark_stop_words()
-    assert "the" in words and len(words) > 100
+def test_default_stop_words():
+    from netsift.stopwords import ENGLISH
+
+    assert "the" in ENGLISH and len(ENGLISH) == len(set(ENGLISH)) > 100
 
 
 def test_csv_round_trip(spark, tmp_path):
