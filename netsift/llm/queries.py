@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
 from netsift.llm.exact_dedup import exact_dedup
 
@@ -36,3 +37,8 @@ FROM n JOIN g USING (t)
 @query("op2_exact_dedup", OP2_SQL)
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"))
