@@ -15,7 +15,9 @@ from collections.abc import Callable, Iterable, Iterator
 import regex
 
 #: Characters other than the space that the pattern's ``\\s`` takes as white space.
-OTHER_SPACE = "\t\n\x0b\x0c\r\x85\xa0                　"
+OTHER_SPACE = "".join(
+    map(chr, (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
 ASCII_SPACE = "\t\n\x0b\x0c\r"
 _CUT = regex.compile(r"(?<=\S) ")
 
