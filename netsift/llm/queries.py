@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
 from netsift.llm.exact_dedup import exact_dedup
+from netsift.llm.packing import pack_documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +43,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
