@@ -10,6 +10,7 @@ from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
 from netsift.llm.exact_dedup import exact_dedup
 from netsift.llm.packing import pack_documents
+from netsift.llm.simhash_dedup import simhash_groups
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +49,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_best_fit_packing")
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op1_simhash_dedup")
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
