@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
 from netsift.llm.exact_dedup import exact_dedup
+from netsift.llm.line_dedup import line_digests
 from netsift.llm.packing import pack_documents
 from netsift.llm.simhash_dedup import simhash_groups
 
@@ -54,3 +55,24 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_simhash_dedup")
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+owner AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key),
+marked AS (SELECT k.*, coalesce(o.first < k.doc_id, false) AS gone FROM keyed k LEFT JOIN owner o USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op7_line_dedup", OP7_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(table(spark, sf_dir, "documents"))
