@@ -78,6 +78,15 @@ def check_rows(rows, texts):
     return len(seqs)
 
 
+def test_ids_equal_the_tokenizers_library():
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    texts = ["", " a  b\n\n c's", "<|endoftext|> x", "日本語 ñandú 😀😀 ", "x" * 5000, "\r\n \xa0\u2003 7½", "ÀÉ of the of"]
+    for t, got in zip(texts, pk.token_encoder().encode(texts)):
+        want = tok.encode(t, add_special_tokens=False).ids
+        assert got == b"".join(i.to_bytes(4, "little") for i in want)
+
+
 def test_table(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = pk.pack_documents(docs).collect()
