@@ -7,7 +7,7 @@ leaves, and rows with no pair left are moved out of the matrix. Pre-tokens over
 ``LONG`` bytes (rounds would cost their square) go through a heap of pairs with
 the same order of merges.
 
-Texts are encoded whole; a null text is empty and has no ids. Decoding joins
+Texts are matched and encoded whole; a null text is empty and has no ids. Decoding joins
 the bytes of the ids.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from netsift.llm.common import columns_as
-from netsift.llm.pretokens import UnitEncoder, slabs
+from netsift.llm.pretokens import PreTokenEncoder, slabs
 
 NONE = np.int32(2**31 - 1)
 LONG = 256
@@ -85,39 +85,42 @@ class ByteBPE:
 
     def encode_many(self, tokens: list[str]) -> list[bytes]:
         """Ids of each pre-token as little-endian unsigned 32-bit bytes."""
-        out: list[bytes] = [b""] * len(tokens)
-        by_width: dict[int, list[tuple[int, bytes]]] = {}
-        for i, t in enumerate(tokens):
-            raw = t.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                out[i] = whole.to_bytes(4, "little")
-            elif len(raw) > LONG:
-                out[i] = np.array(self._long(raw), "<u4").tobytes()
-            else:
-                by_width.setdefault((len(raw) + 3) // 4 * 4, []).append((i, raw))
-        for width, rows in by_width.items():
-            step = max(1, (1 << 20) // width)
-            for lo in range(0, len(rows), step):
-                self._matrix(rows[lo : lo + step], width, out)
+        raw = [t.encode() for t in tokens]
+        whole = list(map(self.ranks.get, raw))
+        out = [b"" if r is None else r.to_bytes(4, "little") for r in whole]
+        rest = [i for i, r in enumerate(whole) if r is None]
+        n = np.fromiter((len(raw[i]) for i in rest), np.int64, len(rest))
+        for k in np.flatnonzero(n > LONG):
+            out[rest[k]] = np.array(self._long(raw[rest[k]]), "<u4").tobytes()
+        order = np.argsort(n, kind="stable")
+        order = order[: int(np.searchsorted(n[order], LONG, side="right"))]
+        widths = (n[order] + 3) // 4 * 4
+        lo = 0
+        while lo < len(order):  # rows of one padded width, so many that the matrix stays small
+            width = int(widths[lo])
+            hi = min(int(np.searchsorted(widths, width, side="right")), lo + max(1, (1 << 18) // width))
+            rows = [rest[k] for k in order[lo:hi]]
+            for i, ids in zip(rows, self._matrix(b"".join([raw[i] for i in rows]), n[order[lo:hi]], width)):
+                out[i] = ids
+            lo = hi
         return out
 
-    def _matrix(self, rows: list[tuple[int, bytes]], width: int, out: list[bytes]) -> None:
-        raw = np.frombuffer(b"".join([r.ljust(width, b"\0") for _, r in rows]), np.uint8).reshape(len(rows), width)
-        n = np.array([len(r) for _, r in rows], np.int64)
-        ids = self._byte[raw]
-        who = np.array([i for i, _ in rows], np.int64)
+    def _matrix(self, joined: bytes, n: np.ndarray, width: int) -> list[bytes]:
+        text = np.zeros((len(n), width), np.uint8)
+        text[np.arange(width) < n[:, None]] = np.frombuffer(joined, np.uint8)
+        ids = self._byte[text]
         rank = self._pair(ids[:, :-1], ids[:, 1:])
         rank[np.arange(width - 1) >= (n - 1)[:, None]] = NONE
+        done, length, who = np.zeros_like(ids), n.copy(), np.arange(len(n))
         while len(ids):
             row = np.arange(len(ids))
             j = rank.argmin(axis=1)  # the first of equal ranks: the leftmost
             best = rank[row, j]
-            done = best == NONE
-            if done.any():
-                for k in np.flatnonzero(done):
-                    out[who[k]] = ids[k, : n[k]].astype("<u4").tobytes()
-                live = ~done
+            live = best != NONE
+            if not live.all():
+                ended = who[~live]
+                done[ended, :width] = ids[~live]
+                length[ended] = n[~live]
                 ids, rank, n, who, j, best = ids[live], rank[live], n[live], who[live], j[live], best[live]
                 row = np.arange(len(ids))
                 if not len(ids):
@@ -125,12 +128,11 @@ class ByteBPE:
                 width = int(n.max())
                 ids, rank = ids[:, :width], rank[:, : width - 1]
             cols = np.arange(width)
-            gap = cols > j[:, None]
-            ids = np.take_along_axis(ids, np.minimum(cols + gap, width - 1), 1)
+            step = cols > j[:, None]
+            ids = np.take_along_axis(ids, np.minimum(cols + step, width - 1), 1)
             ids[row, j] = best
             n = n - 1
-            cols = cols[:-1]
-            rank = np.take_along_axis(rank, np.minimum(cols + (cols > j[:, None]), width - 2), 1)
+            rank = np.take_along_axis(rank, np.minimum((cols + step)[:, :-1], width - 2), 1)
             rank[:, -1] = NONE
             for side in (j - 1, j):
                 ok = (side >= 0) & (side < n - 1)
@@ -138,6 +140,9 @@ class ByteBPE:
                 rank[r, c] = self._pair(ids[r, c], ids[r, c + 1])
             over = (j >= n - 1) & (j < width - 1)
             rank[row[over], j[over]] = NONE
+        flat = done[np.arange(done.shape[1]) < length[:, None]].astype("<u4").tobytes()
+        ends = np.cumsum(4 * length).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _long(self, raw: bytes) -> list[int]:
         pairs = self._pairs()
@@ -175,12 +180,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str | None = None) -> tuple[ByteBPE, UnitEncoder]:
+def codec(path: str | None = None) -> tuple[ByteBPE, PreTokenEncoder]:
     """The codec of a rank file, once per Python worker; None: the public 50k vocabulary of the worker's machine."""
     import public_tokenizers
 
     bpe = ByteBPE(read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    return bpe, UnitEncoder(public_tokenizers.PATTERN, bpe.encode_many)
+    return bpe, PreTokenEncoder(public_tokenizers.PATTERN, bpe.encode_many)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

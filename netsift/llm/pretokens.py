@@ -1,12 +1,4 @@
-"""Encode texts through their pre-tokens, each distinct one once per batch.
-
-A text is cut at every space that follows a non-space character. The
-pre-token pattern always has a boundary there and never looks back, so
-matching each unit by itself gives the matches of the whole text. Units and
-pre-tokens that have been seen are looked up; only new ones are matched and
-encoded, many at a time. Both tables are emptied when they exceed a bound, so a
-worker's memory does not follow the vocabulary of the corpus.
-"""
+"""Encode texts through their pre-tokens: each distinct one is encoded once and then looked up."""
 
 from __future__ import annotations
 
@@ -14,52 +6,28 @@ from collections.abc import Callable, Iterable, Iterator
 
 import regex
 
-#: Characters other than the space that the pattern's ``\\s`` takes as white space.
-OTHER_SPACE = "".join(
-    map(chr, (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
-)
-ASCII_SPACE = "\t\n\x0b\x0c\r"
-_CUT = regex.compile(r"(?<=\S) ")
-
 
-def units_of(text: str) -> list[str]:
-    """The text cut at spaces after a non-space character; the cut space belongs to the next unit."""
-    if "  " in text or text.startswith(" ") or any(c + " " in text for c in (ASCII_SPACE if text.isascii() else OTHER_SPACE)):
-        return _CUT.split(text)
-    return text.split(" ")
+class PreTokenEncoder:
+    """``texts -> bytes of ids`` (little-endian unsigned 32-bit), by ``encode_many`` for new pre-tokens.
 
+    The table of known pre-tokens is emptied when it exceeds ``bound``, so a
+    worker's memory does not follow the vocabulary of the corpus.
+    """
 
-class UnitEncoder:
-    """``texts -> bytes of ids`` (little-endian unsigned 32-bit), by ``encode_many`` for new pre-tokens."""
-
-    def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], bound: int = 400_000):
+    def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], bound: int = 500_000):
         self._match = regex.compile(pattern).findall
         self._encode_many = encode_many
         self._bound = bound
-        self._first: dict[str, bytes] = {}  # a unit at the start of a text
-        self._later: dict[str, bytes] = {}  # keyed without the leading space
-        self._pre: dict[str, bytes] = {}
-
-    def _learn(self, first: set[str], later: set[str]) -> None:
-        match, pre = self._match, self._pre
-        split = [(self._first, u, match(u)) for u in first] + [(self._later, u, match(" " + u)) for u in later]
-        new = list({p for _, _, ps in split for p in ps if p not in pre})
-        pre.update(zip(new, self._encode_many(new)))
-        for where, u, ps in split:
-            where[u] = pre[ps[0]] if len(ps) == 1 else b"".join([pre[p] for p in ps])
+        self._known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._later) > self._bound or len(self._pre) > self._bound:
-            self._first.clear()
-            self._later.clear()
-            self._pre.clear()
-        cut = [units_of(t) for t in texts]
-        later = set()
-        for u in cut:
-            later.update(u[1:])
-        self._learn({u[0] for u in cut if u[0] not in self._first}, later.difference(self._later))
-        first, get = self._first, self._later.__getitem__
-        return [first[u[0]] + b"".join(map(get, u[1:])) for u in cut]
+        if len(self._known) > self._bound:
+            self._known.clear()
+        cut = list(map(self._match, texts))
+        new = list(set().union(*cut).difference(self._known))
+        self._known.update(zip(new, self._encode_many(new)))
+        get = self._known.__getitem__
+        return [b"".join(map(get, tokens)) for tokens in cut]
 
 
 def slabs(items: Iterable[tuple], size: Callable[[tuple], int], bound: int) -> Iterator[list[tuple]]:

@@ -9,12 +9,12 @@ from hypothesis import strategies as st
 
 from netsift.llm import byte_bpe
 from netsift.llm.common import table
-from netsift.llm.pretokens import UnitEncoder
+from netsift.llm.pretokens import PreTokenEncoder
 
 RANKS = byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
 REF = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 BPE = byte_bpe.ByteBPE(RANKS)
-SMALL = UnitEncoder(P.PATTERN, BPE.encode_many, bound=50)
+SMALL = PreTokenEncoder(P.PATTERN, BPE.encode_many, bound=50)
 
 HARD = ["", " ", "a", "  a", "a \n b", "a\n \nb", "a  \t b ", "it's we'll 'S", "  x\xa0 y", "x" * 3000 + " " * 700,
         "ab" * 600, "<|endoftext|>", "日本語 ñandú 😀😀", "\r\n\r\n", "aaaa" * 200 + "b", "\x00\x01 \x1c z"]
