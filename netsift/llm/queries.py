@@ -12,6 +12,7 @@ from netsift.llm.exact_dedup import exact_dedup
 from netsift.llm.line_dedup import line_digests
 from netsift.llm.packing import pack_documents
 from netsift.llm.simhash_dedup import simhash_groups
+from netsift.llm.suffix_dedup import repeat_digests
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -76,3 +77,8 @@ FROM marked GROUP BY doc_id
 @query("op7_line_dedup", OP7_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
