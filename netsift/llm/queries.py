@@ -13,6 +13,7 @@ from netsift.llm.line_dedup import line_digests
 from netsift.llm.packing import pack_documents
 from netsift.llm.simhash_dedup import simhash_groups
 from netsift.llm.suffix_dedup import repeat_digests
+from netsift.llm.toxicity import fit_toxicity, score_documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +83,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
