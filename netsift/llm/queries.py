@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
 from netsift.llm.exact_dedup import exact_dedup
+from netsift.llm.html_text import extract_text
 from netsift.llm.line_dedup import line_digests
 from netsift.llm.packing import pack_documents
 from netsift.llm.simhash_dedup import simhash_groups
@@ -89,3 +90,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_html_text")
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
