@@ -162,10 +162,11 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def content_regions(blocks: list[tuple[str, int, int, Element]]) -> np.ndarray:
-    """Which blocks are in a content region."""
+    """Which blocks are in a content region, by the smoothed ratio or at its edge by their own."""
     ratio = np.array([0.0 if e.out else (len(t) - linked) / max(1, tags) for t, tags, linked, e in blocks])
     even = smoothed(ratio)
-    return (even > 0) & (even >= min(even.std(), even.mean())) & (ratio > 0)
+    least = min(even.std(), even.mean())
+    return (np.maximum(even, ratio) >= least) & (ratio > 0)
 
 
 def main_text(html: str | None) -> str:
