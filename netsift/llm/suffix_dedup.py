@@ -53,7 +53,7 @@ _BASE = np.uint64(0x100000001B3)
 def pack_arrays(*arrays: np.ndarray) -> bytes:
     raw = [np.ascontiguousarray(a).tobytes() for a in arrays]
     head = struct.pack(f"<{len(raw)}Q", *map(len, raw))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
 
 
 def unpack_arrays(blob: bytes, *dtypes: str) -> list[np.ndarray]:
@@ -135,12 +135,12 @@ def suffix_order(buf: np.ndarray, n: int) -> np.ndarray:
     ``depth`` further on, and the depth doubles.
     """
     first = words(buf, ">")[:n].astype(np.uint64)
-    sa = np.argsort(first, kind="stable")
+    sa = np.argsort(first)
     key = first[sa]
     heads = np.r_[True, key[1:] != key[:-1]] if n else np.zeros(0, bool)
-    del first
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
+    del first, key
+    rank = np.empty(n, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(heads, np.arange(n, dtype=np.int32), 0))
     depth = 8  # behind the end stand zeros; ties with zeros of the text are broken below
     while True:
         tails = np.r_[heads[1:], True] if n else heads
@@ -152,12 +152,12 @@ def suffix_order(buf: np.ndarray, n: int) -> np.ndarray:
         beyond = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, -(nxt - n))  # past the end: the shorter first
         group = rank[at]
         low = int(beyond.min())
-        order = np.argsort(group * np.int64(n + 2 - low) + (beyond - low), kind="stable")
+        order = np.argsort(group * np.int64(n + 2 - low) + (beyond - low))
         at, group, beyond = at[order], group[order], beyond[order]
         sa[open_] = at
         new = np.r_[True, (group[1:] != group[:-1]) | (beyond[1:] != beyond[:-1])]
         heads[open_] = new
-        place = np.maximum.accumulate(np.where(new, open_, 0))
+        place = np.maximum.accumulate(np.where(new, open_, 0)).astype(np.int32)
         rank[at] = place
         depth *= 2
 
@@ -170,17 +170,17 @@ def common_prefixes(buf: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     and after, less and plus the stride; bytes are compared only where these differ.
     """
     n = len(sa)
-    plcp = np.zeros(n + 1, np.int64)
+    plcp = np.zeros(n + 1, np.int16 if cap < 1 << 14 else np.int64)
     if n < 2:
         return plcp[:n]
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
     w = words(buf)
 
     def extend(i: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
         j = phi[i]
         limit = np.minimum(high, np.minimum(cap, n - np.maximum(i, j)))
-        length = np.minimum(low, limit)
+        length = np.minimum(low, limit).astype(np.int64)
         length[j < 0] = 0
         todo = np.flatnonzero((length < limit) & (j >= 0))
         while len(todo):
@@ -199,7 +199,7 @@ def common_prefixes(buf: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
         at = np.arange(stride, n, 2 * stride)
         after = at + stride
         high = np.where(after < n, plcp[np.minimum(after, n - 1)] + stride, cap)
-        extend(at, np.maximum(plcp[at - stride] - stride, 0), high)
+        extend(at, np.maximum(plcp[at - stride] - stride, 0), np.minimum(high, cap))
     return plcp[:n][sa]
 
 
@@ -398,7 +398,7 @@ def _within_shards(table: DataFrame, shared: DataFrame, a: Anchoring, buckets: i
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shard = left["shard"][0].as_py()
         s = Shard(left, a)
-        both, where, _, cut = s.digests(buckets)
+        both, where, several, cut = s.digests(buckets)
         known = np.zeros(len(both), bool)
         for b, bits in zip(right["bucket"].to_pylist(), right["bits"]):
             lo, hi = cut[b], cut[b + 1]
@@ -406,37 +406,14 @@ def _within_shards(table: DataFrame, shared: DataFrame, a: Anchoring, buckets: i
         live = np.flatnonzero(known[where])
         first, run_, anchor, of = s.first[live], s.run[live], s.anchor[live], s.of[live]
         bucket = (both >> 32)[where[live]]
-        # the text of the live windows, side by side
-        n = run_.sum()
-        rep = np.repeat(np.arange(len(live)), run_)
-        window = np.arange(n) - np.repeat(np.cumsum(run_) - run_, run_) + first[rep]
-        step = np.zeros(len(s.text) + 1, np.int32)
-        np.add.at(step, first, 1)
-        np.add.at(step, first + run_ - 1 + a.width, -1)
-        used = np.cumsum(step[:-1]) > 0
-        del step
-        place = np.cumsum(used) - 1
-        text = s.text[used]
-        buf = np.concatenate([text, np.zeros(PAD, np.uint8)])
-        at = place[window]
-        del place, used
-        sa = suffix_order(buf, len(text))
-        lcp = common_prefixes(buf, sa, a.width)
-        group = np.empty(len(text), np.int64)
-        group[sa] = np.cumsum(lcp < a.width)
-        del sa, lcp
-        g = group[at]  # equal windows, equal g: windows lie whole in the text, so what follows them does not matter
-        del group
-        doc = s.doc[of][rep]
-        low = np.full(int(g.max(initial=-1)) + 1, LAST, np.int64)
-        np.minimum.at(low, g, doc)
-        away = doc > low[g]
+        # every window of an anchor is open, and is settled here where two documents of the shard have the anchor
+        mask = ((np.uint64(1) << run_.astype(np.uint64)) - np.uint64(1)) << (anchor - first - run_ + 1).astype(np.uint64)
+        here = np.flatnonzero(several[where[live]])
+        rep, window, away = _repeats(s, here, first[here], run_[here], s.doc[of[here]], a.width)
         gone = pack_arrays(window[away])
-        # what is left of each anchor, with just the bytes that its windows hold
-        rest = ~away
-        o = (anchor[rep] - window)[rest]
-        mask = np.zeros(len(live), np.uint64)
-        np.bitwise_or.at(mask, rep[rest], np.uint64(1) << o.astype(np.uint64))
+        o = (anchor[rep] - window)[away].astype(np.uint64)
+        np.bitwise_and.at(mask, rep[away], ~(np.uint64(1) << o))
+        # what is left of each anchor goes on, with just the bytes that its windows hold
         some = np.flatnonzero(mask)
         rec = _records(s.buf, anchor[some], mask[some], a)
         sent = _pack_strings(bucket[some], shard, rec, s.doc[of][some], mask[some], anchor[some], _SENT)
@@ -445,8 +422,32 @@ def _within_shards(table: DataFrame, shared: DataFrame, a: Anchoring, buckets: i
         )
         return pa.Table.from_batches([mine, sent])
 
-    grouped = table.select("shard", "data").groupBy("shard").cogroup(shared.groupBy("shard"))
-    return grouped.applyInArrow(run, _SENT_SCHEMA)
+    # all columns, as in the last step: both then read one exchange of the table
+    return table.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(run, _SENT_SCHEMA)
+
+
+def _repeats(s: Shard, anchor: np.ndarray, first: np.ndarray, run: np.ndarray, doc: np.ndarray, width: int):
+    """``anchor, window, away`` of the windows of these runs; away: a smaller document of the shard has the window."""
+    rep = np.repeat(np.arange(len(run)), run)
+    window = np.arange(len(rep)) - np.repeat(np.cumsum(run) - run, run) + first[rep]
+    # the text of these windows, side by side
+    step = np.zeros(len(s.text) + 1, np.int32)
+    np.add.at(step, first, 1)
+    np.add.at(step, first + run - 1 + width, -1)
+    used = np.cumsum(step[:-1], dtype=np.int32) > 0
+    del step
+    place = np.cumsum(used, dtype=np.int32) - 1
+    text = s.text[used]
+    at = place[window]
+    del place, used
+    buf = np.concatenate([text, np.zeros(PAD, np.uint8)])
+    sa = suffix_order(buf, len(text))
+    group = np.empty(len(text), np.int32)
+    group[sa] = np.cumsum(common_prefixes(buf, sa, width) < width, dtype=np.int32)
+    g = group[at]  # windows lie whole in the text, so equal windows have equal g whatever follows them
+    low = np.full(int(g.max(initial=-1)) + 1, LAST, np.int64)
+    np.minimum.at(low, g, doc[rep])
+    return anchor[rep], window, doc[rep] > low[g]
 
 
 def _records(buf: np.ndarray, anchor: np.ndarray, mask: np.ndarray, a: Anchoring) -> np.ndarray:
