@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netsift.llm.byte_bpe import encode_digests
 from netsift.llm.common import table
+from netsift.llm.embedding_dedup import embedding_groups
 from netsift.llm.exact_dedup import exact_dedup
 from netsift.llm.html_text import extract_text
 from netsift.llm.line_dedup import line_digests
@@ -95,3 +96,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_text")
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
