@@ -229,7 +229,8 @@ def same_strings(key: np.ndarray, flat: np.ndarray, at: np.ndarray, width: int)
     bytes of each string are compared with its class's first. Strings whose key stands
     for two are told apart by a sort of the bytes themselves.
     """
-    listed = np.unique(key)
+    listed = np.sort(key)
+    listed = listed[np.r_[True, listed[1:] != listed[:-1]]] if len(listed) else listed
     cls = np.searchsorted(listed, key)
     first = np.full(len(listed), -1, np.int64)
     first[cls[::-1]] = at[::-1]
