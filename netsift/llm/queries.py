@@ -13,6 +13,7 @@ from netsift.llm.exact_dedup import exact_dedup
 from netsift.llm.html_text import extract_text
 from netsift.llm.line_dedup import line_digests
 from netsift.llm.packing import pack_documents
+from netsift.llm.quality import fit_quality, grade_documents
 from netsift.llm.simhash_dedup import simhash_groups
 from netsift.llm.suffix_dedup import repeat_digests
 from netsift.llm.toxicity import fit_toxicity, score_documents
@@ -101,3 +102,9 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_dedup")
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return grade_documents(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
