@@ -108,3 +108,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return grade_documents(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
