@@ -35,20 +35,31 @@ from netsift.llm import labelled
 BITS = 20
 Z = 4.0
 MIN_DOCS = 5
-PER_GRADE = 4000
-KNOWN = 500_000
-_KINDS = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a"), (re.compile(r"\d+"), lambda m: "0"), (re.compile(r"(\W)\1+"), lambda m: m[1] + "+"))
+PER_GRADE = 2000
+KNOWN = 300_000
+_KINDS = ((re.compile(r"[^\W\d_]+"), lambda m: _letters(m[0])), (re.compile(r"\d+"), lambda m: "0"), (re.compile(r"(\W)\1+"), lambda m: m[1] + "+"))
 
 
 def hashed(name: str) -> int:
     return zlib.crc32(name.encode()) & ((1 << BITS) - 1)
 
 
-def token_features(token: str) -> tuple[int, int]:
-    shape = token
+def _letters(run: str) -> str:
+    return "A" if run.isupper() else "Aa" if run[0].isupper() else "a"
+
+
+def token_shape(token: str) -> str:
+    if token.isalpha():
+        return _letters(token)
+    if token[:-1].isalpha() and not (token[-1].isalnum() or token[-1] == "_"):
+        return _letters(token[:-1]) + token[-1]
     for pattern, kind in _KINDS:
-        shape = pattern.sub(kind, shape)
-    return hashed("=" + token.lower()), hashed("~" + shape)
+        token = pattern.sub(kind, token)
+    return token
+
+
+def token_features(token: str) -> tuple[int, int]:
+    return hashed("=" + token.lower()), hashed("~" + token_shape(token))
 
 
 def document_features(tokens: list[str], counts: Counter) -> dict[int, float]:
@@ -61,13 +72,17 @@ def document_features(tokens: list[str], counts: Counter) -> dict[int, float]:
     return {hashed("again"): again, hashed("fresh"): fresh, hashed(f"again:{math.ceil(10 * again)}"): 1.0, hashed(f"fresh:{math.ceil(10 * fresh)}"): 1.0}
 
 
-def features(text: str) -> dict[int, float]:
+def features(text: str, known: dict[str, tuple[int, int]] | None = None) -> dict[int, float]:
+    """All features of a text; ``known`` keeps those of tokens between calls."""
     tokens = text.split()
     counts = Counter(tokens)
-    out: Counter = Counter()
+    known = {} if known is None else known
+    out: dict[int, int] = {}
     for t, n in counts.items():
-        for f in token_features(t):
-            out[f] += n
+        if t not in known:
+            known[t] = token_features(t)
+        for f in known[t]:
+            out[f] = out.get(f, 0) + n
     return {**{f: math.sqrt(n / len(tokens)) for f, n in out.items()}, **document_features(tokens, counts)}
 
 
@@ -85,12 +100,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def train(texts: list[str], y: np.ndarray, rounds: int = 200, rate: float = 0.1, shrink: float = 1e-4) -> dict[str, list]:
+def train(texts: list[str], y: np.ndarray, rounds: int = 150, rate: float = 0.1, shrink: float = 1e-4) -> dict[str, list]:
     """``kind, at, value``: the grades, the thresholds between them, and the weights by feature."""
     grades, grade = np.unique(y, return_inverse=True)
     out = [("grade", k, float(g)) for k, g in enumerate(grades)]
     if len(grades) > 1:
-        found = [features(t) for t in texts]
+        known: dict[str, tuple[int, int]] = {}
+        found = [features(t, known) for t in texts]
+        del known
         feature = np.concatenate([np.fromiter(f, np.int64, len(f)) for f in found])
         value = np.concatenate([np.fromiter(f.values(), float, len(f)) for f in found])
         doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
@@ -133,21 +150,32 @@ class Grader:
         self.theta = by["threshold"]["value"].to_numpy() if "threshold" in by else np.zeros(0)
         self.weight = dict(zip(by["weight"]["at"].tolist(), by["weight"]["value"].tolist())) if "weight" in by else {}
         self.tail = int(np.searchsorted(self.grades, tail)) if tail is not None else len(self.grades) - 1
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.shape: dict[str, str] = {}  # of the tokens seen
+        self.word: dict[str, int] = {}  # those of them whose word is a feature of the model
+
+    def _learn(self, new: list[str], counts: Counter) -> None:
+        if new and len(self.shape) > KNOWN:
+            self.shape.clear()
+            self.word.clear()
+            new = list(counts)
+        for t in new:
+            self.shape[t] = token_shape(t)
+            f = hashed("=" + t.lower())
+            if f in self.weight:
+                self.word[t] = f
 
     def score(self, text: str) -> float:
         tokens = text.split()
         counts = Counter(tokens)
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        for t in counts.keys() - self.known.keys():
-            self.known[t] = tuple(f for f in token_features(t) if f in self.weight)
+        self._learn([t for t in counts if t not in self.shape], counts)
         held: Counter = Counter()
-        for t, n in counts.items():
-            for f in self.known[t]:
-                held[f] += n
-        total = sum(self.weight[f] * math.sqrt(n / len(tokens)) for f, n in held.items())
-        return total + sum(self.weight.get(f, 0.0) * v for f, v in document_features(tokens, counts).items())
+        for shape, n in Counter(map(self.shape.__getitem__, tokens)).items():
+            held[hashed("~" + shape)] += n
+        for t in counts.keys() & self.word.keys():
+            held[self.word[t]] += counts[t]
+        weight = self.weight.get
+        total = sum(weight(f, 0.0) * math.sqrt(n / len(tokens)) for f, n in held.items())
+        return total + sum(weight(f, 0.0) * v for f, v in document_features(tokens, counts).items())
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Expected grades and tail probabilities."""
