@@ -5,7 +5,7 @@ message envelope. The test tables hold neither, so these functions derive
 them deterministically, as Spark transformations of ``events`` and
 ``documents`` (whole tables, whole texts), so that every query's work grows
 with the input. The same derivations are written in DuckDB SQL for the oracle
-(``netsift.plans.oracle``).
+(``netsift.plans.common``).
 """
 
 from __future__ import annotations
@@ -60,12 +60,21 @@ def flow_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*[f"{expr} as {name}" for name, expr in FLOW_EXPRS.items()])
 
 
-def flow_envelope(spark: SparkSession, sf_dir: str, topic: str = "netflow-raw") -> DataFrame:
+# The same records, some of them ragged: 47, 49 and 60 cells, three cells, no value, numbers that do not parse.
+RAGGED_LINE = (
+    "case k % 97 when 8 then 'a,b,c' when 9 then cast(null as string) else concat(ts, ',', ts, ',0.5,', sa, ',', da, ',',"
+    " cast(sp as string), ',', dp, ',', pr, ',', flg, ',0,0,', if(k % 97 = 10, 'x', cast(ipkt as string)), ',',"
+    " if(k % 97 = 11, '', cast(ibyt as string)), ',', cast(opkt as string), ',', cast(obyt as string),"
+    " repeat(',0', case k % 97 when 5 then 32 when 6 then 34 when 7 then 45 else 33 end)) end"
+)
+
+
+def flow_envelope(spark: SparkSession, sf_dir: str, topic: str = "netflow-raw", line: str = FLOW_LINE) -> DataFrame:
     """Flow records as a message source delivers them (key, value, topic, partition, offset, ...)."""
     flows = flow_table(spark, sf_dir)
     return flows.select(
         F.encode("key_text", "UTF-8").alias("key"),
-        F.encode(F.expr(FLOW_LINE), "UTF-8").alias("value"),
+        F.encode(F.expr(line), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),
         (F.col("k") % 3).cast("int").alias("partition"),
         F.col("k").alias("offset"),

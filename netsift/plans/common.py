@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from netsift import fixtures
+from netsift import fixtures, schemas
 from netsift.operators import flow as flowop
 
 # the shipped policy (one rule per line)
@@ -18,9 +17,9 @@ SAMPLE_KEY = bytes([
 ])
 
 
-def parsed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parsed_flows(spark: SparkSession, sf_dir: str, line: str = fixtures.FLOW_LINE) -> DataFrame:
     """Envelope -> named cells, typed views and reject reason; ``k`` is the offset."""
-    env = fixtures.flow_envelope(spark, sf_dir)
+    env = fixtures.flow_envelope(spark, sf_dir, line=line)
     parsed = flowop.parse_flow(env)
     return parsed.withColumnRenamed("offset", "k")
 
@@ -56,11 +55,30 @@ flow_line AS (
   FROM flow
 )"""
 
+# The ragged records (fixtures.RAGGED_LINE), after FLOW_CTE: their text, number of cells and reason of rejection.
+RAGGED_CTE = """
+ragged_line AS (
+  SELECT *, CASE k % 97 WHEN 8 THEN 'a,b,c' WHEN 9 THEN NULL ELSE
+    concat(ts, ',', ts, ',0.5,', sa, ',', da, ',', CAST(sp AS VARCHAR), ',', dp, ',', pr, ',', flg, ',0,0,',
+           CASE WHEN k % 97 = 10 THEN 'x' ELSE CAST(ipkt AS VARCHAR) END, ',',
+           CASE WHEN k % 97 = 11 THEN '' ELSE CAST(ibyt AS VARCHAR) END, ',', CAST(opkt AS VARCHAR), ',', CAST(obyt AS VARCHAR),
+           repeat(',0', CASE k % 97 WHEN 5 THEN 32 WHEN 6 THEN 34 WHEN 7 THEN 45 ELSE 33 END)) END AS rline
+  FROM flow
+),
+ragged AS (
+  SELECT *, len(string_split(rline, ',')) AS n_cells,
+    CASE WHEN rline IS NULL THEN 'null record' WHEN len(string_split(rline, ',')) < 48 THEN 'fewer than 48 cells'
+         WHEN dp = '' THEN 'dp is not a number' WHEN k % 97 = 10 THEN 'ipkt is not a number'
+         WHEN k % 97 = 11 THEN 'ibyt is not a number' END AS reason
+  FROM ragged_line
+)"""
+
 # DuckDB feature expressions over the flow CTE (good rows: dp <> '')
+PORTS_SQL = ", ".join(map(str, schemas.COMMON_PORTS))
 FEATURES_SQL = """
     CAST(ipkt + opkt AS BIGINT) AS tpkt,
     CAST(ibyt + obyt AS DOUBLE) AS tbyt,
-    CAST(CAST(dp AS INTEGER) IN (20, 21, 22, 23, 25, 53, 67, 68, 69, 80, 110, 119, 123, 143, 161, 389, 443, 993, 1812, 5190) AS INTEGER) AS cp,
+    CAST(CAST(dp AS INTEGER) IN (""" + PORTS_SQL + """) AS INTEGER) AS cp,
     CAST(upper(trim(pr)) = 'TCP' AS INTEGER) AS prtcp,
     CAST(upper(trim(pr)) = 'UDP' AS INTEGER) AS prudp,
     CAST(upper(trim(pr)) = 'ICMP' AS INTEGER) AS pricmp,
@@ -77,10 +95,3 @@ FEATURES_SQL = """
 def with_cte(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
-
-
-def col_list(names) -> list:
-    return [F.col(n) for n in names]

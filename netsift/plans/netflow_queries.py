@@ -8,7 +8,7 @@ from netsift import schemas
 from netsift.functions import ipaddr
 from netsift.operators import features as feat
 from netsift.operators import flow as flowop
-from netsift.plans.common import FEATURES_SQL, FLOW_CTE, parsed_flows, with_cte
+from netsift.plans.common import FEATURES_SQL, FLOW_CTE, PORTS_SQL, RAGGED_CTE, parsed_flows, with_cte
 from netsift.plans.registry import register
 
 FLOW = with_cte(FLOW_CTE)
@@ -67,9 +67,8 @@ def flow_totals(spark, sf_dir):
 @register(
     "flow_common_port",
     FLOW + """
-SELECT k, CAST(CAST(dp AS INTEGER) IN (20, 21, 22, 23, 25, 53, 67, 68, 69, 80, 110, 119, 123, 143, 161, 389, 443,
-       993, 1812, 5190) AS INTEGER) AS cp
-FROM flow WHERE dp <> ''""",
+SELECT k, CAST(CAST(dp AS INTEGER) IN (%PORTS%) AS INTEGER) AS cp
+FROM flow WHERE dp <> ''""".replace("%PORTS%", PORTS_SQL),
 )
 def flow_common_port(spark, sf_dir):
     """Destination port of a common service."""
@@ -121,12 +120,8 @@ def flow_features_all(spark, sf_dir):
     return p.select("k", "sa", "da", *schemas.DERIVED_COLUMNS)
 
 
-@register(
-    "flow_append_line",
-    FLOW + """
-SELECT k, concat(line, ',', CAST(ipkt + opkt AS VARCHAR), ',', CAST(CAST(ibyt + obyt AS DOUBLE) AS VARCHAR), ',',
-    CAST(CAST(dp AS INTEGER) IN (20, 21, 22, 23, 25, 53, 67, 68, 69, 80, 110, 119, 123, 143, 161, 389, 443, 993, 1812,
-         5190) AS INTEGER), ',',
+_DERIVED_TEXT = """CAST(ipkt + opkt AS VARCHAR), ',', CAST(CAST(ibyt + obyt AS DOUBLE) AS VARCHAR), ',',
+    CAST(CAST(dp AS INTEGER) IN (%PORTS%) AS INTEGER), ',',
     CAST(upper(trim(pr)) = 'TCP' AS INTEGER), ',', CAST(upper(trim(pr)) = 'UDP' AS INTEGER), ',',
     CAST(upper(trim(pr)) = 'ICMP' AS INTEGER), ',', CAST(upper(trim(pr)) = 'IGMP' AS INTEGER), ',',
     CAST(upper(trim(pr)) NOT IN ('TCP', 'UDP', 'ICMP', 'IGMP') AS INTEGER), ',',
@@ -135,9 +130,10 @@ SELECT k, concat(line, ',', CAST(ipkt + opkt AS VARCHAR), ',', CAST(CAST(ibyt +
     CAST(contains(upper(trim(flg)), 'F') OR contains(upper(trim(flg)), 'X') AS INTEGER), ',',
     CAST(contains(upper(trim(flg)), 'R') OR contains(upper(trim(flg)), 'X') AS INTEGER), ',',
     CAST(contains(upper(trim(flg)), 'P') OR contains(upper(trim(flg)), 'X') AS INTEGER), ',',
-    CAST(contains(upper(trim(flg)), 'U') OR contains(upper(trim(flg)), 'X') AS INTEGER)) AS line
-FROM flow_line WHERE dp <> ''""",
-)
+    CAST(contains(upper(trim(flg)), 'U') OR contains(upper(trim(flg)), 'X') AS INTEGER)""".replace("%PORTS%", PORTS_SQL)
+
+
+@register("flow_append_line", FLOW + f"SELECT k, concat(line, ',', {_DERIVED_TEXT}) AS line FROM flow_line WHERE dp <> ''")
 def flow_append_line(spark, sf_dir):
     """The 62-cell record, raw cells then derived cells, as one line."""
     p = feat.add_features(flowop.good_rows(parsed_flows(spark, sf_dir)))
@@ -154,6 +150,44 @@ def flow_rejects(spark, sf_dir):
     return flowop.rejects(parsed_flows(spark, sf_dir)).select("k", "reject_reason")
 
 
+RAGGED = with_cte(FLOW_CTE, RAGGED_CTE)
+
+
+@register("flow_ragged_roundtrip", RAGGED + "SELECT k, n_cells, rline AS line, true AS same FROM ragged WHERE n_cells >= 48")
+def flow_ragged_roundtrip(spark, sf_dir):
+    """Records with more cells than the header come back whole."""
+    from netsift import fixtures
+
+    env = fixtures.flow_envelope(spark, sf_dir, line=fixtures.RAGGED_LINE)
+    p = flowop.whole_rows(flowop.parse_flow(env, keep=("offset", "value")))
+    line = flowop.to_flow_line(p, schemas.flow_columns())
+    return p.select(
+        F.col("offset").alias("k"), "n_cells", line.alias("line"), (line == F.col("value").cast("string")).alias("same")
+    )
+
+
+@register("flow_ragged_append", RAGGED + f"SELECT k, concat(rline, ',', {_DERIVED_TEXT}) AS line FROM ragged WHERE reason IS NULL")
+def flow_ragged_append(spark, sf_dir):
+    """Derived cells follow the last cell of the record, however many it has."""
+    from netsift import fixtures
+
+    p = feat.add_features(flowop.good_rows(parsed_flows(spark, sf_dir, fixtures.RAGGED_LINE)))
+    columns = schemas.flow_columns() + list(schemas.DERIVED_COLUMNS)
+    return p.select("k", flowop.to_flow_line(p, columns).alias("line"))
+
+
+@register(
+    "flow_ragged_rejects",
+    RAGGED + "SELECT k, reason AS reject_reason, rline AS rejected_record FROM ragged WHERE reason IS NOT NULL",
+)
+def flow_ragged_rejects(spark, sf_dir):
+    """short and null records and numbers that do not parse, with the reason and the record's text."""
+    from netsift import fixtures
+
+    p = flowop.rejects(parsed_flows(spark, sf_dir, fixtures.RAGGED_LINE))
+    return p.select("k", "reject_reason", "rejected_record")
+
+
 _V6_RE = schemas.IPV6_PATTERN.replace("'", "''")
 _V4_RE = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
 

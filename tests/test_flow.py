@@ -53,8 +53,35 @@ def test_reject_reason(golden):
 def test_strict_mode_raises(spark, golden):
     rows = [(b"G5", GOLDEN["G5"].encode(), "t", 0, 0)]
     env = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset bigint")
-    with pytest.raises(Exception):
-        flowop.parse_flow(env, mode="strict").collect()
+    strict = flowop.parse_flow(env, mode="strict")
+    # whichever columns are read
+    for out in (strict, strict.select("sa"), strict.select("key"), strict.select(flowop.to_flow_line(strict, schemas.flow_columns()))):
+        with pytest.raises(Exception, match="dp is not a number"):
+            out.collect()
+    good = spark.createDataFrame([(b"G1", GOLDEN["G1"].encode(), "t", 0, 0)], env.schema)
+    assert flowop.parse_flow(good, mode="strict").count() == 1
+
+
+def test_ragged_records(spark):
+    line = GOLDEN["G1"]
+    rows = [("short", "a,b,c"), ("47", line.rsplit(",", 1)[0]), ("48", line), ("49", line + ",x"), ("60", line + ",y" * 12), ("null", None), ("empty", "")]
+    env = spark.createDataFrame([(k.encode(), v.encode() if v is not None else None) for k, v in rows], "key binary, value binary")
+    p = flowop.parse_flow(env)
+    got = {r.key.decode(): r for r in p.select("*", flowop.to_flow_line(p, schemas.flow_columns()).alias("line")).collect()}
+    assert {k: r.reject_reason for k, r in got.items()} == {
+        "short": "fewer than 48 cells", "47": "fewer than 48 cells", "48": None, "49": None, "60": None, "null": "null record", "empty": "fewer than 48 cells"}
+    assert {k: r.rejected_record for k, r in got.items() if r.reject_reason} == {k: v for k, v in rows if k in ("short", "47", "null", "empty")}
+    assert [got[k].line for k in ("48", "49", "60")] == [line, line + ",x", line + ",y" * 12]
+    out = feat.add_features(flowop.good_rows(p))
+    cols = schemas.flow_columns() + list(schemas.DERIVED_COLUMNS)
+    full = {r.key.decode(): r.line for r in out.select("key", flowop.to_flow_line(out, cols).alias("line")).collect()}
+    assert full["49"].startswith(line + ",x,4,460.0,1,") and len(full["60"].split(",")) == 60 + 14
+
+
+def test_header_from_a_file(spark, tmp_path):
+    path = tmp_path / "header.csv"
+    path.write_text(schemas.DEFAULT_FLOW_HEADER + "\n")
+    assert schemas.read_flow_header(spark, str(path)) == schemas.flow_columns() == schemas.read_flow_header(spark, None)
 
 
 def test_line_round_trip_keeps_whitespace(golden):
