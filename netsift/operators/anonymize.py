@@ -12,9 +12,9 @@ Plan, for ``flows`` and anonymized columns ``cols``:
 3. ``apply_mapping``: rewrite each column with a left join on the trimmed
    cell. The mapping holds at most one row per address covered by the
    policy; its row count is checked, and it is broadcast only under the
-   limit. Above it, with the key at hand the pseudonym is computed inline
-   for sensitive cells (no shuffle of the flows at all); without the key a
-   shuffle join is used and adaptive execution splits skewed partitions.
+   limit. Above it a shuffle join is used, with the same result, and adaptive
+   execution splits skewed partitions. Pseudonyms are computed inline, without
+   a mapping, only where that is asked for.
 
 A sensitive cell is never left in clear: a policy-sensitive cell without a
 mapping becomes NULL, or raises with ``strict=True``.
@@ -32,7 +32,8 @@ from netsift.functions import cryptopan as cp
 from netsift.functions import ipaddr
 from netsift.operators import policy as pol
 
-MAX_BROADCAST_MAPPING_ROWS = 2_000_000
+# a row is two addresses of at most 45 characters: some 30 MB of broadcast
+MAX_BROADCAST_MAPPING_ROWS = 200_000
 
 
 def address_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -112,6 +113,9 @@ def apply_mapping(
     key: bytes | None = None,
     strategy: str = "auto",
     strict: bool = False,
+    unique: bool = False,
+    flag: bool = False,
+    only_flagged: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_MAPPING_ROWS,
 ) -> DataFrame:
     """Replace sensitive addresses in ``cols`` by their pseudonyms (A1, A2, M9).
@@ -122,20 +126,18 @@ def apply_mapping(
     ``strict``): it never passes in clear.
 
     ``strategy``: ``broadcast`` (mapping under ``max_broadcast_rows``, checked),
-    ``inline`` (needs ``key`` and ``policy``; no join), ``shuffle``, or ``auto``.
+    ``inline`` (needs ``key`` and ``policy``; no join), ``shuffle``, or ``auto``:
+    ``inline`` without a mapping, else one of the joins by the mapping's size;
+    the result does not depend on which. ``unique`` says that the mapping has
+    one row per address, as ``build_mapping`` gives it. ``flag`` adds
+    ``<column>_anonymized``, and ``only_flagged`` replaces only cells that are
+    so flagged (see ``deanonymize``).
     """
     n = None
     if mapping is not None and strategy in ("auto", "broadcast"):
         n = mapping.count()
     if strategy == "auto":
-        if mapping is None:
-            strategy = "inline"
-        elif n <= max_broadcast_rows:
-            strategy = "broadcast"
-        elif key is not None and policy is not None:
-            strategy = "inline"
-        else:
-            strategy = "shuffle"
+        strategy = "inline" if mapping is None else "broadcast" if n <= max_broadcast_rows else "shuffle"
     if strategy == "inline":
         if key is None or policy is None:
             raise ValueError("inline anonymization needs the key and the policy")
@@ -144,6 +146,8 @@ def apply_mapping(
             out = pol.match_policy(out, c, policy, out=f"_{c}_s")
             pseudonym = F.expr(cp.cryptopan_sql(ipaddr.trim_sql(ipaddr.name(c)), key))
             out = out.withColumn(c, F.when(F.col(f"_{c}_s"), pseudonym).otherwise(F.col(c)))
+            if flag:
+                out = out.withColumn(f"{c}_anonymized", F.col(f"_{c}_s"))
             out = out.drop(f"_{c}_s")
         return out
     if mapping is None:
@@ -152,14 +156,18 @@ def apply_mapping(
         raise ValueError(f"mapping has {n} rows, above max_broadcast_rows={max_broadcast_rows}")
     if strategy not in ("broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    m = mapping.select("original_ip", "obfuscated_ip").dropDuplicates(["original_ip"])
+    m = mapping.select("original_ip", "obfuscated_ip")
+    m = m if unique else m.dropDuplicates(["original_ip"])
     out = df
     for c in cols:
         mc = m.select(F.col("original_ip").alias(f"_{c}_orig"), F.col("obfuscated_ip").alias(f"_{c}_obf"))
         if strategy == "broadcast":
             mc = F.broadcast(mc)
-        out = out.join(mc, ipaddr.java_trim(c) == F.col(f"_{c}_orig"), "left")
+        same = ipaddr.java_trim(c) == F.col(f"_{c}_orig")
+        out = out.join(mc, same & F.col(f"{c}_anonymized") if only_flagged else same, "left")
         mapped = F.col(f"_{c}_orig").isNotNull()
+        if flag:
+            out = out.withColumn(f"{c}_anonymized", mapped)
         if policy is not None:
             out = pol.match_policy(out, c, policy, out=f"_{c}_s")
             value = F.when(mapped, F.col(f"_{c}_obf")).when(F.col(f"_{c}_s"), _unmapped(strict, c)).otherwise(F.col(c))
@@ -187,11 +195,18 @@ def deanonymize(
     *,
     max_broadcast_rows: int = MAX_BROADCAST_MAPPING_ROWS,
 ) -> DataFrame:
-    """Put original addresses back (A5): pseudonym cells -> canonical original text."""
+    """Put original addresses back (A5): pseudonym cells -> canonical original text.
+
+    A pseudonym may be a real address that also stands in clear somewhere.
+    Where ``df`` has the flags of ``apply_mapping(..., flag=True)``, only flagged
+    cells are put back; without flags, clear cells that equal a pseudonym
+    cannot be told apart and are put back too.
+    """
     rev = reverse_mapping(mapping).select(
         F.col("obfuscated_ip").alias("original_ip"), F.col("original_ip").alias("obfuscated_ip")
     )
-    return apply_mapping(df, cols, rev, strategy="auto", max_broadcast_rows=max_broadcast_rows)
+    flagged = all(f"{c}_anonymized" in df.columns for c in cols)
+    return apply_mapping(df, cols, rev, strategy="auto", unique=True, only_flagged=flagged, max_broadcast_rows=max_broadcast_rows)
 
 
 def audit(mapping: DataFrame) -> DataFrame:

@@ -72,9 +72,19 @@ def test_audit_rows(flows, policy):
     assert {r.result for r in rows} == {"anonymized"} and sum(r.n_cells for r in rows) == 6
 
 
-def test_over_limit_with_key_computes_inline(flows, policy):
-    mapping = anon.build_mapping(anon.sensitive_ips(flows, ["sa", "da"], policy), SAMPLE_KEY)
-    a = sorted(anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy).collect())
-    b = sorted(anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy, key=SAMPLE_KEY,
-                                  max_broadcast_rows=1).collect())
+def test_result_does_not_depend_on_the_size_of_the_mapping(spark, flows, policy):
+    partial = spark.createDataFrame([("10.10.5.7", "x")], "original_ip string, obfuscated_ip string")
+    a = sorted(anon.apply_mapping(flows, ["sa", "da"], partial, policy=policy, key=SAMPLE_KEY).collect(), key=str)
+    b = sorted(anon.apply_mapping(flows, ["sa", "da"], partial, policy=policy, key=SAMPLE_KEY, max_broadcast_rows=0).collect(), key=str)
     assert a == b
+    with pytest.raises(Exception):
+        anon.apply_mapping(flows, ["sa", "da"], partial, policy=policy, key=SAMPLE_KEY, strict=True, max_broadcast_rows=0).collect()
+
+
+def test_clear_cell_that_equals_a_pseudonym_stays(spark, flows, policy):
+    mapping = spark.createDataFrame(
+        [("10.10.5.7", "8.8.8.8"), ("fddd:be2e:c6ba::1", "2001:db8::1"), ("10.10.11.254", "1.1.1.1")], "original_ip string, obfuscated_ip string"
+    )
+    masked = anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy, flag=True)
+    back = anon.deanonymize(masked, ["sa", "da"], mapping).select("k", "sa", "da")
+    assert sorted(back.collect()) == sorted(flows.select("k", F.trim("sa").alias("sa"), "da").collect())
