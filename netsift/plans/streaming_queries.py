@@ -6,10 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from netsift import fixtures, schemas
+from netsift import fixtures
 from netsift.operators import policy as pol
 from netsift.plans.common import FLOW_CTE, POLICY, SAMPLE_KEY, with_cte
-from netsift.plans.netflow_queries import flow_append_line
 from netsift.plans.registry import ORACLE, register
 from netsift.plans.syslog_queries import parsed_logs
 from netsift.operators import syslog as sl
@@ -55,7 +54,7 @@ UNION ALL SELECT 'rejects', count(*) FROM flow WHERE dp = ''""",
 def stream_fanout_counts(spark, sf_dir):
     """One streaming query writes all outputs; rows per output."""
     root = _run_fanout(spark, sf_dir)
-    parts = [spark.read.parquet(os.path.join(root, name)).select(F.lit(name).alias("output")) for name in
+    parts = [snf.read_output(spark, root, name).select(F.lit(name).alias("output")) for name in
              ("anonymized", "preprocessed", "both", "rejects")]
     out = parts[0]
     for p in parts[1:]:
@@ -67,14 +66,14 @@ def stream_fanout_counts(spark, sf_dir):
 def stream_fanout_preprocessed(spark, sf_dir):
     """K2 through the fan-out: the preprocessed records equal the batch result."""
     root = _run_fanout(spark, sf_dir)
-    return spark.read.parquet(os.path.join(root, "preprocessed")).select(F.col("offset").alias("k"), F.col("value").alias("line"))
+    return snf.read_output(spark, root, "preprocessed").select(F.col("offset").alias("k"), F.col("value").alias("line"))
 
 
 @register("stream_fanout_both")
 def stream_fanout_both(spark, sf_dir):
     """K3 through the fan-out: anonymized and preprocessed records."""
     root = _run_fanout(spark, sf_dir)
-    return spark.read.parquet(os.path.join(root, "both")).select(F.col("offset").alias("k"), F.col("value").alias("line"))
+    return snf.read_output(spark, root, "both").select(F.col("offset").alias("k"), F.col("value").alias("line"))
 
 
 @register("stream_queries_preprocessed", ORACLE["flow_append_line"])
@@ -108,6 +107,3 @@ def stream_syslog_lines(spark, sf_dir):
          .option("checkpointLocation", scratch_path(spark, "syslog-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select(F.col("offset").alias("k"), "value")
-
-
-_ = (schemas, flow_append_line)

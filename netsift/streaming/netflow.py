@@ -4,10 +4,12 @@ Two ways to run the three outputs:
 
 * ``start_netflow_fanout`` (default): one query whose ``foreachBatch`` parses
   each micro-batch once, builds the batch's mapping (distinct sensitive
-  addresses only), persists, and writes every output. The source is read
-  once and the anonymization work is shared. Each output of batch ``b`` is
-  written to ``<root>/<name>/batch=<b>`` with overwrite, so a retried batch
-  replaces its own files and the result stays exactly-once.
+  addresses only) and writes every output. The source is read once and the
+  anonymization work is shared. The record outputs share a layout and are one
+  write, by output and batch: ``<root>/records/output=<name>/batch=<b>``; the
+  rejects and the mapping go to ``<root>/<name>/batch=<b>``. Files of a batch
+  are overwritten, so a retried batch replaces its own and the result stays
+  exactly-once. ``read_output`` reads one output back.
 * ``start_netflow_queries``: three independent streaming queries, each with
   its own checkpoint folder (disjoint), pseudonyms computed inline for
   sensitive cells, which needs no state and no join.
@@ -18,8 +20,10 @@ Records that cannot be parsed go to a ``rejects`` output in both forms.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,23 +55,24 @@ def netflow_outputs(
 ) -> dict[str, DataFrame]:
     """The three outputs and the rejects of parsed flow records, as record DataFrames.
 
-    ``anonymized`` may pass in the parsed rows already anonymized (e.g. persisted).
+    ``anonymized`` may pass in the whole rows already anonymized.
     """
     columns = list(columns or schemas.flow_columns())
     derived = columns + list(schemas.DERIVED_COLUMNS)
     good = flowop.good_rows(parsed)
+    whole = flowop.whole_rows(parsed, columns)  # short and null records are rejects only
     if anonymized is not None:
         pass
     elif mapping is not None:
-        anonymized = anon.apply_mapping(parsed, cols, mapping, policy=policy)
+        anonymized = anon.apply_mapping(whole, cols, mapping, policy=policy)
     else:
-        anonymized = anon.apply_mapping(parsed, cols, None, policy=policy, key=key, strategy="inline")
+        anonymized = anon.apply_mapping(whole, cols, None, policy=policy, key=key, strategy="inline")
     return {
         "anonymized": _as_record(anonymized, columns),
         "preprocessed": _as_record(feat.add_features(good), derived),
         "both": _as_record(feat.add_features(flowop.good_rows(anonymized)), derived),
         "rejects": parsed.filter(F.col("reject_reason").isNotNull()).select(
-            *[c for c in ("key", "partition", "offset") if c in parsed.columns], "reject_reason"
+            *[c for c in ("key", "partition", "offset") if c in parsed.columns], "reject_reason", "rejected_record"
         ),
     }
 
@@ -83,49 +88,35 @@ def fanout_batch(
     columns: Sequence[str] | None = None,
 ) -> None:
     """Parse one micro-batch once and write all outputs plus the batch's mapping."""
-    from netsift.session import spread
-
-    # a micro-batch from a topic with few partitions would use few cores
-    parsed = flowop.parse_flow(spread(batch), columns, keep=("key", "partition", "offset")).persist()
+    names = list(columns or schemas.flow_columns())
+    parsed = flowop.parse_flow(batch, columns, keep=("key", "partition", "offset")).persist()
+    mapping = None
     try:
-        mapping = anon.build_mapping(anon.sensitive_ips(parsed, cols, policy), key).persist()
+        whole = flowop.whole_rows(parsed, names)
+        mapping = anon.build_mapping(anon.sensitive_ips(whole, cols, policy), key).persist()
         # The mapping holds every sensitive (trimmed) cell of this very batch, so
         # no cell can be sensitive and unmapped: the per-cell policy check is skipped.
-        anonymized = anon.apply_mapping(parsed, cols, mapping).persist()
-        try:
-            outs = netflow_outputs(parsed, policy=policy, cols=cols, columns=columns, anonymized=anonymized)
-            # the three record outputs share a layout: one job writes them all
-            records = None
-            for name in OUTPUTS:
-                part = outs[name].withColumn("_output", F.lit(name))
-                records = part if records is None else records.unionByName(part)
-            staged = os.path.join(root, "_records", f"batch={batch_id}")
-            records.write.mode("overwrite").partitionBy("_output").parquet(staged)
-            for name in OUTPUTS:
-                src = os.path.join(staged, f"_output={name}")
-                _publish(batch.sparkSession, src, os.path.join(root, name, f"batch={batch_id}"))
-            for name, df in (("rejects", outs["rejects"]), ("mapping", mapping)):
-                df.write.mode("overwrite").parquet(os.path.join(root, name, f"batch={batch_id}"))
-        finally:
-            anonymized.unpersist()
-            mapping.unpersist()
+        anonymized = anon.apply_mapping(whole, cols, mapping, unique=True)
+        outs = netflow_outputs(parsed, policy=policy, cols=cols, columns=columns, anonymized=anonymized)
+        records = None
+        for name in OUTPUTS:
+            part = outs[name].withColumn("output", F.lit(name))
+            records = part if records is None else records.unionByName(part)
+        (records.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("output", "batch").parquet(os.path.join(root, "records")))
+        for name, df in (("rejects", outs["rejects"]), ("mapping", mapping)):
+            df.write.mode("overwrite").parquet(os.path.join(root, name, f"batch={batch_id}"))
     finally:
+        if mapping is not None:
+            mapping.unpersist()
         parsed.unpersist()
 
 
-def _publish(spark: SparkSession, src: str, dst: str) -> None:
-    """Move a finished output folder into place (a rename on the cluster filesystem)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_path, dst_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = src_path.getFileSystem(conf)
-    if fs.exists(dst_path):
-        fs.delete(dst_path, True)
-    fs.mkdirs(dst_path.getParent())
-    if fs.exists(src_path):
-        fs.rename(src_path, dst_path)
-    else:  # an output with no rows in this batch
-        fs.mkdirs(dst_path)
+def read_output(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One output of the fan-out: a record output by name, ``rejects`` or ``mapping``."""
+    if name not in OUTPUTS:
+        return spark.read.parquet(os.path.join(root, name))
+    return spark.read.parquet(os.path.join(root, "records")).filter(F.col("output") == name).drop("output")
 
 
 def start_netflow_fanout(
@@ -174,7 +165,7 @@ def start_netflow_queries(
         fmt = spec.pop("format", "parquet")
         df = outs[name]
         if fmt == "kafka":
-            df = df.select(*[c for c in ("key", "partition") if c in df.columns], F.col("value").cast("binary").alias("value"))
+            df = kafka_records(df)
         w = (df.writeStream.queryName(f"netflow-{name}").format(fmt).outputMode("append")
              .option("checkpointLocation", os.path.join(checkpoint_root, name)).options(**spec))
         if available_now:
@@ -183,11 +174,32 @@ def start_netflow_queries(
     return started
 
 
+def kafka_records(df: DataFrame) -> DataFrame:
+    """The columns a Kafka sink takes, with a binary value."""
+    keep = [c for c in ("key", "partition", "topic") if c in df.columns]
+    return df.select(*keep, F.col("value").cast("binary").alias("value"))
+
+
 def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until every query ends; a failure in any of them surfaces at once."""
+    """Wait until every query ends; the first failure stops the others and raises.
+
+    With ``timeout`` (seconds) queries still running then are stopped.
+    """
+    end = None if timeout is None else time.monotonic() + timeout
+    try:
+        while any(q.isActive for q in queries):
+            failed = [q for q in queries if not q.isActive and q.exception() is not None]
+            if failed or (end is not None and time.monotonic() >= end):
+                break
+            try:  # returns when any query of the session ends, or after a while
+                spark.streams.awaitAnyTermination(1.0 if end is None else max(0.01, min(1.0, end - time.monotonic())))
+            except StreamingQueryException:
+                pass  # of one of these, which is seen above, or of another query of the session
+            spark.streams.resetTerminated()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
     for q in queries:
-        q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
         if q.exception() is not None:
-            for other in queries:
-                other.stop()
             raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")

@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 
 from netsift import fixtures
@@ -26,8 +24,85 @@ def test_stream_fanout_equals_batch(spark, tmp_path):
 
     batch = snf.netflow_outputs(flowop.parse_flow(env), policy=policy, key=SAMPLE_KEY)
     for name in ("anonymized", "preprocessed", "both"):
-        got = spark.read.parquet(os.path.join(root, name)).select("offset", "value")
+        got = snf.read_output(spark, root, name).select("offset", "value")
         exp = batch[name].select("offset", "value")
         assert sorted(got.collect()) == sorted(exp.collect()), name
-    assert spark.read.parquet(os.path.join(root, "rejects")).count() == env.filter(F.lit(True)).count() - \
-        spark.read.parquet(os.path.join(root, "preprocessed")).count()
+    assert snf.read_output(spark, root, "rejects").count() == env.filter(F.lit(True)).count() - \
+        snf.read_output(spark, root, "preprocessed").count()
+
+
+def test_replayed_batch_replaces_its_own_files(spark, tmp_path):
+    env = fixtures.flow_envelope(spark, SMALL, line=fixtures.RAGGED_LINE)
+    policy, root = pol.read_policy(spark, lines=POLICY), str(tmp_path / "out")
+    for batch_id in (0, 1, 1):
+        part = env.filter(F.col("offset") % 2 == batch_id)
+        snf.fanout_batch(part, batch_id, root=root, policy=policy, key=SAMPLE_KEY)
+    counts = {n: snf.read_output(spark, root, n).count() for n in (*snf.OUTPUTS, "rejects")}
+    rejects = snf.read_output(spark, root, "rejects")
+    short = rejects.filter("reject_reason like 'fewer%' or reject_reason = 'null record'").count()
+    assert counts["anonymized"] == env.count() - short
+    assert counts["preprocessed"] == counts["both"] == env.count() - counts["rejects"]
+    assert rejects.filter("rejected_record is null").count() == rejects.filter("reject_reason = 'null record'").count()
+
+
+def test_restart_from_the_checkpoint(spark, tmp_path):
+    env, src, root = fixtures.flow_envelope(spark, SMALL), str(tmp_path / "src"), str(tmp_path / "out")
+    policy = pol.read_policy(spark, lines=POLICY)
+
+    def run():
+        stream = read_envelope(spark, "parquet", streaming=True, path=src)
+        q = snf.start_netflow_fanout(stream, root=root, checkpoint=str(tmp_path / "ck"), policy=policy, key=SAMPLE_KEY, available_now=True)
+        snf.await_all(spark, [q])
+        return sorted(r.offset for r in snf.read_output(spark, root, "anonymized").collect())
+
+    env.filter("offset < 300").write.mode("append").parquet(src)
+    assert run() == list(range(300))
+    env.filter("offset >= 300 and offset < 500").write.mode("append").parquet(src)
+    assert run() == list(range(500))
+    assert run() == list(range(500))  # nothing new: nothing written twice
+
+
+def test_a_failing_query_stops_the_others(spark, tmp_path):
+    import pytest
+
+    src = str(tmp_path / "src")
+    fixtures.flow_envelope(spark, SMALL).limit(10).write.parquet(src)
+    stream = read_envelope(spark, "parquet", streaming=True, path=src)
+
+    def fail(batch, batch_id):
+        raise ValueError("told to fail")
+
+    good = stream.writeStream.queryName("good").format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    bad = stream.writeStream.queryName("bad").foreachBatch(fail).option("checkpointLocation", str(tmp_path / "b")).start()
+    with pytest.raises(RuntimeError, match="bad failed"):
+        snf.await_all(spark, [good, bad], timeout=60)
+    assert not good.isActive and not bad.isActive
+
+
+def test_timed_run_stops(spark, tmp_path):
+    stream = spark.readStream.format("rate").load()
+    q = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).start()
+    snf.await_all(spark, [q], timeout=2)
+    assert not q.isActive
+
+
+def test_kafka_records(spark):
+    env = fixtures.flow_envelope(spark, SMALL)
+    out = snf.kafka_records(env.withColumn("value", F.col("value").cast("string")))
+    assert out.columns == ["key", "partition", "topic", "value"] and dict(out.dtypes)["value"] == "binary"
+
+
+def test_syslog_stream_with_console_preview(spark, tmp_path):
+    from netsift.operators import syslog as sl
+    from netsift.streaming import syslog as ssl
+
+    src = str(tmp_path / "src")
+    fixtures.syslog_envelope(spark, SMALL).write.parquet(src)
+    model = sl.fit_tfidf(sl.parse_syslog(spark.read.parquet(src)))
+    stream = read_envelope(spark, "parquet", streaming=True, path=src)
+    queries = ssl.start_syslog(stream, model, fmt="parquet", checkpoint=str(tmp_path / "ck"), options={"path": str(tmp_path / "out")},
+                               console=True, available_now=True, name="log lines")
+    snf.await_all(spark, queries, timeout=120)
+    assert [q.name for q in queries][0] == "log lines" and len(queries) == 2
+    want = ssl.syslog_lines(spark.read.parquet(src), model)
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(r.value for r in want.collect())
