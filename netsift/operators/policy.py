@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ KEY_WIDTH = {V4: 8, V6: 32}
 BUCKET_WIDTH = {V4: 4, V6: 8}  # v4: top 16 bits, v6: top 32 bits
 MAX_BUCKETS_PER_INTERVAL = 256
 MAX_OR_INTERVALS = 200
-MAX_BROADCAST_ROWS = 2_000_000
+# a row is at most 80 characters of hex: some 30 MB of broadcast
+MAX_BROADCAST_ROWS = 200_000
 MAX_RULES = 5_000_000
 
 
@@ -122,12 +124,31 @@ class Policy:
 
     ``rows`` holds the intervals on the driver when there are at most
     ``MAX_OR_INTERVALS`` of them (for the OR predicate); ``n`` is their count.
+    The bucket table is made once, however many columns are matched.
     """
 
     intervals: DataFrame
     n: int
     rows: list | None
 
+    @cached_property
+    def buckets(self) -> tuple[DataFrame, int]:
+        """The bucket table, written once, and its number of rows."""
+        table = _checkpointed(bucket_table(self.intervals))
+        return table, table.count()
+
+    @cached_property
+    def wide(self) -> list:
+        """Intervals too wide for buckets; merged intervals are disjoint, so they are few."""
+        return _checked_rows(wide_intervals(self.intervals), MAX_OR_INTERVALS, "wide policy intervals")
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    from netsift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 def read_policy(
     spark: SparkSession,
@@ -148,7 +169,7 @@ def read_policy(
     """
     if path is None and (lines is not None or default):
         # an inline policy is a config value: the same text compiles to the same intervals
-        memo_key = (id(spark), tuple(lines) if lines is not None else None, include_edges, strict, max_or_intervals)
+        memo_key = (spark.sparkContext.applicationId, id(spark), tuple(lines) if lines is not None else None, include_edges, strict, max_or_intervals)
         if memo_key not in _INLINE_MEMO:
             _INLINE_MEMO[memo_key] = _read_policy(
                 spark, None, lines=lines, include_edges=include_edges, default=default, strict=strict,
@@ -191,10 +212,7 @@ def _read_policy(spark, path, *, lines, include_edges, default, strict, max_rule
             rows = merged.collect()
             table = spark.createDataFrame(rows, "family int, lo string, hi string")
             return Policy(table, len(rows), rows)
-        from netsift.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
-        merged = merged.checkpoint(eager=True)
+        merged = _checkpointed(merged)
         return Policy(merged, merged.count(), None)
     finally:
         compiled.unpersist()
@@ -292,18 +310,16 @@ def match_policy(
         rows = policy.rows if policy.rows is not None else _checked_rows(intervals, max_or_intervals, "policy intervals")
         result = keyed.withColumn(out, or_predicate(f"_{column}_key", f"_{column}_fam", rows))
     elif plan == "bucket":
-        wide = _checked_rows(wide_intervals(intervals), max_or_intervals, "wide policy intervals")
-        buckets = bucket_table(intervals)
-        n = buckets.count()
-        if n > max_broadcast_rows:
-            raise ValueError(f"policy bucket table has {n} rows, above max_broadcast_rows={max_broadcast_rows}")
+        wide = policy.wide
+        buckets, n = policy.buckets
         b = buckets.select(
             F.col("family").alias("_pf"), F.col("bucket").alias("_pb"), F.col("lo").alias("_plo"), F.col("hi").alias("_phi")
         )
         width = F.when(fam == V6, BUCKET_WIDTH[V6]).otherwise(BUCKET_WIDTH[V4])
         keyed = keyed.withColumn(f"_{column}_bucket", key.substr(F.lit(1), width))
+        # over the limit: a shuffle join on family and bucket, with the same result
         joined = keyed.join(
-            F.broadcast(b),
+            F.broadcast(b) if n <= max_broadcast_rows else b.hint("merge"),
             (fam == F.col("_pf")) & (F.col(f"_{column}_bucket") == F.col("_pb")) & key.between(F.col("_plo"), F.col("_phi")),
             "left",
         )

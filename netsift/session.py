@@ -35,15 +35,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def spread(df, min_partitions: int | None = None):
-    """Spread a small input over the cluster's cores.
+    """Deal the rows of an input of a single split over the cluster's cores.
 
-    A scan of a small file is one partition, so every per-row expression
-    would run in one task. When the plan has fewer partitions than the
-    default parallelism, rows are dealt round-robin over that many; a large
-    input (already split by the scan) is returned untouched, never shuffled.
+    A file smaller than one split is one partition, and every per-row
+    expression would run in one task. At most one split's rows move; an input
+    of two splits and more is returned untouched.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df.rdd.getNumPartitions() == 1 and target > 1:
         return df.repartition(target)
     return df
 
@@ -52,8 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (set by whoever runs the
-    cluster). Only when it is unset, as in local tests, a scratch folder is
-    created and registered.
+    cluster). Only when it is unset on a local master, as in tests, a scratch
+    folder is created and registered; elsewhere that folder would exist on one
+    machine only, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="netsift-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -26,3 +26,18 @@ def test_ranges_are_ordered(spark):
 def test_single_partition_option(spark):
     df = spark.range(100).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("key"))
     assert ordering.order_by_key(df, single=True).rdd.getNumPartitions() == 1
+
+
+def test_ordered_snapshot_from_and_to_envelope_files(spark, tmp_path):
+    from netsift import fixtures
+    from netsift.sources.envelope import kafka_options, read_envelope, write_envelope
+
+    env = fixtures.flow_envelope(spark, "/root/testdata/sf0.001")
+    write_envelope(env, "parquet", path=str(tmp_path / "in"))
+    snapshot = read_envelope(spark, "parquet", path=str(tmp_path / "in"))
+    ordering.write_ordered(snapshot, str(tmp_path / "out"))
+    parts = sorted((tmp_path / "out").glob("part-*.parquet"))
+    keys = [bytes(r.key) for p in parts for r in spark.read.parquet(str(p)).collect()]
+    assert keys == sorted(bytes(r.key) for r in env.collect())
+    assert kafka_options("h:1", "t", starting_offsets="earliest", fail_on_data_loss=True) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "true"}

@@ -68,6 +68,26 @@ def test_three_plans_agree_and_keep_rows(spark):
     assert any(r.sa_sensitive for r in results[0]) and not all(r.sa_sensitive for r in results[0])
 
 
+def test_bucket_table_over_the_broadcast_limit_is_shuffled(spark):
+    from netsift.plans.anonymize_queries import ANY_POLICY
+    from netsift.plans.common import parsed_flows
+
+    flows = parsed_flows(spark, "/root/testdata/sf0.001").select("k", "da")
+    p = pol.read_policy(spark, lines=ANY_POLICY)
+    small = pol.match_policy(flows, "da", p, plan="bucket")
+    large = pol.match_policy(flows, "da", p, plan="bucket", max_broadcast_rows=0)
+    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_policy_from_a_file(spark, tmp_path):
+    path = tmp_path / "policy.txt"
+    path.write_text("\n".join([*POLICY, "", "  10.1.1.1  "]))
+    assert _intervals(pol.read_policy(spark, str(path))) == _intervals(pol.read_policy(spark, lines=[*POLICY, "10.1.1.1"]))
+    with pytest.raises(Exception):
+        pol.read_policy(spark, str(tmp_path / "missing.txt"))
+
+
 def test_bucket_plan_is_a_broadcast_hash_join(spark):
     flows = spark.createDataFrame([("10.10.5.9",)], "sa string")
     p = pol.read_policy(spark, lines=POLICY)
