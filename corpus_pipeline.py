@@ -30,9 +30,11 @@ def _as_documents(result: DataFrame, docs: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the given labels of these documents, rejects go."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    renamed = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    scored = score_documents(renamed, model, id_col="id", text_col="t", keep=["id", "row"])
-    return scored.filter("predicted = 0").select("row.*")
+    # under other names, as documents may have columns named like the scores
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    scored = score_documents(renamed, model, id_col=names["doc_id"], text_col=names["text"], keep=list(names.values()))
+    return scored.filter("predicted = 0").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

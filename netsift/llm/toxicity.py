@@ -13,7 +13,7 @@ sample (``per_grade`` documents a label, see ``labelled``) outside the held-out
 Defined results: a null or empty text is one empty sentence, which gets the
 model's base rate; without examples of both labels the score is the share of label 1 (0
 without any). Rows are scored each by itself, so repeats and ties get equal scores; an
-empty table gives no rows; other columns are kept by ``score_documents`` only if asked for.
+empty table gives no rows; other columns are returned by ``score_documents`` only if asked for, before its own.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ BITS = 20
 PREFIXES = (3, 4, 5, 6)
 Z = 5.0
 MIN_DOCS = 5
-PER_GRADE = 6000
+PER_GRADE = 3000
 THRESHOLD = 0.7
-KNOWN = 500_000
+KNOWN = 300_000
 
 
 def word_features(word: str) -> tuple[int, ...]:
@@ -67,20 +67,21 @@ def train(texts: list[str], y: np.ndarray, rounds: int = 60, rate: float = 0.2,
     positive = y > 0
     if not positive.any() or positive.all():
         return {"feature": [-2], "weight": [float(positive.mean()) if len(y) else 0.0]}
-    known: dict[str, np.ndarray] = {}
+    known: dict[str, tuple[int, ...]] = {}
     feature, instance, doc_of, n = [], [], [], 0
     for d, text in enumerate(texts):
         for _, _, words in sentences(text) if WORD.search(text) else [(0, 0, [])]:
             for w in set(words):
                 if w not in known:
-                    known[w] = np.array(word_features(w), np.int64)
-            f = np.unique(np.concatenate([known[w] for w in set(words)])) if words else np.zeros(0, np.int64)
+                    known[w] = word_features(w)
+            f = np.fromiter(set().union(*map(known.__getitem__, words)), np.int32)
             feature.append(f)
-            instance.append(np.full(len(f), n))
+            instance.append(np.full(len(f), n, np.int32))
             doc_of.append(d)
             n += 1
+    del known
     feature, instance, doc_of = np.concatenate(feature), np.concatenate(instance), np.array(doc_of)
-    used = labelled.telling(np.unique(feature << 32 | doc_of[instance]), positive, 1 << BITS, Z, MIN_DOCS)
+    used = labelled.telling(np.unique(feature.astype(np.int64) << 32 | doc_of[instance]), positive, 1 << BITS, Z, MIN_DOCS)
     keep = used[feature]
     names, feature = np.unique(feature[keep], return_inverse=True)
     instance = instance[keep]
@@ -147,7 +148,9 @@ def score_documents(
     """``id[, kept columns], held_out, score, predicted, offending`` per row; ``offending`` has places in characters and probabilities."""
     weights = dict(zip(model["feature"].tolist(), model["weight"].tolist()))
     keep = keep or [id_col]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("o"), F.col(f"`{text_col}`").alias("t"))
+    others = [c for c in keep if c != text_col]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("o"), F.col(f"`{text_col}`").alias("t"))
+    text_too = text_col in keep  # the text then goes back as it came
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,12 +159,14 @@ def score_documents(
             found = [scorer(t.as_py() or "") for t in batch.column("t")]
             places = [[{"start": a, "end": b, "score": p} for a, b, p in x] for _, x in found]
             cols = [batch.column("o"), pa.array([s for s, _ in found], pa.float64()), pa.array(places, spans)]
-            yield pa.RecordBatch.from_arrays(cols, ["o", "score", "offending"])
+            cols += [batch.column("t")] if text_too else []
+            yield pa.RecordBatch.from_arrays(cols, ["o", "score", "offending", "t"][: len(cols)])
 
     shape = rows.schema["o"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"o {shape}, score double, offending array<struct<start:int,end:int,score:double>>")
+    schema = f"o {shape}, score double, offending array<struct<start:int,end:int,score:double>>" + ", t string" * text_too
+    out = rows.mapInArrow(run, schema)
     return out.select(
-        *[F.col("o").getField(c).alias(c) for c in keep],
+        *[(F.col("t") if c == text_col else F.col("o").getField(c)).alias(c) for c in keep],
         labelled.held_out(F.col("o").getField(id_col)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
