@@ -2,22 +2,24 @@
 
 Parsing is five ``regexp_extract`` calls; scoring is a Spark ML
 ``PipelineModel`` (RegexTokenizer -> StopWordsRemover -> CountVectorizerModel
--> IDFModel), a chain of narrow projections that runs unchanged on a stream.
+-> ElementwiseProduct by the IDF weights), a chain of narrow projections that
+runs unchanged on a stream.
 
-Fitting is distributed: term counts are a partial (map-side) aggregation, so
-a term in every line costs one row per task; only the ``vocab_size`` most
-frequent terms reach the driver. Ties in frequency are broken by the term
-text, so the vocabulary is deterministic. The IDF fit aggregates one vector
-of ``vocab_size`` per task.
+Fitting is one distributed pass: term and line counts are one partial
+(map-side) aggregation, so a term in every line costs one row per task; only
+the ``vocab_size`` most frequent terms reach the driver. Ties in frequency are
+broken by the term text, so the vocabulary is deterministic.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,13 +101,39 @@ def vocabulary_counts(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("tf").desc(), F.col("term"))))
 
 
-def fit_vocabulary(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) -> list[str]:
-    """Terms by corpus frequency, ties by term text; at most ``vocab_size`` reach the driver."""
-    counts = filtered.select(F.explode("filteredMessage").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("tf")
+def term_counts(filtered: DataFrame) -> DataFrame:
+    """``term, tf, df``: corpus count and number of lines of every term; the NULL term counts the lines.
+
+    One pass and one shuffle for both counts; map-side combine leaves one row per task and term.
+    """
+    entries = F.expr(
+        "concat(transform(filteredMessage, t -> named_struct('term', t, 'tf', 1L, 'df', 0L)),"
+        " transform(array_distinct(filteredMessage), t -> named_struct('term', t, 'tf', 0L, 'df', 1L)),"
+        " array(named_struct('term', cast(null as string), 'tf', 0L, 'df', 1L)))"
     )
-    rows = counts.orderBy(F.col("tf").desc(), F.col("term")).limit(vocab_size).collect()
-    return [r.term for r in rows]
+    rows = filtered.select(F.explode(entries).alias("e")).select("e.*")
+    return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def fit_vocabulary(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) -> list[str]:
+    """Terms by corpus frequency, ties by term text."""
+    return vocabulary_statistics(filtered, vocab_size)[0]
+
+
+def vocabulary_statistics(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) -> tuple[list[str], list[int], int]:
+    """Terms by corpus frequency, ties by term text, with their line counts, and the number of lines.
+
+    At most ``vocab_size`` + 1 rows reach the driver.
+    """
+    first = F.col("term").isNull().desc()
+    rows = term_counts(filtered).orderBy(first, F.col("tf").desc(), F.col("term")).limit(vocab_size + 1).collect()
+    lines = rows[0].df if rows else 0
+    return [r.term for r in rows[1:]], [r.df for r in rows[1:]], lines
+
+
+def idf_weights(df: Sequence[int], lines: int, min_doc_freq: int) -> list[float]:
+    """``ln((lines + 1) / (df + 1))`` per term, 0 below the minimum line count (T5)."""
+    return [math.log((lines + 1) / (n + 1)) if n >= min_doc_freq else 0.0 for n in df]
 
 
 def fit_tfidf(
@@ -115,16 +143,13 @@ def fit_tfidf(
     min_doc_freq: int = schemas.MIN_DOC_FREQ,
     stop_words: Sequence[str] | None = None,
 ) -> PipelineModel:
-    """Fit tokenizer -> stop words -> term counts -> IDF on parsed lines."""
+    """Fit tokenizer -> stop words -> term counts -> IDF weights on parsed lines (T3, T5, T9), in one pass over them."""
     tok, rem = tokenizer(), stop_words_remover(stop_words)
     filtered = rem.transform(tok.transform(df.select("message"))).select("filteredMessage")
-    filtered = filtered.persist()
-    try:
-        vocab = fit_vocabulary(filtered, vocab_size)
-        tf = CountVectorizerModel.from_vocabulary(vocab, inputCol="filteredMessage", outputCol="tfFeatures")
-        idf = IDF(minDocFreq=min_doc_freq, inputCol="tfFeatures", outputCol="tfidfFeatures").fit(tf.transform(filtered))
-    finally:
-        filtered.unpersist()
+    vocab, counts, lines = vocabulary_statistics(filtered, vocab_size)
+    tf = CountVectorizerModel.from_vocabulary(vocab, inputCol="filteredMessage", outputCol="tfFeatures")
+    weights = Vectors.dense(idf_weights(counts, lines, min_doc_freq))
+    idf = ElementwiseProduct(scalingVec=weights, inputCol="tfFeatures", outputCol="tfidfFeatures")
     return PipelineModel(stages=[tok, rem, tf, idf])
 
 
@@ -154,8 +179,9 @@ def to_syslog_line(df: DataFrame, vector: str = "tfidfFeatures", keep: Sequence[
 
 
 def sparse_entries(df: DataFrame, vector: str, keep: Sequence[str] = ("k",)) -> DataFrame:
-    """Non-zero vector entries in long form: ``keep..., pos, x``."""
-    return df.select(*keep, F.posexplode(vector_to_array(vector)).alias("pos", "x")).filter(F.col("x") != 0)
+    """Non-zero vector entries in long form: ``keep..., pos, x``; zeros are left out before rows are made."""
+    numbered = F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("pos"), x.alias("x")))
+    return df.select(*keep, F.inline(F.filter(numbered, lambda e: e["x"] != 0)))
 
 
 def stop_words_sql(stop_words: Sequence[str] | None = None) -> str:

@@ -116,7 +116,7 @@ def syslog_tf(spark, sf_dir):
 def syslog_idf(spark, sf_dir):
     """T5: inverse document frequency per vocabulary term (0 below the minimum document count)."""
     p, model = fitted(spark, sf_dir)
-    weights = [float(x) for x in model.stages[-1].idf.toArray()]  # vocab_size values
+    weights = [float(x) for x in model.stages[-1].getScalingVec().toArray()]  # vocab_size values
     rows = spark.createDataFrame(list(enumerate(weights)), "pos int, idf double")
     return rows.select("pos", F.col("idf").cast("decimal(18,9)").alias("idf"))
 

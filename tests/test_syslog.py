@@ -20,7 +20,7 @@ def test_tfidf_example(spark):
     df = spark.createDataFrame([(i, m) for i, m in enumerate(docs)], "k long, message string")
     model = sl.fit_tfidf(df, vocab_size=4, min_doc_freq=2, stop_words=["for", "the"])
     assert list(model.stages[2].vocabulary) == ["password", "root", "accepted", "failed"]
-    idf = list(model.stages[3].idf.toArray())
+    idf = list(model.stages[3].getScalingVec().toArray())  # the IDF weights
     assert idf[2:] == [0.0, 0.0] and all(math.isclose(x, math.log(4 / 3)) for x in idf[:2])
     scored = sl.score(df, model).orderBy("k")
     dense = [r.d for r in scored.select(sl.dense_text().alias("d")).collect()]
