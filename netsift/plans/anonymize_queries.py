@@ -204,3 +204,53 @@ def deanonymize(spark, sf_dir):
     mapping = cryptopan_mapping(spark, p)
     anonymized = anon.apply_mapping(p, COLS, mapping, unique=True, flag=True)
     return anon.deanonymize(anonymized, COLS, mapping).select("k", "sa", "da")
+
+
+@register("anonymize_then_features_checked", FLOW + "SELECT k, sa, da," + FEATURES_SQL + "\nFROM flow WHERE dp <> ''")
+def anonymize_then_features_checked(spark, sf_dir):
+    """The flagship's features, with its addresses put back through the mapping."""
+    p = flowop.good_rows(parsed_flows(spark, sf_dir))
+    mapping = cryptopan_mapping(spark, p)
+    out = feat.add_features(anon.apply_mapping(p, COLS, mapping, unique=True, flag=True))
+    return anon.deanonymize(out, COLS, mapping).select("k", "sa", "da", *schemas.DERIVED_COLUMNS)
+
+
+def _v4_number(ip: str, part) -> str:
+    return " + ".join(f"CAST({part(ip, i)} AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+
+
+def _shared_bits(a: str, b: str, xor) -> str:
+    return f"CASE WHEN {a} = {b} THEN 32 ELSE 32 - length(bin({xor(a, b)})) END"
+
+
+@register(
+    "cryptopan_v4_prefixes",
+    FLOW + f"""
+, ips AS (SELECT DISTINCT trim(sa) AS ip FROM flow),
+n AS (SELECT ip, {_v4_number('ip', lambda c, i: f"split_part({c}, '.', {i + 1})")} AS a FROM ips),
+g AS (SELECT a // 65536 AS net, min(a) AS first FROM n GROUP BY 1)
+SELECT ip AS original_ip, CAST({_shared_bits('a', 'first', lambda a, b: f'xor({a}, {b})')} AS INTEGER) AS shared, true AS preserved
+FROM n JOIN g ON n.a // 65536 = g.net""",
+)
+def cryptopan_v4_prefixes(spark, sf_dir):
+    """A4: an address shares as many leading bits with the first of its /16 as their pseudonyms share."""
+    m = anon.materialize(cryptopan_v4(spark, sf_dir).select("original_ip", "obfuscated_ip"))
+    part = lambda c, i: f"split({c}, '[.]')[{i}]"
+    n = m.selectExpr("original_ip", f"{_v4_number('original_ip', part)} AS a", f"{_v4_number('obfuscated_ip', part)} AS b")
+    n = n.withColumn("net", F.expr("a div 65536"))
+    first = n.groupBy("net").agg(F.min(F.struct("a", "b")).alias("f")).select("net", F.col("f.a").alias("fa"), F.col("f.b").alias("fb"))
+    both = n.join(first, "net")
+    shared, out = (_shared_bits(x, y, lambda p, q: f"{p} ^ {q}") for x, y in (("a", "fa"), ("b", "fb")))
+    return both.selectExpr("original_ip", f"{shared} AS shared", f"{shared} = {out} AS preserved")
+
+
+@register(
+    "build_mapping_keys",
+    with_cte(FLOW_CTE, _SENSITIVE_CELLS) + "SELECT original_ip, family, n_cells, true AS one_to_one FROM sensitive",
+)
+def build_mapping_keys(spark, sf_dir):
+    """A3: every sensitive address has one pseudonym of its own family, and no two share one."""
+    m = anon.materialize(build_mapping(spark, sf_dir))
+    used = m.groupBy("obfuscated_ip").agg(F.count(F.lit(1)).alias("n"))
+    same = F.when(F.instr("obfuscated_ip", ":") > 0, 6).otherwise(4) == F.col("family")
+    return m.join(used, "obfuscated_ip").select("original_ip", "family", "n_cells", ((F.col("n") == 1) & same).alias("one_to_one"))

@@ -6,11 +6,13 @@ import os
 
 from pyspark.sql import functions as F
 
-from netsift import fixtures
+from netsift import fixtures, schemas
+from netsift.operators import anonymize as anon
+from netsift.operators import flow as flowop
 from netsift.operators import policy as pol
 from netsift.plans.common import FLOW_CTE, POLICY, SAMPLE_KEY, with_cte
 from netsift.plans.registry import ORACLE, register
-from netsift.plans.syslog_queries import parsed_logs
+from netsift.plans.syslog_queries import line_values, parsed_logs
 from netsift.operators import syslog as sl
 from netsift.session import scratch_path
 from netsift.sources.envelope import read_envelope
@@ -107,3 +109,22 @@ def stream_syslog_lines(spark, sf_dir):
          .option("checkpointLocation", scratch_path(spark, "syslog-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select(F.col("offset").alias("k"), "value")
+
+
+@register("stream_syslog_values", ORACLE["syslog_tfidf"])
+def stream_syslog_values(spark, sf_dir):
+    """K4: the streamed records, read back, hold the TF-IDF weights."""
+    return line_values(stream_syslog_lines(spark, sf_dir))
+
+
+@register("stream_fanout_both_checked", ORACLE["flow_append_line"])
+def stream_fanout_both_checked(spark, sf_dir):
+    """K3 A5: the anonymized and preprocessed records, with their addresses put back through the batch mappings."""
+    root = _run_fanout(spark, sf_dir)
+    both = snf.read_output(spark, root, "both")
+    columns = schemas.flow_columns()
+    cells = flowop.parse_flow(both.select("offset", F.col("value").cast("binary").alias("value")), keep=("offset",))
+    mapping = snf.read_output(spark, root, "mapping").select("original_ip", "obfuscated_ip").distinct()
+    mapping = anon.materialize(mapping)  # no clear address of these flows equals a pseudonym
+    back = anon.deanonymize(cells, schemas.DEFAULT_ANONYMIZE_COLUMNS, mapping)
+    return back.select(F.col("offset").alias("k"), flowop.to_flow_line(back, columns).alias("line"))

@@ -173,3 +173,26 @@ def syslog_csv_roundtrip(spark, sf_dir):
 def syslog_preview(spark, sf_dir):
     """The first five parsed lines (a top-k by key; the limit is the feature)."""
     return parsed_logs(spark, sf_dir).select("k", *schemas.SYSLOG_FIELDS).orderBy("k").limit(5)
+
+
+def line_values(lines):
+    """``k, value`` records -> the non-zero values of the vector in the text, in long form."""
+    text = F.regexp_extract("value", r"^(?:[^,]*,){4}(.*)$", 1)
+    values = lines.select("k", F.posexplode(F.split(text, ", ")).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
+    return values.filter("x <> 0").select("k", "pos", F.col("x").cast("decimal(18,9)").alias("x"))
+
+
+@register("syslog_line_values", _TFIDF_SQL)
+def syslog_line_values(spark, sf_dir):
+    """The output records, read back, hold the TF-IDF weights."""
+    return line_values(syslog_line(spark, sf_dir))
+
+
+@register("syslog_dense_values", _TFIDF_SQL)
+def syslog_dense_values(spark, sf_dir):
+    """The dense text, read back, and the dense array hold the same weights."""
+    p, model = fitted(spark, sf_dir)
+    s = sl.score(p, model).select("k", F.split(sl.dense_text(), ", ").alias("text"), sl.dense_array().alias("array"))
+    pairs = s.select("k", F.posexplode(F.arrays_zip("text", "array")).alias("pos", "v"))
+    same = pairs.filter((F.col("v.array") != 0) & (F.col("v.text").cast("double") == F.col("v.array")))
+    return same.select("k", "pos", F.col("v.array").cast("decimal(18,9)").alias("x"))
