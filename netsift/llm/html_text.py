@@ -6,10 +6,10 @@ A block's ratio is its text outside links over its tags; blocks in elements that
 (menus, footers, forms, by tag, role, or words of their class and id) have
 ratio 0. The smoothed ratios are split at their standard deviation (never
 above their mean): runs above it are content regions. The regions vote, by their text, for
-the element that holds the article: an ``article`` or ``main`` if there is one, or else the
-smallest element with most of the regions' text. Of an ``article`` or ``main`` every block
-stays that is not in such an excluded element; of another element those from the first region to the
-last that are not mostly links, and headings before them.
+the element that holds the article: the innermost ``article`` or ``main`` with most of what these hold, or
+else the smallest element with most of the regions' text. Of an ``article`` or ``main`` every block
+stays that is not in such an excluded element; of another element those that are not mostly links; of the body those
+from the first region to the last and headings before them.
 
 White space in a block becomes one space, ``br`` counts as white space, blocks are joined by a
 newline. Defined results: a null, empty or tagless-blank page has an empty text; text without any tag is one block; unclosed
@@ -185,13 +185,16 @@ def main_text(html: str | None) -> str:
             e = e.parent
     articles = {a: n for a, n in votes.items() if a.article is a}
     if articles:
-        best = max(articles, key=lambda a: (articles[a], _depth(a)))
+        most = max(articles.values())
+        best = max((a for a, n in articles.items() if n >= MOST * most), key=_depth)
         return "\n".join(t for t, _, _, e in blocks if not e.out and _within(e, best))
     total = sum(len(blocks[k][0]) for k in chosen)
     best = max((e for e, n in votes.items() if n >= MOST * total), key=_depth)
     if best.tag in HEADINGS or best.tag in ("p", "li", "td"):
         best = best.parent or best
     inside = [k for k in range(len(blocks)) if not blocks[k][3].out and _within(blocks[k][3], best)]
+    if best.tag not in ("body", "html", ""):  # an element of its own: all of it but lists of links
+        return "\n".join(blocks[k][0] for k in inside if content[k] or 2 * blocks[k][2] < len(blocks[k][0]))
     marked = [k for k in inside if content[k]]
     first, last = marked[0], marked[-1]
     before = [k for k in inside if k < first]

@@ -41,6 +41,13 @@ def test_article_with_header_inside_and_comments():
     assert main_text(page).split("\n") == ["Head", LOREM.strip(), "point one", "point two", "said", "a", "b"]
 
 
+def test_main_with_article_and_short_ends():
+    page = f"""<body><main><article><h1>H</h1><p>{LOREM * 9}</p><p>End.</p></article><div><p>{LOREM}</p></div></main></body>"""
+    assert main_text(page).split("\n") == ["H", (LOREM * 9).strip(), "End."]
+    page = f"""<body><div class=nav><a href=x>a</a></div><div class=post><h1>H</h1><p>{LOREM * 9}</p><p>One.<p>Two.<p>Three.<p>End.</div><div class=footer>{LOREM}</div>"""
+    assert main_text(page).split("\n") == ["H", (LOREM * 9).strip(), "One.", "Two.", "Three.", "End."]
+
+
 def test_odd_input():
     assert main_text(None) == main_text("") == main_text("  \n ") == main_text("<p></p>") == ""
     assert main_text("just  text &lt;here&gt;") == "just text <here>"
