@@ -1,6 +1,6 @@
 """Log lines: parse, tokenize, drop stop words, fit and apply TF-IDF, format.
 
-Parsing is five ``regexp_extract`` calls; scoring is a Spark ML
+Parsing is one pass of the pattern over a line; scoring is a Spark ML
 ``PipelineModel`` (RegexTokenizer -> StopWordsRemover -> CountVectorizerModel
 -> ElementwiseProduct by the IDF weights), a chain of narrow projections that
 runs unchanged on a stream.
@@ -47,9 +47,18 @@ def parse_syslog(df: DataFrame, column: str = "value", keep: Sequence[str] = ())
     regex extraction does; ``matched`` tells them apart.
     """
     keep = [c for c in keep if c in df.columns]
-    line = F.col(column).cast("string")
-    fields = [F.regexp_extract(line, schemas.SYSLOG_PATTERN, i + 1).alias(n) for i, n in enumerate(schemas.SYSLOG_FIELDS)]
-    return df.select(*keep, *fields, line.rlike(schemas.SYSLOG_PATTERN).alias("matched"))
+    # One pass of the pattern over a line, whichever fields are read: the match is
+    # rewritten as newline-separated parts, the timestamp last. No other field can
+    # hold a newline, and no line that matches begins with one.
+    stage = df.select(*keep, F.col(column).cast("string").alias("_line"))
+    rewritten = F.regexp_replace("_line", schemas.SYSLOG_PATTERN + r"(?s:.*)$", "\n$2\n$3\n$4\n$5\n$1")
+    parts = F.when(~F.startswith("_line", F.lit("\n")) & F.startswith(rewritten, F.lit("\n")), F.split(rewritten, "\n", 6))
+    stage = stage.select(*keep, "_line", F.explode(F.array(parts)).alias("_parts"))
+    matched = F.col("_parts").isNotNull()
+    place = dict(zip(("hostname", "appname", "pid", "message", "timestamp"), range(1, 6)))
+    text = {n: F.when(matched, F.get("_parts", F.lit(place[n]))).when(F.col("_line").isNotNull(), "") for n in schemas.SYSLOG_FIELDS}
+    return stage.select(*keep, *[text[n].alias(n) for n in schemas.SYSLOG_FIELDS],
+                        F.when(F.col("_line").isNotNull(), matched).alias("matched"))
 
 
 def read_syslog_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -56,3 +56,15 @@ def test_csv_round_trip(spark, tmp_path):
     sl.write_syslog_csv(df, str(tmp_path / "csv"))
     assert sorted(sl.read_syslog_csv(spark, str(tmp_path / "csv")).collect()) == sorted(df.collect())
     assert pytest  # keep import used
+
+
+def test_one_pass_parse_equals_field_by_field(spark):
+    from netsift import schemas
+
+    good = "Oct 11 22:14:15 host app[12]: message"
+    lines = [good, "Oct \n 11 22:14:15 h a[1]: m\nnext line", "\n" + good, "x" + good, good + "\r\nrest", "Oct 11 22:14:15 h\x01 a$1\\[7]: $2 \\n \n", "", None,
+             "Oct 11 22:14:15 h a[1]: ", "Oct 11 22:14:15 h a[1]:", "Oct 11 22:14:15 h a[b][3]: [4]: z"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "k int, value string")
+    want = df.select("k", *[F.regexp_extract("value", schemas.SYSLOG_PATTERN, i + 1).alias(n) for i, n in enumerate(schemas.SYSLOG_FIELDS)],
+                     F.col("value").rlike(schemas.SYSLOG_PATTERN).alias("matched"))
+    assert sl.parse_syslog(df, keep=("k",)).select(want.columns).orderBy("k").collect() == want.orderBy("k").collect()
