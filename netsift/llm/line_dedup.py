@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.llm.common import columns_as
+from netsift.llm.pretokens import slabs
 from netsift.session import scratch_path
 
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 BATCHES = 4
 FANOUT = 2
 LAST = 2**63 - 1
+SLAB = 4 << 20
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -122,7 +124,7 @@ def repeated_lines(
     bounds = _numbered(docs, id_col, text_col).agg(F.percentile_approx("d", shares, 10_000)).first()[0] if shares else []
     number = sum([F.when(F.col("d") > b, 1).otherwise(0) for b in bounds or []], F.lit(0))
     path = scratch_path(spark, "line-occurrences")
-    found.withColumn("batch", number).write.partitionBy("batch").parquet(path)
+    found.withColumn("batch", number).write.parquet(path)  # a filter on the batch skips what lies in others
     table = spark.read.schema("d bigint, h binary, batch int").parquet(path)
     runs, gone = LineRuns(spark, fanout), None
     for i in range(batches):
@@ -148,20 +150,23 @@ def _rewrite(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batche
 
     def run(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in part:
-            out, n_lines, n_dropped = [], [], []
-            for text, drop in zip(batch.column("t"), batch.column("drop")):
-                raw = text.as_py()
-                lines = (raw or "").encode().split(b"\n")
-                kept = lines
-                if drop.is_valid:
-                    away = set(drop.as_py())
-                    kept = [x for x in lines if line_key(x, min_chars) not in away]
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(kept))
-                text_out = b"\n".join(kept)
-                out.append(hashlib.sha256(text_out).hexdigest() if digest else text_out.decode() if len(kept) < len(lines) else raw)
-            cols = [batch.column("o"), pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, ["o", "t", "n_lines", "n_dropped"])
+            rows = zip(range(batch.num_rows), batch.column("t"), batch.column("drop"))
+            for slab in slabs(rows, lambda x: len(x[1].as_buffer() or b""), SLAB):
+                out, n_lines, n_dropped = [], [], []
+                for _, text, drop in slab:
+                    raw = text.as_py()
+                    lines = (raw or "").encode().split(b"\n")
+                    kept = lines
+                    if drop.is_valid:
+                        away = set(drop.as_py())
+                        kept = [x for x in lines if line_key(x, min_chars) not in away]
+                    n_lines.append(len(lines))
+                    n_dropped.append(len(lines) - len(kept))
+                    text_out = b"\n".join(kept)
+                    out.append(hashlib.sha256(text_out).hexdigest() if digest else text_out.decode() if len(kept) < len(lines) else raw)
+                others = batch.column("o").slice(slab[0][0], len(slab))
+                cols = [others, pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["o", "t", "n_lines", "n_dropped"])
 
     done = joined.select("o", "t", "drop").mapInArrow(run, schema)
     name = "kept_sha256" if digest else text_col

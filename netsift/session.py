@@ -34,15 +34,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+#: Inputs of so few splits are dealt over the cores: about 1 GB at the default split size, whatever the cluster's.
+FEW_SPLITS = 8
+
+
 def spread(df, min_partitions: int | None = None):
-    """Deal the rows of an input of a single split over the cluster's cores.
+    """Deal the rows of an input of a few splits over the cluster's cores.
 
-    A file smaller than one split is one partition, and every per-row
-    expression would run in one task. At most one split's rows move; an input
-    of two splits and more is returned untouched.
+    A small file is one row group, so all its rows are in one of its splits and
+    every per-row expression would run in one task. The splits that are dealt
+    out have a fixed bound; a larger input is returned untouched.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() == 1 and target > 1:
+    if df.rdd.getNumPartitions() <= min(FEW_SPLITS, target - 1):
         return df.repartition(target)
     return df
 
