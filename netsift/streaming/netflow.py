@@ -96,15 +96,11 @@ def fanout_batch(
         mapping = anon.build_mapping(anon.sensitive_ips(whole, cols, policy), key).persist()
         # The mapping holds every sensitive (trimmed) cell of this very batch, so
         # no cell can be sensitive and unmapped: the per-cell policy check is skipped.
-        anonymized = anon.apply_mapping(whole, cols, mapping, unique=True)
-        outs = netflow_outputs(parsed, policy=policy, cols=cols, columns=columns, anonymized=anonymized)
-        records = None
-        for name in OUTPUTS:
-            part = outs[name].withColumn("output", F.lit(name))
-            records = part if records is None else records.unionByName(part)
+        records = _all_records(whole, cols, names, mapping)
+        rejects = netflow_outputs(parsed, policy=policy, cols=cols, columns=columns, anonymized=whole)["rejects"]
         (records.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("output", "batch").parquet(os.path.join(root, "records")))
-        for name, df in (("rejects", outs["rejects"]), ("mapping", mapping)):
+        for name, df in (("rejects", rejects), ("mapping", mapping)):
             df.write.mode("overwrite").parquet(os.path.join(root, name, f"batch={batch_id}"))
     finally:
         if mapping is not None:
@@ -112,6 +108,19 @@ def fanout_batch(
         parsed.unpersist()
 
 
+def _all_records(whole: DataFrame, cols: Sequence[str], columns: Sequence[str], mapping: DataFrame) -> DataFrame:
+    """The rows of all three record outputs with ``output``, in one pass: each record's lines are made side by side."""
+    derived = [*columns, *schemas.DERIVED_COLUMNS]
+    good = F.col("reject_reason").isNull()
+    rows = feat.add_features(whole)
+    rows = rows.withColumn("_clear", F.when(good, flowop.to_flow_line(rows, derived)))
+    rows = anon.apply_mapping(rows, cols, mapping, unique=True)
+    lines = {"anonymized": flowop.to_flow_line(rows, columns), "preprocessed": F.col("_clear"), "both": F.when(good, flowop.to_flow_line(rows, derived))}
+    made = F.explode(F.array(*[F.struct(F.lit(name).alias("output"), lines[name].alias("value")) for name in OUTPUTS]))
+    keep = [c for c in ("key", "partition", "offset") if c in rows.columns]
+    return rows.select(*keep, made.alias("_r")).select(*keep, "_r.value", "_r.output").filter("value is not null")
+
+
 def read_output(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One output of the fan-out: a record output by name, ``rejects`` or ``mapping``."""
     if name not in OUTPUTS:
