@@ -10,7 +10,8 @@ patterns with multiplicities. Spark numbers the pieces of each length (within
 salted groups, then by the groups' running counts) and every piece looks up its
 sequence and offset from its length and number.
 
-Defined results: a null or empty text is a document of the end id alone; rows
+Defined results: an added token of the vocabulary standing in a text has its own id, as
+``tokenizers`` gives it; a null or empty text is a document of the end id alone; rows
 repeating an id are documents of their own; an empty table gives no pieces.
 Other columns are ignored.
 """
@@ -39,38 +40,54 @@ Pattern = tuple[int, tuple[int, ...]]  # how many sequences, the lengths in each
 
 
 class TokenEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, without special tokens; special strings are ordinary text.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes; nothing is put around a text.
 
     The vocabulary is the ``tokenizers`` file's; the ids come from its rank file
     through ``tiktoken``, which takes a quarter of the CPU time for the same ids.
     One text of every slab is encoded by ``tokenizers`` too, and a difference raises.
+
+    ``added``: strings that the file registers as added tokens have their one id, as
+    ``tokenizers`` gives it; else they are ordinary text.
     """
 
-    def __init__(self, path: str, ranks_path: str):
+    def __init__(self, path: str, ranks_path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
         self._reference = Tokenizer.from_file(path)
-        self._reference.encode_special_tokens = True
+        self._reference.encode_special_tokens = not added
+        tokens = self._reference.get_added_tokens_decoder() if added else {}
+        # one that is matched as it stands; others meet rules that only tokenizers has
+        plain = len(tokens) < 2 and not any(t.single_word or t.lstrip or t.rstrip for t in tokens.values())
+        special = {t.content: i for i, t in tokens.items()} if plain else {}
+        self._whole = [] if plain else [t.content for t in tokens.values()]
         ranks = read_ranks(ranks_path)
-        self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def _by_reference(self, text: str) -> bytes:
+        return np.array(self._reference.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        if any(x in text for x in self._whole):
+            return self._by_reference(text)
+        return self._fast.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = [self._fast.encode_to_numpy(t, disallowed_special=()).astype("<u4", copy=False).tobytes() for t in texts]
+        out = [self._ids(t) for t in texts]
         k = min(range(len(texts)), key=lambda i: len(texts[i]) or 1 << 40)
-        if np.array(self._reference.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes() != out[k]:
+        if self._by_reference(texts[k]) != out[k]:
             raise ValueError("the rank file does not give the tokenizer's ids")
         return out
 
 
 @lru_cache(maxsize=2)
-def token_encoder(path: str | None = None, ranks_path: str | None = None) -> TokenEncoder:
+def token_encoder(path: str | None = None, ranks_path: str | None = None, added: bool = False) -> TokenEncoder:
     """Once per Python worker; None: the public 50k vocabulary of the worker's machine."""
     import public_tokenizers as p
 
-    return TokenEncoder(path or p.path("byte_bpe_50k.json"), ranks_path or p.path("byte_bpe_50k.tiktoken"))
+    return TokenEncoder(path or p.path("byte_bpe_50k.json"), ranks_path or p.path("byte_bpe_50k.tiktoken"), added)
 
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -91,7 +108,7 @@ def cut_documents(
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = token_encoder(path, ranks_path)
+        encoder = token_encoder(path, ranks_path, added=True)
         for batch in batches:
             rows = zip(range(batch.num_rows), batch.column(1))
             for slab in slabs(((i, t.as_py() or "") for i, t in rows), lambda x: len(x[1]), SLAB):

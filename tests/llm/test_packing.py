@@ -3,7 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers as P
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from netsift.llm import packing as pk
 from netsift.llm.common import table
@@ -87,6 +87,28 @@ def test_ids_equal_the_tokenizers_library():
         assert got == b"".join(i.to_bytes(4, "little") for i in want)
 
 
+ADDED = ["end of page <|endoftext|> next", "<|endoftext|>", "<|endoftext|><|endoftext|> ", "a  <|endoftext|>\n\n b", "<|endoftext| >", "<|endoftext|>" * 3000]
+
+
+def test_added_tokens_in_texts(spark):
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encoder = pk.token_encoder(added=True)
+    assert encoder.encode(ADDED[:1]) == [b"".join(i.to_bytes(4, "little") for i in (437, 286, 2443, 220, 50256, 1306))]
+    for t, got in zip(ADDED, encoder.encode(ADDED)):
+        assert got == b"".join(i.to_bytes(4, "little") for i in tok.encode(t, add_special_tokens=False).ids)
+    df = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    check_rows(pk.pack_documents(df).collect(), dict(enumerate(ADDED)))
+
+
+def test_added_tokens_with_rules_of_their_own(tmp_path):
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tok.add_special_tokens([AddedToken("<|end", single_word=True), AddedToken("[x]", rstrip=True)])
+    tok.save(str(tmp_path / "more.json"))
+    texts = [*ADDED, "a [x]  b", "<|end of", "<|ends"]
+    for t, got in zip(texts, pk.TokenEncoder(str(tmp_path / "more.json"), P.path("byte_bpe_50k.tiktoken"), added=True).encode(texts)):
+        assert got == b"".join(i.to_bytes(4, "little") for i in tok.encode(t, add_special_tokens=False).ids)
+
+
 def test_table(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = pk.pack_documents(docs).collect()
