@@ -45,6 +45,7 @@ class TokenEncoder:
     The vocabulary is the ``tokenizers`` file's; the ids come from its rank file
     through ``tiktoken``, which takes a quarter of the CPU time for the same ids.
     One text of every slab is encoded by ``tokenizers`` too, and a difference raises.
+    A text that ``tiktoken`` cannot match (white space of some million characters) is encoded by ``tokenizers`` whole.
 
     ``added``: strings that the file registers as added tokens have their one id, as
     ``tokenizers`` gives it; else they are ordinary text.
@@ -72,7 +73,10 @@ class TokenEncoder:
     def _ids(self, text: str) -> bytes:
         if any(x in text for x in self._whole):
             return self._by_reference(text)
-        return self._fast.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()
+        try:
+            return self._fast.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:  # the pattern's stack is bounded
+            return self._by_reference(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = [self._ids(t) for t in texts]

@@ -2,6 +2,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 from tokenizers import AddedToken, Tokenizer
 
@@ -109,6 +110,15 @@ def test_added_tokens_with_rules_of_their_own(tmp_path):
         assert got == b"".join(i.to_bytes(4, "little") for i in tok.encode(t, add_special_tokens=False).ids)
 
 
+def test_very_long_white_space(spark):
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["x" + " " * 1_000_000 + "y", "\n" * 1_200_000 + "<|endoftext|>z", "short"]
+    for t, got in zip(texts, pk.token_encoder(added=True).encode(texts)):
+        assert got == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_rows(pk.pack_documents(df).collect(), dict(enumerate(texts)))
+
+
 def test_table(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = pk.pack_documents(docs).collect()
