@@ -66,6 +66,33 @@ def test_against_brute_force(spark, cell_rows):
     assert sum(got[i][2:] == w[2:] for i, w in want.items()) >= 0.99 * len(want)
 
 
+def hundreds(seed):
+    return [(100 * i, *r) for i, *r in planted(seed)]
+
+
+def test_clusters_of_low_recall_are_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(ed, "search", lambda x, edges, queries, threshold: np.zeros((len(queries), len(x)), bool))  # finds nothing at any overlap
+    monkeypatch.setattr(ed, "BLOCK", 24 * 8 * 200)
+    rows = hundreds(5)
+    got = sorted(tuple(r) for r in ed.embedding_groups(spark.createDataFrame(rows, SCHEMA), cell_rows=100).collect())
+    assert [g[:4] for g in got] == sorted(brute(rows))
+    assert {g[4] for g in got} == {1.0}
+
+
+def test_a_lump_does_not_hide_a_cluster_of_low_recall(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=24)
+    lump = [(100 * i, (v + rng.normal(size=24) * 0.02).tolist(), 1, "u") for i in range(300)]
+    pairs = [x for i in range(20) for x in 2 * [rng.normal(size=24)]]
+    small = [(100 * (1000 + i), (x + rng.normal(size=24) * 0.01).tolist(), 2, "u") for i, x in enumerate(pairs)]
+    real = ed.search
+    # label 2 has few rows in its one shard, and nothing is found there
+    monkeypatch.setattr(ed, "search", lambda x, edges, q, t: real(x, edges, q, t) if len(x) > 100 else np.zeros((len(q), len(x)), bool))
+    got = {r.vec_id: tuple(r)[:4] for r in ed.embedding_groups(spark.createDataFrame(lump + small, SCHEMA)).collect()}
+    want = {r[0]: r for r in brute(lump + small)}
+    assert all(got[r[0]] == want[r[0]] for r in small)
+
+
 def test_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
