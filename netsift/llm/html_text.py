@@ -37,7 +37,9 @@ BLOCKS = HEADINGS | frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form head header "
     "hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = frozenset("head title script style noscript template svg math canvas iframe object video audio select option textarea button".split())
+HIDDEN = frozenset("head title script style noscript template svg math canvas iframe object video audio select datalist option textarea button".split())
+#: What may stand in a head; anything else ends it, as its end tag may be left out.
+HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())
 ASIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 #: Words of a class or id that mark what is not the article; a name is split at anything but letters, and at capitals.
@@ -92,8 +94,16 @@ class Blocks(HTMLParser):
                 return tag not in ("html", "body")
         return False
 
+    def _left_open(self, tag: str) -> None:
+        """End a head or options, whose end tags may be left out, at a tag that cannot be in them."""
+        if "head" in self._mute and (tag == "body" or self._mute[-1] == "head" and tag not in HEAD):
+            self._mute.clear()
+        elif self._mute and tag in BLOCKS and set(self._mute) == {"option"}:
+            self._mute.clear()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
+        self._left_open(tag)
         if tag in HIDDEN:
             if tag in BLOCKS:
                 self._end_block()
@@ -123,6 +133,8 @@ class Blocks(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
+        if set(self._mute) == {"option"}:
+            self._left_open(tag)
         if self._mute:
             if tag in self._mute:
                 del self._mute[self._mute.index(tag) :]
@@ -141,6 +153,8 @@ class Blocks(HTMLParser):
             self.at, self._links = e.parent, 0
 
     def handle_data(self, data: str) -> None:
+        if self._mute == ["head"] and data.strip():
+            self._mute.clear()
         if not self._mute:
             self._text.append(data)
             if self._links:

@@ -48,6 +48,17 @@ def test_main_with_article_and_short_ends():
     assert main_text(page).split("\n") == ["H", (LOREM * 9).strip(), "One.", "Two.", "Three.", "End."]
 
 
+def test_end_tags_left_out():
+    one = LOREM.strip()
+    assert main_text(f"<head><title>T</title><body><p>{LOREM}") == one
+    assert main_text(f"<html><head><meta charset=utf-8><title>T</title><script>x</script><article><p>{LOREM}</article>") == one
+    assert main_text(f"<head><title>T</title>{LOREM}<p>{LOREM}") == f"{one}\n{one}"
+    assert main_text(f"<head><noscript><div>no</div></noscript><title>T</title></head><body><p>{LOREM}") == one
+    assert main_text(f"<body><datalist><option value=a>a<option value=b>b</datalist><p>{LOREM}") == one
+    assert main_text(f"<body><div><option>a<option>b</div><p>{LOREM}") == one
+    assert main_text(f"<body><select><option>a<option>b</select><p>{LOREM}") == one
+
+
 def test_odd_input():
     assert main_text(None) == main_text("") == main_text("  \n ") == main_text("<p></p>") == ""
     assert main_text("just  text &lt;here&gt;") == "just text <here>"
