@@ -4,7 +4,8 @@ The standard library's streaming parser turns a page into blocks (a text between
 two tags of block elements) with the number of tags in each and the elements around it.
 A block's ratio is its text outside links over its tags; blocks in elements that hold no article
 (menus, footers, forms, by tag, role, or words of their class and id) have
-ratio 0. The smoothed ratios are split at their standard deviation (never
+ratio 0. Words and ``form`` are only a sign: they exclude no heading, nothing by its id inside an ``article``, and no element that
+holds most of the page's text outside links or the article itself. The smoothed ratios are split at their standard deviation (never
 above their mean): runs above it are content regions. The regions vote, by their text, for
 the element that holds the article: the innermost ``article`` or ``main`` with most of what these hold, or
 else the smallest element with most of the regions' text. Of an ``article`` or ``main`` every block
@@ -37,7 +38,7 @@ BLOCKS = HEADINGS | frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form head header "
     "hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = frozenset("head title script style noscript template svg math canvas iframe object video audio select datalist option textarea button".split())
+HIDDEN = frozenset("head title script style noscript template svg annotation annotation-xml canvas iframe object video audio select datalist option textarea button".split())
 #: What may stand in a head; anything else ends it, as its end tag may be left out.
 HEAD = frozenset("base basefont bgsound link meta title script style noscript template".split())
 ASIDE = frozenset("nav footer aside form menu dialog fieldset".split())
@@ -50,15 +51,21 @@ WORDS = frozenset(
 )
 #: Words that do so outside an article only, where they do not name its own title.
 OUTER_WORDS = frozenset("header masthead topbar".split())
+#: Words that mark even an ``article`` or ``main``, and what holds most of an article's text.
+HARD_WORDS = frozenset("comment comments related sponsored promo ad".split())
+#: Words that an id may have besides, where it names a part of the page and not a heading's text.
+PLACES = frozenset("left right top bottom main primary secondary box container wrapper wrap inner outer area block list bar".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "out", "article")
+    """``out``: excluded, ``sign``: to be excluded unless it holds most of the page's text or the article, ``firm``: not for most of the text."""
 
-    def __init__(self, tag: str, parent: Element | None, out: bool, article: Element | None):
-        self.tag, self.parent, self.out, self.article = tag, parent, out, article
+    __slots__ = ("tag", "parent", "out", "article", "sign", "firm")
+
+    def __init__(self, tag: str, parent: Element | None, out: bool, article: Element | None, sign: bool = False, firm: bool = False):
+        self.tag, self.parent, self.out, self.article, self.sign, self.firm = tag, parent, out, article, sign, firm
 
 
 class Blocks(HTMLParser):
@@ -71,6 +78,8 @@ class Blocks(HTMLParser):
         self._text: list[str] = []
         self._tags = self._linked = self._links = 0
         self._mute: list[str] = []
+        self._signs = False
+        self._elements: list[Element] = []
 
     def _end_block(self) -> None:
         text = " ".join("".join(self._text).split())
@@ -80,20 +89,28 @@ class Blocks(HTMLParser):
         self._text, self._linked = [], 0
 
     def _excluded(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        inside = self.at.article is not None
-        if tag in ASIDE or (tag == "header" and not inside):
+        if (tag in ASIDE and tag != "form") or (tag == "header" and self.at.article is None):
             return True
         for name, value in attrs:
-            if name in ("class", "id") and value:
-                words = {w.lower() for w in _NAMES.findall(value)}
-                if words & WORDS or (not inside and tag not in ("html", "body") and words & OUTER_WORDS):
-                    return tag not in ("html", "body", "article", "main") or bool(words & {"comment", "comments", "related", "sponsored", "promo", "ad"})
-            elif name == "role" and value and value.lower() in ROLES:
+            if name == "role" and value and value.lower() in ROLES and (tag, value.lower()) != ("form", "form"):
                 return True
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return tag not in ("html", "body")
         return False
 
+    def _words(self, tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+        """Words of the class and id that mark the element."""
+        if tag in HEADINGS or tag in ("html", "body"):
+            return set()
+        inside, found = self.at.article, set()
+        known = WORDS if inside is not None else WORDS | OUTER_WORDS
+        for name, value in attrs:
+            if name in ("class", "id") and value:
+                words = {w.lower() for w in _NAMES.findall(value)}
+                if name == "class" or ((inside is None or inside.tag != "article") and words <= known | PLACES):
+                    found |= words & known
+        return found & HARD_WORDS if tag in ("article", "main") else found
+
     def _left_open(self, tag: str) -> None:
         """End a head or options, whose end tags may be left out, at a tag that cannot be in them."""
         if "head" in self._mute and (tag == "body" or self._mute[-1] == "head" and tag not in HEAD):
@@ -122,7 +139,11 @@ class Blocks(HTMLParser):
             self.at = self.at.parent  # closed by what follows
         if tag not in VOID:
             out = self.at.out or self._excluded(tag, attrs)
-            self.at = Element(tag, self.at, out, self.at.article)
+            words = set() if out else self._words(tag, attrs)
+            firm = self.at.article is not None and bool(words & HARD_WORDS)
+            self.at = Element(tag, self.at, out, self.at.article, tag == "form" or bool(words), firm)
+            self._elements.append(self.at)
+            self._signs |= self.at.sign
             if tag in ("article", "main") and not out:
                 self.at.article = self.at
 
@@ -165,8 +186,35 @@ class Blocks(HTMLParser):
             self.feed(html[i : i + FEED])
         self.close()
         self._end_block()
+        if self._signs:
+            self._settle()
         return self.blocks
 
+    def _settle(self) -> None:
+        """Exclude elements by their signs, but not what holds most of the page's text outside links or the article."""
+        held: dict[Element, int] = {}
+        total = rest = 0
+        for text, _, linked, e in self.blocks:
+            n = len(text) - linked
+            total += n
+            if not e.out:
+                rest += n
+                while e is not None:
+                    held[e] = held.get(e, 0) + n
+                    e = e.parent
+        kept = set()
+        articles = {e: n for e, n in held.items() if e.article is e and not e.sign}
+        if articles:
+            most = max(articles.values())
+            best = max((e for e, n in articles.items() if n >= MOST * most), key=_depth)
+            if 2 * held[best] >= rest:
+                while best is not None:
+                    kept.add(best)
+                    best = best.parent
+        for e in self._elements:  # parents come first
+            much = held.get(e, 0) >= MOST * total and not e.firm
+            e.out = e.out or e.parent.out or (e.sign and not much and e not in kept)
+
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     radius = math.ceil(3 * sigma)

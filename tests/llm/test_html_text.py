@@ -59,6 +59,27 @@ def test_end_tags_left_out():
     assert main_text(f"<body><select><option>a<option>b</select><p>{LOREM}") == one
 
 
+def test_words_and_forms_around_the_article():
+    one, long = LOREM.strip(), (LOREM * 5).strip()
+    side = f'<div class="sidebar"><p>{LOREM}</p></div>'
+    for start in ("div class='has-sidebar'", "div class='layout-sidebar-right'", "div id='comments-list'", "form"):
+        end = f"</{start.split()[0]}>"
+        assert main_text(f"<body><{start}><article><h1>H</h1><p>{long}</article>{side}{end}<footer>{LOREM}</footer>") == f"H\n{long}"
+        assert main_text(f"<body><{start}><div><h1>H</h1><p>{long}<p>{long}</div>{side}{end}") == f"H\n{long}\n{long}"
+    assert main_text(f"<article><div class=elementor-widget-container><p>{long}</p></div>{side}</article>") == long
+    page = f"""<article><h2 id=social-impact class=share>Social</h2><p>{LOREM}<section id=notice-periods><p>{LOREM}</section>
+    <section id="sharing-data"><p>{LOREM}</section></article>"""
+    assert main_text(page) == "\n".join(["Social", one, one, one])
+    page = f"""<body><div class=post><h2 id=social-impact>Social</h2><p>{LOREM}<section id=notice-periods><p>{LOREM}</section><p>{LOREM}</div>"""
+    assert main_text(page) == "\n".join(["Social", one, one, one])
+    assert main_text(f"<body><form><p>{LOREM}</form><div class=post><p>{LOREM * 3}</div>") == (LOREM * 3).strip()
+
+
+def test_math_in_a_paragraph():
+    page = f"<article><p>{LOREM}<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> end</article>"
+    assert main_text(page) == f"{LOREM}x=2 end"
+
+
 def test_odd_input():
     assert main_text(None) == main_text("") == main_text("  \n ") == main_text("<p></p>") == ""
     assert main_text("just  text &lt;here&gt;") == "just text <here>"
