@@ -6,7 +6,7 @@ again for the next stage.
 
 Defined results: rows with a null or empty text go through every stage and are packed as the end id alone (all of them are one SimHash
 group, so one with an id stays). Rows with a null id are never chosen for, nor removed by, a SimHash group; of rows repeating an id one stays
-there. An empty table gives no rows. Extra columns are carried to the last stage but one.
+there for each group that the id names. An empty table gives no rows. Extra columns are carried to the last stage but one.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from netsift.llm.common import materialize
 from netsift.llm.line_dedup import drop_lines
 from netsift.llm.packing import pack_documents
-from netsift.llm.simhash_dedup import simhash_groups
+from netsift.llm.simhash_dedup import add_fingerprints, simhash_groups
 from netsift.llm.suffix_dedup import cut_repeats
 from netsift.llm.toxicity import fit_toxicity, score_documents
 from netsift.session import scratch_path
@@ -44,12 +45,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays."""
-    groups = simhash_groups(docs.select("doc_id", "text"))
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    stays = docs.join(first, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    stays = stays.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
-    return stays.unionByName(docs.filter("doc_id is null"))
+    groups = materialize(simhash_groups(docs.select("doc_id", "text"), with_root=True))
+    marked = groups.filter("doc_id = component_id")
+    apart = groups.groupBy("doc_id").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("doc_id is not null and lo < hi")
+    apart = materialize(apart.select("doc_id"))
+    columns = [f"`{c}`" for c in docs.columns]
+    stays = docs.join(marked.join(apart, "doc_id", "left_anti").select("doc_id").distinct(), "doc_id", "left_semi").select(*columns)
+    stays = _first_of(stays, "doc_id").unionByName(docs.filter("doc_id is null"))
+    if apart.isEmpty():
+        return stays
+    # rows of one id in several groups: their fingerprints tell which row is in which
+    rows = docs.join(apart, "doc_id", "left_semi").select(*columns, F.coalesce("text", F.lit("")).alias("__text"))
+    prints = add_fingerprints(rows.select("__text").distinct(), "__text", "__text")
+    prints = prints.select(F.col("id").alias("__text"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("__print"))
+    named = marked.select("doc_id", F.col("fingerprint").alias("__print"), F.col("root").alias("__root")).distinct()
+    rows = _first_of(rows.join(prints, "__text").join(named, ["doc_id", "__print"]), "doc_id", "__root")
+    return stays.unionByName(rows.select(*columns))
+
+
+def _first_of(rows: DataFrame, *keys: str) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("text")))
+    return rows.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -210,14 +210,17 @@ def links(distinct: DataFrame, t: int = T, tile_rows: int | None = None) -> Data
 
 
 def simhash_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, t: int = T, tile_rows: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, t: int = T, tile_rows: int | None = None, with_root: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, ``fingerprint`` (hex) and ``component_id``, the smallest id reachable."""
+    """One row per row of ``docs``: its id, ``fingerprint`` (hex) and ``component_id``, the smallest id reachable.
+
+    ``with_root`` adds ``root``, which tells groups apart that a repeated id names alike.
+    """
     rows = materialize(add_fingerprints(docs, id_col, text_col, width))
     distinct = materialize(rows.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(links(distinct, t, tile_rows), "a", "b")
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "root").select("fp", "component_id")
+    named = named.join(lowest, "root").select("fp", "component_id", "root")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), text.alias("fingerprint"), "component_id")
+    return rows.join(named, "fp").select(F.col("id").alias(id_col), text.alias("fingerprint"), "component_id", *["root"] * with_root)

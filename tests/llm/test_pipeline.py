@@ -68,3 +68,12 @@ def test_nulls_repeats_long_texts_and_empty_tables(spark, rows):
     assert docs.columns == COLS
     n = cp.STAGES[-1][1](spark, docs, SF).count()
     assert n >= 4 if rows else n == 0
+
+
+def test_a_repeated_id_in_several_groups_keeps_one_row_of_each(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}
+    rows = [(5, texts["a"]), (9, texts["a"]), (5, texts["b"]), (12, texts["b"]), (5, texts["a"]), (3, texts["c"]), (7, texts["c"]), (7, texts["d"]), (8, texts["d"]),
+            (20, None), (20, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text or "") for r in cp.simhash_dedup(spark, docs, SF).collect())
+    assert got == [(3, texts["c"]), (5, texts["a"]), (5, texts["b"]), (7, texts["d"]), (20, "")]
