@@ -12,6 +12,7 @@ from netsift.llm.embedding_dedup import embedding_groups
 from netsift.llm.exact_dedup import exact_dedup
 from netsift.llm.html_text import extract_text
 from netsift.llm.line_dedup import line_digests
+from netsift.llm.merkle import merkle_manifest
 from netsift.llm.packing import pack_documents
 from netsift.llm.quality import fit_quality, grade_documents
 from netsift.llm.simhash_dedup import simhash_groups
@@ -110,6 +111,61 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+# crc32 bit by bit over the decimal digits; levels and the way up as recursive queries
+OP11_SQL = r"""
+WITH RECURSIVE
+fields AS (
+  SELECT doc_id, source, text, concat(
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 5 = 0 AS bend
+  FROM documents),
+leaves AS (
+  SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN bend THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS bent
+  FROM fields),
+low(source, l, i, h, n) AS (
+  SELECT source, 0, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1, leaf, count(*) OVER (PARTITION BY source) FROM leaves
+  UNION ALL
+  SELECT source, l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), max((n + 15) // 16) FROM low WHERE n > 1 GROUP BY source, l, i // 16),
+subs AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high(l, i, h, n) AS (
+  SELECT 0, i, h, n FROM subs
+  UNION ALL
+  SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), max((n + 15) // 16) FROM high WHERE n > 1 GROUP BY l, i // 16),
+kin AS (
+  SELECT source, l, i // 16 AS u, list(h ORDER BY i) AS kids FROM low WHERE n > 1 GROUP BY ALL),
+top_kin AS (SELECT l, i // 16 AS u, list(h ORDER BY i) AS kids FROM high WHERE n > 1 GROUP BY ALL),
+up(source, place, doc_id, l, i, leaf, fold, proof) AS (
+  SELECT a.source, a.i, b.doc_id, 0, a.i, b.leaf, coalesce(b.bent, b.leaf), ''
+  FROM (SELECT source, i FROM low WHERE l = 0) a
+  JOIN (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves) b
+    ON a.source IS NOT DISTINCT FROM b.source AND a.i = b.i
+  UNION ALL
+  SELECT c.source, place, doc_id, c.l + 1, c.u, leaf, sha256(a || fold || z), proof || a || z
+  FROM (SELECT up.*, k.u, array_to_string(k.kids[1 : up.i % 16], '') AS a, array_to_string(k.kids[up.i % 16 + 2 :], '') AS z
+        FROM up JOIN kin k ON up.source IS NOT DISTINCT FROM k.source AND up.l = k.l AND up.i // 16 = k.u) c),
+top_up(source, place, doc_id, l, i, leaf, subroot, fold, proof) AS (
+  SELECT up.source, place, doc_id, 0, s.i, leaf, s.h, fold, proof
+  FROM up JOIN subs s ON up.source IS NOT DISTINCT FROM s.source
+  WHERE up.l = (SELECT max(l) FROM low WHERE low.source IS NOT DISTINCT FROM up.source)
+  UNION ALL
+  SELECT c.source, place, doc_id, c.l + 1, c.u, leaf, subroot, sha256(a || fold || z), proof || a || z
+  FROM (SELECT t.*, k.u, array_to_string(k.kids[1 : t.i % 16], '') AS a, array_to_string(k.kids[t.i % 16 + 2 :], '') AS z
+        FROM top_up t JOIN top_kin k ON t.l = k.l AND t.i // 16 = k.u) c)
+SELECT doc_id, leaf, subroot, r.root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = r.root AS verified
+FROM top_up, (SELECT h AS root FROM high WHERE n = 1) r
+WHERE l = (SELECT max(l) FROM high)
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
