@@ -15,6 +15,7 @@ from netsift.llm.line_dedup import line_digests
 from netsift.llm.merkle import merkle_manifest
 from netsift.llm.packing import pack_documents
 from netsift.llm.quality import fit_quality, grade_documents
+from netsift.llm.quality_rules import quality_rules
 from netsift.llm.simhash_dedup import simhash_groups
 from netsift.llm.suffix_dedup import repeat_digests
 from netsift.llm.toxicity import fit_toxicity, score_documents
@@ -166,6 +167,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
