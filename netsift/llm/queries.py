@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from netsift.llm.byte_bpe import encode_digests
+from netsift.llm.collocations import collocations
 from netsift.llm.common import table
 from netsift.llm.embedding_dedup import embedding_groups
 from netsift.llm.exact_dedup import exact_dedup
@@ -167,6 +168,38 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+runs AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i : i + k - 1])) AS p
+  FROM worded, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, array_to_string(p, ' ') AS phrase, any_value(p) AS ws, count(*) AS c FROM runs GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND c >= 30),
+covered AS (
+  SELECT DISTINCT a.lang, a.phrase FROM cand a JOIN cand b ON a.lang = b.lang AND b.k > a.k
+    AND contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' ') AND 100 * b.c >= 80 * a.c),
+cuts AS (
+  SELECT a.lang, a.phrase, a.c AS a, x.c AS l, y.c AS r, i.k, (2000000::HUGEINT * a.c) // (x.c + y.c) AS score
+  FROM (SELECT * FROM cand ANTI JOIN covered USING (lang, phrase)) a
+  JOIN (SELECT unnest([1, 2, 3]) AS k) i ON i.k < a.k
+  JOIN f x ON x.lang = a.lang AND x.phrase = array_to_string(a.ws[1 : i.k], ' ')
+  JOIN f y ON y.lang = a.lang AND y.phrase = array_to_string(a.ws[i.k + 1 :], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_quality_rules")
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
