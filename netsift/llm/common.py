@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def columns_as(df: DataFrame, **named: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in named.items()])
 
 
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with underscores behind it where ``taken`` has it already (upper and lower case alike)."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts (one narrow scan)."""
     return int(df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0])

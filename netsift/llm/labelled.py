@@ -1,8 +1,9 @@
 """A bounded training sample of labelled documents, brought to one task that fits a model.
 
-The sample is the one place where a bound is set: ``per_grade`` rows of each
-grade, the first by a hash of their id, and at most ``MAX_BYTES`` of text (later
-rows in that order are left out whole). Scoring is over all documents.
+The sample is the one place where a bound is set: ``per_grade`` ids of each
+grade, the first by a hash of the id, and at most ``max_bytes`` of text: in the order of another hash, an id
+whose texts do not fit in what is left is passed over, whole. This is decided from the
+lengths, before any text moves. Scoring is over all documents.
 """
 
 from __future__ import annotations
@@ -24,7 +25,20 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_grade: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _fitting(sizes: pd.DataFrame, max_bytes: int) -> list:
+    """The ids whose texts fit into ``max_bytes`` together, taken by the crc32 of the id."""
+    at = [zlib.crc32(str(i).encode()) for i in sizes["id"]]
+    taken, left = [], max_bytes
+    for i, n in sizes.assign(at=at).sort_values(["at", "id"], kind="stable")[["id", "n"]].itertuples(index=False):
+        if n <= left:
+            taken.append(i)
+            left -= n
+    return taken
+
+
+def training_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_grade: int, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES
+) -> DataFrame:
     """``id, text, y`` of the sampled rows. Null ids and labels, and ids labelled twice with different grades, are no examples."""
     ids = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("double").alias("y"))
     ids = ids.filter("id is not null and y is not null").filter(~held_out(F.col("id")))
@@ -39,7 +53,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_grade: i
         picked = ids.limit(0)
     picked = picked.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("id", "y")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "id").select("id", "text", "y")  # at most per_grade * MAX_GRADES rows
+    picked = F.broadcast(picked)  # at most per_grade * MAX_GRADES rows
+    sizes = texts.join(picked, "id").groupBy("id").agg(F.sum(F.octet_length("text")).alias("n")).toPandas()
+    if int(sizes["n"].sum()) > max_bytes:
+        fits = docs.sparkSession.createDataFrame([(i,) for i in _fitting(sizes, max_bytes)], ids.select("id").schema)
+        picked = F.broadcast(picked.join(F.broadcast(fits), "id", "left_semi"))
+    return texts.join(picked, "id").select("id", "text", "y")
 
 
 def fit(sample: DataFrame, trainer: Callable[[list[str], np.ndarray], dict[str, list]], schema: str) -> pd.DataFrame:
@@ -48,7 +67,6 @@ def fit(sample: DataFrame, trainer: Callable[[list[str], np.ndarray], dict[str,
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         at = [zlib.crc32(str(i).encode()) for i in pdf["id"]]
         pdf = pdf.assign(at=at).sort_values(["at", "id"], kind="stable")
-        pdf = pdf[pdf["text"].str.len().cumsum() <= MAX_BYTES]
         return pd.DataFrame(trainer(pdf["text"].tolist(), pdf["y"].to_numpy()))
 
     return sample.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(run, schema).toPandas()

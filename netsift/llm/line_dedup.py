@@ -11,30 +11,39 @@ if a smaller id of the same batch has it.
 Keys are 128-bit hashes of the line without white space at both ends and with A-Z
 lower-cased. Keys of fewer than ``min_chars`` code points never go.
 
+A batch holds ``BATCH_BYTES`` of text, the runs have a bucket for every ``BUCKET_KEYS`` occurrences
+of keys, so tasks keep their size as the corpus grows.
+
 Defined results: a null or empty text is one empty line. A null id counts as
 one document after all others. Rows repeating an id are one document: they do not
-make each other's lines repeated. An empty table gives no rows; other columns are kept by
+make each other's lines repeated. Equal lines of one document stay or go together. Texts are split in
+slabs of some megabytes; a longer text is a slab of its own. An empty table gives no rows; other columns are kept by
 ``drop_lines`` and ignored by the rest.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import columns_as
+from netsift.llm.common import columns_as, free_names, text_bytes
 from netsift.llm.pretokens import slabs
 from netsift.session import scratch_path
 
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
+#: Batches at least, and the bytes of text in one.
 BATCHES = 4
+BATCH_BYTES = 4 << 30
 FANOUT = 2
+#: Occurrences of keys for one bucket of the runs: what a task reads of each run is a part of this.
+BUCKET_KEYS = 500_000
 LAST = 2**63 - 1
 SLAB = 4 << 20
 
@@ -48,31 +57,42 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``d, h``: the keys of each document, once for each row."""
+    """``d, x, h``: the keys of each document, once for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = {line_key(x, min_chars) for x in (text.as_py() or "").encode().split(b"\n")} - {None}
-                ids += [d] * len(found)
-                keys += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["d", "h"])
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+            for slab in slabs(rows, lambda r: len(r[2].as_buffer() or b""), SLAB):
+                ids, own, keys = [], [], []
+                for d, x, text in slab:
+                    raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+                    found = {line_key(line, min_chars) for line in raw.split(b"\n")} - {None}
+                    ids += [d] * len(found)
+                    own += [x] * len(found)
+                    keys += found
+                cols = [pa.array(ids, pa.int64()), pa.array(own, pa.binary()), pa.array(keys, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["d", "x", "h"])
+
+    return _numbered(docs, id_col, text_col).mapInArrow(run, "d bigint, x binary, h binary")
+
 
-    return _numbered(docs, id_col, text_col).mapInArrow(run, "d bigint, h binary")
+def _who(id_: Column, text: Column) -> list[Column]:
+    """``d``, the id as a number, and ``x``, which is empty but for null ids: there a hash of the text tells rows apart."""
+    x = F.when(id_.isNull(), F.unhex(F.md5(F.coalesce(text, F.lit(""))))).otherwise(F.lit(b""))
+    return [F.coalesce(id_.cast("bigint"), F.lit(LAST)).alias("d"), x.alias("x")]
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return columns_as(docs, id=id_col, text=text_col).select(F.coalesce(F.col("id").cast("bigint"), F.lit(LAST)).alias("d"), "text")
+    return columns_as(docs, id=id_col, text=text_col).select(*_who(F.col("id"), F.col("text")), "text")
 
 
 class LineRuns:
     """The line hashes seen so far: for each level, sorted runs that share no hash."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int = 1):
         self._spark = spark
         self._fanout = fanout
-        self._buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._buckets = buckets
         self.levels: list[list[str]] = []
 
     def _write(self, keys: DataFrame) -> tuple[str, str]:
@@ -100,8 +120,14 @@ class LineRuns:
     def runs(self) -> list[str]:
         return [r for level in self.levels for r in level]
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Add a batch's ``d, h``; returns the ``d, h`` whose lines go. ``batch`` must be a written table."""
+    def close(self) -> None:
+        """Take the runs out of the catalog; their files stay until the shared folder is cleared."""
+        for run in self.runs():
+            self._spark.sql(f"DROP TABLE {run}")
+        self.levels = []
+
+    def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
+        """Add a batch's ``d, x, h``; returns those whose lines go. ``batch`` must be a written table. After the ``last`` nothing is merged."""
         keys = batch.groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         fresh = keys.select("h")
         for run in self.runs():
@@ -109,42 +135,50 @@ class LineRuns:
         own, path = self._write(fresh)
         # read by path: merging levels drops a run's name, not its files
         own_keys = self._spark.read.schema("h binary").parquet(path).withColumn("fresh", F.lit(True))
-        self._put(0, own)
+        if last:
+            self._spark.sql(f"DROP TABLE {own}")
+        else:
+            self._put(0, own)
         marked = keys.join(own_keys, "h", "left").filter("fresh is null or hi > lo")
-        return batch.join(marked, "h").filter("fresh is null or d > lo").select("d", "h")
+        return batch.join(marked, "h").filter("fresh is null or d > lo").select("d", "x", "h")
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = BATCHES, fanout: int = FANOUT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int | None = None, fanout: int = FANOUT
 ) -> DataFrame:
-    """``d, drop``: for documents that lose lines, the keys of those lines."""
+    """``d, x, drop``: for documents that lose lines, the keys of those lines."""
     spark = docs.sparkSession
     found = occurrences(docs, id_col, text_col, min_chars)
+    batches = batches or max(BATCHES, math.ceil(text_bytes(docs.select(F.col(f"`{text_col}`").alias("text"))) / BATCH_BYTES))
     shares = [(i + 1) / batches for i in range(batches - 1)]
     bounds = _numbered(docs, id_col, text_col).agg(F.percentile_approx("d", shares, 10_000)).first()[0] if shares else []
     number = sum([F.when(F.col("d") > b, 1).otherwise(0) for b in bounds or []], F.lit(0))
     path = scratch_path(spark, "line-occurrences")
     found.withColumn("batch", number).write.parquet(path)  # a filter on the batch skips what lies in others
-    table = spark.read.schema("d bigint, h binary, batch int").parquet(path)
-    runs, gone = LineRuns(spark, fanout), None
+    table = spark.read.schema("d bigint, x binary, h binary, batch int").parquet(path)
+    runs, gone = LineRuns(spark, fanout, max(1, math.ceil(table.count() / BUCKET_KEYS))), None
     for i in range(batches):
-        now = runs.add(table.filter(F.col("batch") == i).select("d", "h"))
+        now = runs.add(table.filter(F.col("batch") == i).select("d", "x", "h"), last=i == batches - 1)
         gone = now if gone is None else gone.unionByName(now)
-    return gone.groupBy("d").agg(F.collect_set("h").alias("drop"))
+    runs.close()
+    return gone.groupBy("d", "x").agg(F.collect_set("h").alias("drop"))
 
 
 def drop_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = BATCHES, fanout: int = FANOUT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int | None = None, fanout: int = FANOUT
 ) -> DataFrame:
-    """``docs`` with the kept lines in ``text_col``, and ``n_lines, n_dropped`` (before dropping, dropped)."""
+    """``docs`` with the kept lines in ``text_col``, and ``n_lines, n_dropped`` (before dropping, dropped).
+
+    Where ``docs`` have such a column already, the count's name gets an underscore behind it.
+    """
     return _rewrite(docs, id_col, text_col, min_chars, batches, fanout, [c for c in docs.columns if c != text_col])
 
 
-def _rewrite(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batches: int, fanout: int, keep: list[str], digest: bool = False) -> DataFrame:
+def _rewrite(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batches: int | None, fanout: int, keep: list[str], digest: bool = False) -> DataFrame:
     gone = repeated_lines(docs, id_col, text_col, min_chars, batches, fanout)
     others = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("_"))
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)).alias("d"), F.col(f"`{text_col}`").alias("t"), others.alias("o"))
-    joined = rows.join(gone, "d", "left")
+    rows = docs.select(*_who(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.col(f"`{text_col}`").alias("t"), others.alias("o"))
+    joined = rows.join(gone, ["d", "x"], "left")
     shape = joined.select("o").schema["o"].dataType.simpleString()
     schema = f"o {shape}, t string, n_lines bigint, n_dropped bigint"
 
@@ -170,11 +204,12 @@ def _rewrite(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batche
 
     done = joined.select("o", "t", "drop").mapInArrow(run, schema)
     name = "kept_sha256" if digest else text_col
-    return done.select(*[F.col("o").getField(c).alias(c) for c in keep], F.col("t").alias(name), "n_lines", "n_dropped")
+    counts = [F.col(c).alias(n) for c, n in zip(("n_lines", "n_dropped"), free_names([*keep, name], "n_lines", "n_dropped"))]
+    return done.select(*[F.col("o").getField(c).alias(c) for c in keep], F.col("t").alias(name), *counts)
 
 
 def line_digests(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = BATCHES, fanout: int = FANOUT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int | None = None, fanout: int = FANOUT
 ) -> DataFrame:
     """``id, n_lines, n_dropped, kept_sha256`` per row."""
     out = _rewrite(docs, id_col, text_col, min_chars, batches, fanout, [id_col], digest=True)

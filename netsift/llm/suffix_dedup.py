@@ -21,7 +21,8 @@
 Matches are judged on the input and never cross documents.
 
 Defined results: a null text is empty; a null id counts as larger than any; rows
-repeating an id are one document (they remove nothing from each other); an empty
+repeating an id are one document (they remove nothing from each other); of equal strings those of the
+smallest id stay, all of them; a text longer than a shard is a shard of its own; an empty
 table gives no rows. ``cut_repeats`` keeps the other columns, the digests ignore them.
 """
 
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsift.llm.common import materialize
+from netsift.llm.common import free_names, materialize
 
 SHARD_BYTES = 6 << 20
 MERGE = 256
@@ -97,13 +98,19 @@ class Anchoring:
     def find(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Runs of window starts with one anchor: ``lo`` offsets ``(first start, anchor - first start)`` and run lengths.
 
-        Returned as ``first`` (int64) and ``run`` (uint8 pairs: run length, anchor minus first).
+        Returned as ``first`` (int64) and ``run`` (uint8 pairs: run length, anchor minus first). The text is gone through
+        in blocks; of a block only its runs are kept, and the last one may go on in the next.
         """
-        w, n = words(buf), len(buf) - PAD
-        best = np.empty(max(0, n - self.width + 1), np.int64)
+        w, total = words(buf), max(0, len(buf) - PAD - self.width + 1)
         top = np.uint64(2**64 - (1 << 20))
-        for lo in range(0, len(best), BLOCK):
-            hi = min(lo + BLOCK, len(best))
+        ok = lengths >= self.width
+        opens, closes = starts[ok], starts[ok] + lengths[ok] - self.width + 1  # the windows of a document start from, to
+        firsts, runs, before = [], [], (-2, -1)  # before: the last window's start and anchor
+        for lo in range(0, total, BLOCK):
+            hi = min(lo + BLOCK, total)
+            a, b = np.searchsorted(closes, lo, side="right"), np.searchsorted(opens, hi)
+            if a == b:
+                continue
             size = hi - lo + self.reach
             h = (self.gram_hash(w, slice(lo, lo + size)) & top) | np.arange(size, dtype=np.uint64)
             step = 1
@@ -112,19 +119,25 @@ class Anchoring:
                 step *= 2
             if step < self.reach + 1:
                 h = np.minimum(h[: hi - lo], h[self.reach + 1 - step :])
-            best[lo:hi] = (h & ~top).astype(np.int64)[: hi - lo] + lo
-        inside = np.zeros(len(best) + 1, bool)
-        ok = lengths >= self.width
-        step = np.zeros(len(best) + 1, np.int32)
-        np.add.at(step, starts[ok], 1)
-        np.add.at(step, starts[ok] + lengths[ok] - self.width + 1, -1)
-        inside = np.cumsum(step[:-1]) > 0
-        s = np.flatnonzero(inside)
-        new = np.r_[True, (best[s[1:]] != best[s[:-1]]) | (s[1:] != s[:-1] + 1)] if len(s) else np.zeros(0, bool)
-        # two documents side by side have consecutive starts only if windows reach to the end of the first; then anchors differ
-        heads = np.flatnonzero(new)
-        run = np.diff(np.r_[heads, len(s)])
-        return s[heads], np.stack([run, best[s[heads]] - s[heads]], 1).astype(np.uint8)
+            best = (h & ~top).astype(np.int32)[: hi - lo]
+            step = np.zeros(hi - lo + 1, np.int32)
+            np.add.at(step, np.maximum(opens[a:b] - lo, 0), 1)
+            np.add.at(step, np.minimum(closes[a:b] - lo, hi - lo), -1)
+            s = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+            best = best[s]
+            # two documents side by side have consecutive starts only if windows reach to the end of the first; then anchors differ
+            goes_on = before == (lo + int(s[0]) - 1, lo + int(best[0]))
+            new = np.r_[not goes_on, (best[1:] != best[:-1]) | (s[1:] != s[:-1] + 1)]
+            before = (lo + int(s[-1]), lo + int(best[-1]))
+            heads = np.flatnonzero(new)
+            if goes_on:
+                runs[-1][-1, 0] += heads[0] if len(heads) else len(s)
+            if len(heads):
+                firsts.append(s[heads] + lo)
+                runs.append(np.stack([np.diff(np.r_[heads, len(s)]), best[heads] - s[heads]], 1).astype(np.uint8))
+        if not firsts:
+            return np.zeros(0, np.int64), np.zeros((0, 2), np.uint8)
+        return np.concatenate(firsts), np.concatenate(runs)
 
 
 def suffix_order(buf: np.ndarray, n: int) -> np.ndarray:
@@ -318,22 +331,26 @@ def shards(docs: DataFrame, id_col: str, text_col: str, keep: list[str], width:
         def out() -> pa.RecordBatch:
             length = np.array([len(t) for t in text], np.int64)
             buf = padded(b"".join(text))
+            text.clear()
             first, runs = a.find(buf, np.cumsum(length) - length, length)
             data = pack_arrays(buf[:-PAD], np.array(doc, "<i8"), length, first, runs)
             kept = pa.ListArray.from_arrays(pa.array([0, len(doc)], pa.int32()), pa.concat_arrays(other))
             return pa.RecordBatch.from_arrays([pa.array([part << 32 | number]), pa.array([data], pa.binary()), kept], ["shard", "data", "o"])
 
         for batch in batches:
-            ids = batch.column("d").to_pylist()
+            ids, column, since = batch.column("d").to_pylist(), batch.column("o"), 0
             for i, t in enumerate(batch.column("t")):
-                raw = (t.as_py() or "").encode()
+                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
                 doc.append(ids[i])
                 text.append(raw)
-                other.append(batch.column("o").slice(i, 1))
                 size += len(raw) + 16
                 if size >= shard_bytes:
+                    other.append(column.slice(since, i + 1 - since))
+                    since = i + 1
                     yield out()
                     number, doc, text, other, size = number + 1, [], [], [], 0
+            if since < batch.num_rows:  # copied, since a slice would keep the batch with its texts
+                other.append(column.take(pa.array(np.arange(since, batch.num_rows))))
         if doc:
             yield out()
 
@@ -534,16 +551,20 @@ def _cut(
 
     both = table.groupBy("shard").cogroup(gone.groupBy("shard"))
     out = both.applyInArrow(run, f"o {shape}, n_bytes bigint, n_removed bigint, n_spans bigint, kept string")
-    return out.select(*[F.col("o").getField(c).alias(c) for c in keep], "n_bytes", "n_removed", "n_spans", "kept")
+    names = free_names([*keep, text_col], "n_bytes", "n_removed", "n_spans")
+    counts = [F.col(c).alias(n) for c, n in zip(("n_bytes", "n_removed", "n_spans"), names)]
+    text = F.col("kept").alias("kept_sha256" if digest else text_col)
+    return out.select(*[F.col("o").getField(c).alias(c) for c in keep], *([*counts, text] if digest else [text, *counts]))
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, **limits) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` per row."""
-    return _cut(docs, id_col, text_col, [id_col], width, True, **limits).withColumnRenamed("kept", "kept_sha256")
+    return _cut(docs, id_col, text_col, [id_col], width, True, **limits)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, **limits) -> DataFrame:
-    """``docs`` with the remaining text and ``n_bytes, n_removed, n_spans``; a character that lost some of its bytes goes whole."""
-    keep = [c for c in docs.columns if c != text_col]
-    out = _cut(docs, id_col, text_col, keep, width, False, **limits)
-    return out.select(*[f"`{c}`" for c in keep], F.col("kept").alias(text_col), "n_bytes", "n_removed", "n_spans")
+    """``docs`` with the remaining text and ``n_bytes, n_removed, n_spans``; a character that lost some of its bytes goes whole.
+
+    Where ``docs`` have such a column already, the count's name gets an underscore behind it.
+    """
+    return _cut(docs, id_col, text_col, [c for c in docs.columns if c != text_col], width, False, **limits)

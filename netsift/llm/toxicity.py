@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.llm import labelled
@@ -142,6 +142,19 @@ class Scorer:
         return float(-np.expm1(-(none if parts else plain))), found
 
 
+def toxicity_score(text: Column, model: pd.DataFrame) -> Column:
+    """The score of each text; only texts go to the Python workers and only scores come back."""
+    weights = dict(zip(model["feature"].tolist(), model["weight"].tolist()))
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(weights)
+        for part in parts:
+            yield pa.array([scorer(t.as_py() or "")[0] for t in part], pa.float64())
+
+    run.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "double")(text)
+
+
 def score_documents(
     docs: DataFrame, model: pd.DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None
 ) -> DataFrame:

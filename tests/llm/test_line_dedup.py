@@ -55,3 +55,18 @@ def test_texts_and_other_columns(spark):
 def test_oracle(spark):
     res = compare(spark, "/root/testdata/sf0.01", ["op7_line_dedup", "op2_exact_dedup"], verbose=False)
     assert all(v[0] == "OK" for v in res.values()), res
+
+
+def test_null_ids_keep_their_own_keys(spark):
+    rows = [(1, "a line of the first one"), (None, "a line of the first one\nand one of its own, first"), (None, "a line of the first one"),
+            (None, "no line in common with it"), (None, "a line of the first one")]
+    df = spark.createDataFrame([(*r, "n", 3) for r in rows], "doc_id long, text string, N_LINES string, n_dropped int")
+    got = drop_lines(df)
+    assert got.columns == ["doc_id", "N_LINES", "n_dropped", "text", "n_lines_", "n_dropped_"]
+    assert sorted(r.text for r in got.collect()) == ["", "", "a line of the first one", "and one of its own, first", "no line in common with it"]
+
+
+def test_runs_leave_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    drop_lines(spark.createDataFrame(ROWS, "doc_id long, text string, d string")).collect()
+    assert {t.name for t in spark.catalog.listTables()} <= before

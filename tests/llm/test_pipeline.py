@@ -77,3 +77,21 @@ def test_a_repeated_id_in_several_groups_keeps_one_row_of_each(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r.doc_id, r.text or "") for r in cp.simhash_dedup(spark, docs, SF).collect())
     assert got == [(3, texts["c"]), (5, texts["a"]), (5, texts["b"]), (7, texts["d"]), (20, "")]
+
+
+def test_columns_named_like_the_stages_own(spark, tmp_path):
+    """Every internal and result name of the stages, in lower and upper case, as an extra column."""
+    import corpus_pipeline
+
+    names = ("n_lines N_DROPPED n_bytes n_removed n_spans kept kept_sha256 d x h t o lo hi drop fresh batch shard data gone root score predicted "
+             "held_out offending fingerprint component_id id fp u v __text __nth bucket strings").split()
+    rows = [(i, f"Some words of document {i} are its own, and {i * 7} others.\nA line that all of them have in common.", "en", "s", 10) for i in range(8)]
+    df = spark.createDataFrame([r + tuple(f"{n}{r[0]}" for n in names) for r in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame([(0, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).count() == 8

@@ -95,3 +95,20 @@ def test_colliding_keys_are_told_apart():
     flat = np.frombuffer(b"aaaaaaaabbbbbbbbaaaaaaaacccccccc" + bytes(8), np.uint8)
     cls = sd.same_strings(np.zeros(4, np.uint64), flat, np.arange(4) * 8, 8)
     assert cls[0] == cls[2] and len(set(cls.tolist())) == 3
+
+
+def test_names_that_documents_have_already(spark):
+    df = spark.createDataFrame([(1, "a" * 60, 5, "k"), (2, "a" * 60, 6, "l")], "doc_id long, text string, n_bytes long, kept string")
+    got = sd.cut_repeats(df)
+    assert got.columns == ["doc_id", "n_bytes", "kept", "text", "n_bytes_", "n_removed", "n_spans"]
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == [(1, 5, "k", "a" * 60, 60, 0, 0), (2, 6, "l", "", 60, 60, 1)]
+
+
+def test_text_longer_than_a_shard(spark):
+    import random
+
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(200_000))
+    rows = [(1, "x" + long[70_000:70_080] + "y"), (2, long), (3, long[150_000:] + "z"), (4, "q")]
+    got = {r.doc_id: r for r in sd.repeat_digests(spark.createDataFrame(rows, "doc_id long, text string"), shard_bytes=4096).collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[2].n_spans, got[3].n_removed, got[4].n_removed) == (0, 80, 1, 50_000, 0)
