@@ -14,12 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netsift.llm.common import materialize
+from netsift.llm.common import free_names, materialize
 from netsift.llm.line_dedup import drop_lines
 from netsift.llm.packing import pack_documents
 from netsift.llm.simhash_dedup import add_fingerprints, simhash_groups
 from netsift.llm.suffix_dedup import cut_repeats
-from netsift.llm.toxicity import fit_toxicity, score_documents
+from netsift.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
 from netsift.session import scratch_path
 
 
@@ -31,11 +31,7 @@ def _as_documents(result: DataFrame, docs: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the given labels of these documents, rejects go."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    # under other names, as documents may have columns named like the scores
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    scored = score_documents(renamed, model, id_col=names["doc_id"], text_col=names["text"], keep=list(names.values()))
-    return scored.filter("predicted = 0").select(*[F.col(n).alias(c) for c, n in names.items()])
+    return docs.filter(toxicity_score(F.col("text"), model) < THRESHOLD)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,17 +51,19 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if apart.isEmpty():
         return stays
     # rows of one id in several groups: their fingerprints tell which row is in which
-    rows = docs.join(apart, "doc_id", "left_semi").select(*columns, F.coalesce("text", F.lit("")).alias("__text"))
-    prints = add_fingerprints(rows.select("__text").distinct(), "__text", "__text")
-    prints = prints.select(F.col("id").alias("__text"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("__print"))
-    named = marked.select("doc_id", F.col("fingerprint").alias("__print"), F.col("root").alias("__root")).distinct()
-    rows = _first_of(rows.join(prints, "__text").join(named, ["doc_id", "__print"]), "doc_id", "__root")
+    text, mark, root = free_names(docs.columns, "__text", "__print", "__root")
+    rows = docs.join(apart, "doc_id", "left_semi").select(*columns, F.coalesce("text", F.lit("")).alias(text))
+    prints = add_fingerprints(rows.select(text).distinct(), text, text)
+    prints = prints.select(F.col("id").alias(text), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias(mark))
+    named = marked.select("doc_id", F.col("fingerprint").alias(mark), F.col("root").alias(root)).distinct()
+    rows = _first_of(rows.join(prints, text).join(named, ["doc_id", mark]), "doc_id", root)
     return stays.unionByName(rows.select(*columns))
 
 
 def _first_of(rows: DataFrame, *keys: str) -> DataFrame:
+    (name,) = free_names(rows.columns, "__nth")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("text")))
-    return rows.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
+    return rows.withColumn(name, nth).filter(F.col(name) == 1).drop(name)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
