@@ -5,7 +5,9 @@ The 32-byte key splits into an AES-128 key (bytes 0-15) and pad material
 address, a 128-bit block is formed from the first i address bits followed by
 the remaining pad bits; the top bit of AES(block) is the one-time-pad bit i.
 The pseudonym is address XOR pad bits, so two addresses sharing a k-bit prefix
-map to pseudonyms sharing a k-bit prefix, and the map is a bijection.
+map to pseudonyms sharing a k-bit prefix, and the map is a bijection. It is
+inverted from the first bit to the last: bit i of the pad depends on the i address bits
+before it, which are known when bit i of the pseudonym is looked at.
 
 Built from Spark's ``aes_encrypt`` inside ``transform``/``aggregate`` lambdas:
 one AES call per bit (32 for IPv4, 128 for IPv6), all inside the JVM. The pad
@@ -111,6 +113,66 @@ def cryptopan_v6_sql(addr_hex: str, key: bytes) -> str:
     return ip.let_sql(words, body)
 
 
+def _recover(word: str, block_hex, key: bytes) -> str:
+    """The 32 address bits behind a pseudonym's word, bit by bit: pad bit i needs only the i bits before it, which are known by then.
+
+    ``block_hex`` makes the cipher's block from the word's known bits (at the top of a 32-bit word) and their number.
+    """
+    acc, i = ip.fresh("acc"), ip.fresh("i")
+    known = f"shiftleft({acc}, 32 - {i})"
+    bit = f"(shiftright({word}, 31 - {i}) & CAST(1 AS BIGINT))"
+    return f"aggregate(sequence(0, 31), CAST(0 AS BIGINT), ({acc}, {i}) -> {acc} * 2 + ({bit} ^ {_top_bit(block_hex(known, i), key)}))"
+
+
+def cryptopan_inverse_v4_sql(pseudonym: str, key: bytes) -> str:
+    """bigint pseudonym -> bigint IPv4 address."""
+    key = _check_key(key)
+    pad_rest = "'" + "".join(f"{w:08x}" for w in _pad_words_of(key)[1:]) + "'"
+
+    def block(known, i):
+        return f"concat({ip.long_to_hex_sql(_mixed(known, _pad_word(key, 0), i), 8)}, {pad_rest})"
+
+    return ip.let_sql(pseudonym, lambda c: _recover(c, block, key))
+
+
+def cryptopan_inverse_v6_sql(pseudonym_hex: str, key: bytes) -> str:
+    """32-hex-digit pseudonym -> 32-hex-digit IPv6 address, word after word."""
+    key = _check_key(key)
+
+    def word(c: str, before: list[str]) -> str:
+        j = len(before)
+        if j == 4:
+            return "concat(" + ", ".join(ip.long_to_hex_sql(a, 8) for a in before) + ")"
+
+        def block(known, i):
+            parts = [*before, _mixed(known, _pad_word(key, j), i), *[_pad_word(key, k) for k in range(j + 1, 4)]]
+            return "concat(" + ", ".join(ip.long_to_hex_sql(x, 8) for x in parts) + ")"
+
+        return ip.let_sql(_recover(f"{c}[{j}]", block, key), lambda a: word(c, [*before, a]))
+
+    def words(h):
+        return "array(" + ", ".join(ip.hex_to_long_sql(f"substr({h}, {1 + 8 * j}, 8)") for j in range(4)) + ")"
+
+    return ip.let_sql(ip.let_sql(pseudonym_hex, words), lambda c: word(c, []))
+
+
+def cryptopan_inverse_sql(x: str, key: bytes) -> str:
+    """Pseudonym text of either family -> address text, in the short form for IPv6 (NULL if not an address)."""
+
+    def body(t):
+        # each recovered address is named once: what follows repeats its input
+        v6 = ip.let_sql(cryptopan_inverse_v6_sql(ip.v6_to_hex_sql(t), key), ip.hex_to_v6_sql)
+        v4 = ip.let_sql(cryptopan_inverse_v4_sql(ip.v4_to_long_sql(t), key), ip.long_to_v4_sql)
+        return f"CASE WHEN {ip.is_v6_sql(t)} THEN {v6} WHEN {ip.v4_to_long_sql(t)} IS NOT NULL THEN {v4} END"
+
+    return ip.let_sql(x, body)
+
+
+def cryptopan_inverse(c: str, key: bytes) -> Column:
+    """The address behind the pseudonym in column ``c``."""
+    return F.expr(cryptopan_inverse_sql(ip.name(c), key))
+
+
 def cryptopan_sql(x: str, key: bytes) -> str:
     """Address text of either family -> pseudonym text of the same family (NULL if not an address)."""
 

@@ -209,6 +209,46 @@ def deanonymize(
     return apply_mapping(df, cols, rev, strategy="auto", unique=True, only_flagged=flagged, max_broadcast_rows=max_broadcast_rows)
 
 
+def inverse_mapping(pseudonyms: DataFrame, key: bytes, column: str = "obfuscated_ip", partitions: int | None = None) -> DataFrame:
+    """Distinct pseudonyms -> ``obfuscated_ip, original_ip``, by the key alone; NULL where a text is not an address.
+
+    As in ``build_mapping`` the few distinct rows are dealt over all cores, since the cipher is the cost.
+    """
+    n = partitions or pseudonyms.sparkSession.sparkContext.defaultParallelism
+    rows = pseudonyms.repartition(n, column)
+    return rows.select(F.col(column).alias("obfuscated_ip"), cp.cryptopan_inverse(column, key).alias("original_ip"))
+
+
+def deanonymize_by_key(
+    df: DataFrame,
+    cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
+    *,
+    key: bytes,
+    policy: pol.Policy | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_MAPPING_ROWS,
+) -> DataFrame:
+    """Put original addresses back without a mapping table (A5): distinct pseudonyms are decrypted, then joined to the cells.
+
+    Flagged cells (``apply_mapping(..., flag=True)``) are put back. Records without flags need the
+    ``policy``: a cell is then put back if the address behind it is sensitive, as each
+    pseudonym's is; a clear cell equal to a pseudonym cannot be told apart. Addresses come
+    back in canonical text, as the key knows addresses and not how they were written.
+    """
+    flagged = all(f"{c}_anonymized" in df.columns for c in cols)
+    if not flagged and policy is None:
+        raise ValueError("records without flags need the policy, to tell pseudonyms from clear addresses")
+    parts = [df.filter(F.col(f"{c}_anonymized")) if flagged else df for c in cols]
+    cells = None
+    for part, c in zip(parts, cols):
+        own = part.select(ipaddr.java_trim(c).alias("obfuscated_ip"))
+        cells = own if cells is None else cells.unionByName(own)
+    found = materialize(inverse_mapping(cells.filter("obfuscated_ip is not null").distinct(), key).filter("original_ip is not null"))
+    if not flagged:
+        found = pol.match_policy(found, "original_ip", policy, out="_sensitive").filter("_sensitive").drop("_sensitive")
+    back = found.select(F.col("obfuscated_ip").alias("original_ip"), F.col("original_ip").alias("obfuscated_ip"))
+    return apply_mapping(df, cols, back, strategy="auto", unique=True, only_flagged=flagged, max_broadcast_rows=max_broadcast_rows)
+
+
 def audit(mapping: DataFrame) -> DataFrame:
     """One row per looked-up address: ``original_ip, obfuscated_ip, result, n_cells`` (K8)."""
     result = F.when(F.col("obfuscated_ip").isNotNull(), F.lit("anonymized")).otherwise(F.lit("failed"))

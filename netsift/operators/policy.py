@@ -10,13 +10,17 @@ A policy is text, one rule per line:
 
 Rules compile to intervals ``(family, lo, hi)`` of fixed-width hex text (see
 ``netsift.functions.ipaddr``), overlaps are merged, and membership of a
-column is decided by one of three plans:
+column is decided by one of four plans:
 
 * ``or``      one boolean expression, an OR of ``BETWEEN`` tests. No join,
               codegen, works on streams. For small policies.
+* ``prefix``  intervals cut into aligned prefixes of any length; an equality join
+              for each length present, broadcast or shuffled by size (see
+              ``netsift.operators.prefixes``). For large policies, however wide.
 * ``bucket``  intervals cut into address-prefix buckets and broadcast; an
               equi-join on ``(family, bucket)`` with the range as residual
-              condition (BroadcastHashJoin). For large policies.
+              condition (BroadcastHashJoin). For many narrow intervals; with
+              more than ``MAX_OR_INTERVALS`` wide ones it is the ``prefix`` plan.
 * ``range``   a broadcast non-equi join (nested loop); a cross-check only.
 
 A policy is configuration: its size is checked before anything of it is
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 
 from netsift import schemas
 from netsift.functions import ipaddr
+from netsift.operators.prefixes import digit_table, mark, prefix_table
 
 V4, V6 = ipaddr.V4, ipaddr.V6
 # width in hex digits of an address key and of its join bucket, per family
@@ -138,9 +143,17 @@ class Policy:
         return table, table.count()
 
     @cached_property
-    def wide(self) -> list:
-        """Intervals too wide for buckets; merged intervals are disjoint, so they are few."""
-        return _checked_rows(wide_intervals(self.intervals), MAX_OR_INTERVALS, "wide policy intervals")
+    def prefixes(self) -> tuple[DataFrame, int, list[int]]:
+        """The prefix table in whole digits, written once, its number of rows, and the lengths it has (33 at most)."""
+        table = _checkpointed(digit_table(prefix_table(self.intervals)))
+        lengths = sorted(r.digits for r in table.select("digits").distinct().collect())
+        return table, table.count(), lengths
+
+    @cached_property
+    def wide(self) -> list | None:
+        """Intervals too wide for buckets, or None where there are too many for an OR."""
+        found = wide_intervals(self.intervals)
+        return found.collect() if found.count() <= MAX_OR_INTERVALS else None
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
@@ -305,10 +318,15 @@ def match_policy(
     keyed = address_key(df, column)
     fam, key = F.col(f"_{column}_fam"), F.col(f"_{column}_key")
     if plan == "auto":
-        plan = "or" if policy.rows is not None and policy.n <= max_or_intervals else "bucket"
+        plan = "or" if policy.rows is not None and policy.n <= max_or_intervals else "prefix"
+    if plan == "bucket" and policy.wide is None:
+        plan = "prefix"
     if plan == "or":
         rows = policy.rows if policy.rows is not None else _checked_rows(intervals, max_or_intervals, "policy intervals")
         result = keyed.withColumn(out, or_predicate(f"_{column}_key", f"_{column}_fam", rows))
+    elif plan == "prefix":
+        table, n, lengths = policy.prefixes
+        result = mark(keyed, fam, key, table, lengths, out, broadcast=n <= max_broadcast_rows)
     elif plan == "bucket":
         wide = policy.wide
         buckets, n = policy.buckets

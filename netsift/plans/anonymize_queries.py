@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netsift import schemas
+from netsift import fixtures, schemas
 from netsift.operators import anonymize as anon
 from netsift.operators import features as feat
 from netsift.operators import flow as flowop
 from netsift.operators import policy as pol
+from netsift.operators.mapping_store import MappingStore
 from netsift.plans import duck
 from netsift.plans.common import FEATURES_SQL, FLOW_CTE, POLICY, SAMPLE_KEY, parsed_flows, with_cte
 from netsift.plans.registry import register
+from netsift.session import scratch_path
 
 FLOW = with_cte(FLOW_CTE)
 COLS = list(schemas.DEFAULT_ANONYMIZE_COLUMNS)
@@ -53,6 +55,60 @@ for _plan in ("or", "bucket"):
     register(f"policy_match_any_{_plan}", _match_sql(ANY_POLICY))(_match_query(ANY_POLICY, _plan))
 
 
+# M8 with rules made from the customers, so that the policy grows with the data: subnets of all widths from /18
+# on, and ranges, over the sources' networks; wide ranges of the IPv6 destinations' network besides.
+_RULE_EXPR = """CASE c_custkey % 4
+  WHEN 0 THEN concat('10.', c_custkey % 256, '.', (c_custkey * 7) % 256, '.', (c_custkey * 31) % 256, '/', 18 + (c_custkey * 13) % 15)
+  WHEN 1 THEN concat('192.168.10.', (c_custkey * 11) % 256)
+  WHEN 2 THEN concat('10.10.', (c_custkey * 3) % 120, '.', (c_custkey * 17) % 256, ',10.10.', (c_custkey * 3) % 120, '.', (c_custkey * 17 + c_custkey % 5) % 256)
+  ELSE concat('2001:db8::', (c_custkey * 5) % 8, '00:0,2001:db8::', (c_custkey * 5) % 8, '00:', c_custkey % 10000) END"""
+
+_MANY_RULES_SQL = FLOW + f"""
+, rule AS (SELECT c_custkey AS c, {_RULE_EXPR} AS rule FROM customer),
+bound AS (
+  SELECT c, CASE WHEN contains(rule, '/') THEN split_part(rule, '/', 1) ELSE split_part(rule, ',', 1) END AS a,
+    CASE WHEN contains(rule, ',') THEN split_part(rule, ',', 2) ELSE split_part(rule, '/', 1) END AS b,
+    CASE WHEN contains(rule, '/') THEN CAST(split_part(rule, '/', 2) AS INTEGER) END AS bits
+  FROM rule),
+v4 AS (
+  SELECT CASE WHEN bits IS NULL THEN least({duck.v4_num('a')}, {duck.v4_num('b')}) ELSE ({duck.v4_num('a')} >> (32 - bits) << (32 - bits)) + 1 END AS lo,
+    CASE WHEN bits IS NULL THEN greatest({duck.v4_num('a')}, {duck.v4_num('b')})
+         ELSE ({duck.v4_num('a')} >> (32 - bits) << (32 - bits)) + (1::BIGINT << (32 - bits)) - 2 END AS hi
+  FROM bound WHERE NOT contains(a, ':')),
+v6 AS (SELECT least({duck.v6_hex('a')}, {duck.v6_hex('b')}) AS lo, greatest({duck.v6_hex('a')}, {duck.v6_hex('b')}) AS hi FROM bound WHERE contains(a, ':')),
+address AS (SELECT sa AS ip FROM flow UNION SELECT da FROM flow),
+hit AS (
+  SELECT ip FROM address JOIN v4 ON {duck.v4_num('ip')} BETWEEN lo AND hi
+  UNION SELECT ip FROM address JOIN v6 ON {duck.v6_hex('ip')} BETWEEN lo AND hi)
+SELECT k, sa IN (SELECT ip FROM hit) AS sa_sensitive, da IN (SELECT ip FROM hit) AS da_sensitive FROM flow"""
+
+
+def _many_rules(spark, sf_dir):
+    path = scratch_path(spark, "policy-rules")
+    fixtures.table(spark, sf_dir, "customer").selectExpr(f"{_RULE_EXPR} AS value").write.text(path)
+    return pol.read_policy(spark, path)
+
+
+def _match_many(spark, sf_dir, **limits):
+    p = parsed_flows(spark, sf_dir).select("k", "sa", "da")
+    policy = _many_rules(spark, sf_dir)
+    for c in ("sa", "da"):
+        p = pol.match_policy(p, c, policy, plan="prefix", **limits)
+    return p.select("k", "sa_sensitive", "da_sensitive")
+
+
+@register("policy_match_prefixes", _MANY_RULES_SQL)
+def policy_match_prefixes(spark, sf_dir):
+    """M8: a policy file with a rule for each customer, by prefixes of all lengths and broadcast equality joins."""
+    return _match_many(spark, sf_dir)
+
+
+@register("policy_match_prefixes_shuffled", _MANY_RULES_SQL)
+def policy_match_prefixes_shuffled(spark, sf_dir):
+    """M8: the same above the broadcast limit: distinct addresses meet the prefixes in a shuffle join."""
+    return _match_many(spark, sf_dir, max_broadcast_rows=0)
+
+
 def _policy(spark):
     return pol.read_policy(spark, lines=POLICY)
 
@@ -206,6 +262,54 @@ def deanonymize(spark, sf_dir):
     return anon.deanonymize(anonymized, COLS, mapping).select("k", "sa", "da")
 
 
+# IPv6 addresses come back in canonical text; of the sensitive ones only ...::0 is written otherwise
+_BY_KEY_SQL = FLOW + "SELECT k, sa, CASE WHEN da = 'fddd:be2e:c6ba::0' THEN 'fddd:be2e:c6ba::' ELSE da END AS da FROM flow"
+
+
+@register("deanonymize_by_key", _BY_KEY_SQL)
+def deanonymize_by_key(spark, sf_dir):
+    """A5: flagged pseudonyms are decrypted by the key; the mapping is not used to go back."""
+    p = parsed_flows(spark, sf_dir)
+    anonymized = anon.apply_mapping(p, COLS, cryptopan_mapping(spark, p), unique=True, flag=True)
+    return anon.deanonymize_by_key(anonymized, COLS, key=SAMPLE_KEY).select("k", "sa", "da")
+
+
+@register("deanonymize_by_key_and_policy", _BY_KEY_SQL)
+def deanonymize_by_key_and_policy(spark, sf_dir):
+    """A5: records without flags; what decrypts to a sensitive address is a pseudonym (no clear address of these flows does)."""
+    p = parsed_flows(spark, sf_dir)
+    policy = _policy(spark)
+    anonymized = anon.apply_mapping(p, COLS, cryptopan_mapping(spark, p, policy), unique=True)
+    return anon.deanonymize_by_key(anonymized, COLS, key=SAMPLE_KEY, policy=policy).select("k", "sa", "da")
+
+
+def _store_batches(spark, sf_dir, store):
+    """The flows in three batches of two runs, the second replayed, as a stream would bring them; compacted in between."""
+    p = parsed_flows(spark, sf_dir)
+    policy = _policy(spark)
+    for batch, part in (("a-0", 0), ("a-1", 1), ("a-1", 1), ("b-0", 2)):
+        store.add(anon.sensitive_ips(p.filter(F.col("k") % 3 == part), COLS, policy), batch)
+        if batch == "a-1":
+            store.compact()
+
+
+@register(
+    "mapping_store_batches",
+    with_cte(FLOW_CTE) + f"""
+, cell AS (SELECT k % 3 AS part, trim(sa) AS ip FROM flow UNION ALL SELECT k % 3, trim(da) FROM flow)
+SELECT ip AS original_ip, CASE WHEN contains(ip, ':') THEN 6 ELSE 4 END AS family,
+  CASE min(part) WHEN 0 THEN 'a-0' WHEN 1 THEN 'a-1' ELSE 'b-0' END AS first_batch, true AS as_one_batch
+FROM cell WHERE {duck.membership('ip', POLICY)} GROUP BY ip""",
+)
+def mapping_store_batches(spark, sf_dir):
+    """A2 A3: a mapping kept over batches, a replay, a compaction and a second run: each address once, as one batch maps it."""
+    root = scratch_path(spark, "mapping-store")
+    _store_batches(spark, sf_dir, MappingStore(spark, root, SAMPLE_KEY, n_buckets=4))
+    whole = build_mapping(spark, sf_dir).select("original_ip", F.col("obfuscated_ip").alias("want"))
+    got = MappingStore(spark, root, SAMPLE_KEY).read().join(whole, "original_ip", "left")
+    return got.select("original_ip", "family", "first_batch", F.coalesce(F.col("want") == F.col("obfuscated_ip"), F.lit(False)).alias("as_one_batch"))
+
+
 @register("anonymize_then_features_checked", FLOW + "SELECT k, sa, da," + FEATURES_SQL + "\nFROM flow WHERE dp <> ''")
 def anonymize_then_features_checked(spark, sf_dir):
     """The flagship's features, with its addresses put back through the mapping."""

@@ -10,12 +10,14 @@ from netsift import fixtures, schemas
 from netsift.operators import anonymize as anon
 from netsift.operators import flow as flowop
 from netsift.operators import policy as pol
+from netsift.operators.mapping_store import MappingStore
+from netsift.plans import duck
 from netsift.plans.common import FLOW_CTE, POLICY, SAMPLE_KEY, with_cte
 from netsift.plans.registry import ORACLE, register
 from netsift.plans.syslog_queries import line_values, parsed_logs
 from netsift.operators import syslog as sl
 from netsift.session import scratch_path
-from netsift.sources.envelope import read_envelope
+from netsift.sources.envelope import read_envelope, read_snapshot
 from netsift.streaming import netflow as snf
 from netsift.streaming import syslog as ssl
 
@@ -117,6 +119,74 @@ def stream_syslog_values(spark, sf_dir):
     return line_values(stream_syslog_lines(spark, sf_dir))
 
 
+@register("stream_fanout_anonymized_checked", with_cte(FLOW_CTE) + "SELECT k, line FROM flow_line")
+def stream_fanout_anonymized_checked(spark, sf_dir):
+    """K1 A5: the anonymized records of the fan-out, with their addresses put back through its mappings."""
+    root = _run_fanout(spark, sf_dir)
+    records = snf.read_output(spark, root, "anonymized").select("offset", F.col("value").cast("binary").alias("value"))
+    mapping = anon.materialize(snf.read_output(spark, root, "mapping").select("original_ip", "obfuscated_ip").distinct())
+    back = anon.deanonymize(flowop.parse_flow(records, keep=("offset",)), schemas.DEFAULT_ANONYMIZE_COLUMNS, mapping)
+    return back.select(F.col("offset").alias("k"), flowop.to_flow_line(back, schemas.flow_columns()).alias("line"))
+
+
+def _run_twice(spark, sf_dir):
+    """A first run that ends after one batch; its checkpoint is lost, and a second run starts anew and resumes from the commits."""
+    path, root, store = (scratch_path(spark, x) for x in ("flow-source", "flow-out", "mapping-store"))
+    env = fixtures.flow_envelope(spark, sf_dir)
+    kept = MappingStore(spark, store, SAMPLE_KEY, n_buckets=4)
+    for run, part in (("0", "offset % 5 < 2"), ("1", "offset % 5 >= 2")):
+        env.filter(part).repartition(2).write.mode("append").parquet(path)
+        source = read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(FILES_PER_BATCH)})
+        q = snf.start_netflow_fanout(source, root=root, checkpoint=scratch_path(spark, "flow-ckpt"), policy=pol.read_policy(spark, lines=POLICY),
+                                     key=SAMPLE_KEY, available_now=True, run=run, resume=run != "0", store=kept)
+        snf.await_all(spark, [q])
+    return root
+
+
+@register("stream_fanout_recovered", ORACLE["flow_append_line"])
+def stream_fanout_recovered(spark, sf_dir):
+    """After a lost checkpoint every record is there once, by the offsets of the commits."""
+    out = snf.read_output(spark, _run_twice(spark, sf_dir), "preprocessed")
+    return out.select(F.col("offset").alias("k"), F.col("value").alias("line"))
+
+
+@register(
+    "stream_fanout_audit",
+    with_cte(FLOW_CTE) + f"""
+, cell AS (SELECT k % 5 < 2 AS early, trim(sa) AS ip FROM flow UNION ALL SELECT k % 5 < 2, trim(da) FROM flow),
+looked AS (SELECT early, count(DISTINCT ip) AS n FROM cell WHERE {duck.membership('ip', POLICY)} GROUP BY early)
+SELECT CASE WHEN k % 5 < 2 THEN '0' ELSE '1' END AS run, 'committed' AS result, count(*) AS n_anonymized,
+  count(*) FILTER (WHERE dp <> '') AS n_preprocessed, count(*) FILTER (WHERE dp <> '') AS n_both,
+  count(*) FILTER (WHERE dp = '') AS n_rejects, any_value(n) AS n_lookups, 0::BIGINT AS n_failed, true AS timed
+FROM flow JOIN looked ON early = (k % 5 < 2) GROUP BY 1""",
+)
+def stream_fanout_audit(spark, sf_dir):
+    """K8: what each run looked up and wrote, measured as it was written, with times (the runs' batches hold all their files)."""
+    rows = snf.read_audit(spark, _run_twice(spark, sf_dir)).filter("n_anonymized > 0")
+    timed = (F.col("seconds") > 0) & (F.col("records_seconds") > 0) & (F.col("mapping_seconds") > 0) & F.col("ended_at").isNotNull()
+    return rows.select(F.substring_index("batch", "-", 1).alias("run"), "result", *[f"n_{x}" for x in (*snf.OUTPUTS, "rejects", "lookups", "failed")], timed.alias("timed"))
+
+
+_SNAPSHOT = {0: (30, 600), 1: ("earliest", 500), 2: (200, "latest")}
+
+
+@register(
+    "envelope_snapshot",
+    with_cte(FLOW_CTE) + """
+SELECT k AS "offset", CAST(k % 3 AS INTEGER) AS "partition", line AS value FROM flow_line
+WHERE CASE k % 3 WHEN 0 THEN k >= 30 AND k < 600 WHEN 1 THEN k < 500 ELSE k >= 200 END""",
+)
+def envelope_snapshot(spark, sf_dir):
+    """A snapshot between offsets of each partition stays the same while records are added to the files."""
+    path = scratch_path(spark, "topic")
+    env = fixtures.flow_envelope(spark, sf_dir)
+    env.repartitionByRange(6, "partition", "offset").write.parquet(path)
+    # the fixture's offsets of a partition are three apart; no gap is looked for
+    snapshot = read_snapshot(spark, path, start={p: a for p, (a, _) in _SNAPSHOT.items()}, end={p: b for p, (_, b) in _SNAPSHOT.items()})
+    env.withColumn("offset", F.col("offset") + 10_000_000).write.mode("append").parquet(path)
+    return snapshot.select("offset", "partition", F.col("value").cast("string").alias("value"))
+
+
 @register("stream_fanout_both_checked", ORACLE["flow_append_line"])
 def stream_fanout_both_checked(spark, sf_dir):
     """K3 A5: the anonymized and preprocessed records, with their addresses put back through the batch mappings."""

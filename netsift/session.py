@@ -76,6 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there such a folder or file, in whatever file system its path names?"""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)

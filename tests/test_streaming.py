@@ -106,3 +106,72 @@ def test_syslog_stream_with_console_preview(spark, tmp_path):
     assert [q.name for q in queries][0] == "log lines" and len(queries) == 2
     want = ssl.syslog_lines(spark.read.parquet(src), model)
     assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(r.value for r in want.collect())
+
+
+def test_outputs_of_a_batch_are_seen_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    import pytest
+
+    env = fixtures.flow_envelope(spark, SMALL, line=fixtures.RAGGED_LINE)
+    policy, root = pol.read_policy(spark, lines=POLICY), str(tmp_path / "out")
+    snf.fanout_batch(env.filter("offset % 2 = 0"), 0, root=root, policy=policy, key=SAMPLE_KEY)
+    names = (*snf.OUTPUTS, "rejects", "mapping")
+    before = {n: snf.read_output(spark, root, n).count() for n in names}
+    assert all(before.values())
+    folder = snf._folder
+
+    def fail(root, output, batch, attempt):  # after the records, before the rejects
+        if output == "rejects":
+            raise OSError("lost")
+        return folder(root, output, batch, attempt)
+
+    monkeypatch.setattr(snf, "_folder", fail)
+    odd = env.filter("offset % 2 = 1")
+    with pytest.raises(OSError):
+        snf.fanout_batch(odd, 1, root=root, policy=policy, key=SAMPLE_KEY)
+    monkeypatch.setattr(snf, "_folder", folder)
+    assert {n: snf.read_output(spark, root, n).count() for n in names} == before
+    snf.fanout_batch(odd, 1, root=root, policy=policy, key=SAMPLE_KEY)
+    offsets = [r.offset for n in ("anonymized", "rejects") for r in snf.read_output(spark, root, n).collect()]
+    assert set(offsets) == {r.offset for r in env.collect()}
+    kept = [r.offset for r in snf.read_output(spark, root, "anonymized").collect()]
+    assert len(kept) == len(set(kept))
+    audit = sorted((r.batch, r.result, r.n_failed, r.error) for r in snf.read_audit(spark, root).collect())
+    assert audit == [("0-0", "committed", 0, None), ("0-1", "committed", 0, None), ("0-1", "failed", None, "OSError: lost")]
+
+
+def test_not_committed_by_ranges_and_by_offsets(spark, tmp_path):
+    env = fixtures.flow_envelope(spark, SMALL).withColumn("partition", F.lit(0))
+    policy, root = pol.read_policy(spark, lines=POLICY), str(tmp_path / "out")
+    snf.fanout_batch(env.filter("offset < 100"), 0, root=root, policy=policy, key=SAMPLE_KEY)  # a range
+    snf.fanout_batch(env.filter("offset >= 100 and offset < 200 and offset % 2 = 0"), 1, root=root, policy=policy, key=SAMPLE_KEY)  # with gaps
+    left = {r.offset for r in snf.not_committed(env, root, "1").collect()}
+    assert left == {r.offset for r in env.filter("offset >= 200 or (offset >= 100 and offset % 2 = 1)").collect()}
+    assert snf.not_committed(env, root, "0").count() == env.count()
+    assert snf.not_committed(env, root, "1").columns == env.columns
+
+
+def test_snapshots(spark, tmp_path):
+    import pytest
+
+    from netsift.sources.envelope import read_snapshot
+
+    path = str(tmp_path / "topic")
+    env = fixtures.flow_envelope(spark, SMALL).filter("offset < 300").withColumn("partition", F.when(F.col("offset") < 200, 0).otherwise(1))
+    env.write.parquet(path)
+    assert read_snapshot(spark, path).count() == 300
+    assert read_snapshot(spark, path, start="latest").count() == 0
+    assert read_snapshot(spark, path, start="latest", fail_on_data_loss=True).count() == 0
+    some = read_snapshot(spark, path, start={0: 150}, end={1: 210}, fail_on_data_loss=True)
+    assert sorted(r.offset for r in some.collect()) == list(range(150, 210))
+    assert "PushedFilters: [Or(" in some._jdf.queryExecution().toString()
+    for bad in ({"end": {0: 201}}, {"start": {1: 199}}, {"end": {7: 5}}):
+        assert read_snapshot(spark, path, **bad).count() >= 300
+        with pytest.raises(ValueError, match="gone"):
+            read_snapshot(spark, path, fail_on_data_loss=True, **bad)
+    with pytest.raises(ValueError, match="unknown offset"):
+        read_snapshot(spark, path, start="newest")
+    gap = str(tmp_path / "gap")
+    env.filter("offset <> 50").write.parquet(gap)
+    assert read_snapshot(spark, gap).count() == 299
+    with pytest.raises(ValueError, match="holds 199 of the 200"):
+        read_snapshot(spark, gap, fail_on_data_loss=True)
