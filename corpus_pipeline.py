@@ -22,6 +22,15 @@ from netsift.llm.suffix_dedup import cut_repeats
 from netsift.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
 from netsift.session import scratch_path
 
+BATCH_ROWS = 1000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Batches of at most ``BATCH_ROWS`` rows between the JVM and Python: with whole texts in them, they are what a stage holds in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def _as_documents(result: DataFrame, docs: DataFrame) -> DataFrame:
     out = result.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else result
@@ -30,17 +39,20 @@ def _as_documents(result: DataFrame, docs: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the given labels of these documents, rejects go."""
+    _bounded(spark)
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.filter(toxicity_score(F.col("text"), model) < THRESHOLD)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document has go."""
+    _bounded(spark)
     return _as_documents(drop_lines(docs), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays."""
+    _bounded(spark)
     groups = materialize(simhash_groups(docs.select("doc_id", "text"), with_root=True))
     marked = groups.filter("doc_id = component_id")
     apart = groups.groupBy("doc_id").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("doc_id is not null and lo < hi")
@@ -68,11 +80,13 @@ def _first_of(rows: DataFrame, *keys: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages of 50 bytes that start in an earlier document go."""
+    _bounded(spark)
     return _as_documents(cut_repeats(docs), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens in sequences of 1024."""
+    _bounded(spark)
     return pack_documents(docs.select("doc_id", "text"))
 
 
