@@ -13,7 +13,9 @@ stays that is not in such an excluded element; of another element those that are
 from the first region to the last and headings before them.
 
 White space in a block becomes one space, ``br`` counts as white space, blocks are joined by a
-newline. Defined results: a null, empty or tagless-blank page has an empty text; text without any tag is one block; unclosed
+newline. What begins a tag, comment or declaration and is not closed ends with the page: a start tag that has no quote or
+equals sign counts as text, anything else goes, as in browsers. Every step is one pass over the page or its elements, so that
+broken or deeply nested pages take time in proportion to their length. Defined results: a null, empty or tagless-blank page has an empty text; text without any tag is one block; unclosed
 and stray tags are tolerated; rows are handled one by one, so repeats and null ids do not matter; an empty table gives no rows;
 other columns are ignored.
 """
@@ -22,15 +24,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html.parser import HTMLParser, locatestarttagend_tolerant
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEED = 1 << 16
 SIGMA = 1.0
 MOST = 0.8
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -56,16 +58,47 @@ HARD_WORDS = frozenset("comment comments related sponsored promo ad".split())
 #: Words that an id may have besides, where it names a part of the page and not a heading's text.
 PLACES = frozenset("left right top bottom main primary secondary box container wrapper wrap inner outer area block list bar".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_VALUE = re.compile(r"""=*\s*(["'])""")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
     """``out``: excluded, ``sign``: to be excluded unless it holds most of the page's text or the article, ``firm``: not for most of the text."""
 
-    __slots__ = ("tag", "parent", "out", "article", "sign", "firm")
+    __slots__ = ("tag", "parent", "out", "article", "sign", "firm", "depth")
 
     def __init__(self, tag: str, parent: Element | None, out: bool, article: Element | None, sign: bool = False, firm: bool = False):
         self.tag, self.parent, self.out, self.article, self.sign, self.firm = tag, parent, out, article, sign, firm
+        self.depth = 0 if parent is None else parent.depth + 1
+
+
+class Muted:
+    """The hidden elements that are open, with constant-time answers however many they are."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.count: Counter[str] = Counter()
+        self._first: dict[str, int] = {}
+
+    def add(self, tag: str) -> None:
+        self._first.setdefault(tag, len(self.tags))
+        self.tags.append(tag)
+        self.count[tag] += 1
+
+    def clear(self) -> None:
+        self.__init__()
+
+    def only(self, tag: str) -> bool:
+        return bool(self.tags) and self.count[tag] == len(self.tags)
+
+    def end(self, tag: str) -> None:
+        """Everything from the first such element on ends."""
+        at = self._first[tag]
+        while len(self.tags) > at:
+            last = self.tags.pop()
+            self.count[last] -= 1
+            if not self.count[last]:
+                del self.count[last], self._first[last]
 
 
 class Blocks(HTMLParser):
@@ -77,7 +110,8 @@ class Blocks(HTMLParser):
         self.blocks: list[tuple[str, int, int, Element]] = []
         self._text: list[str] = []
         self._tags = self._linked = self._links = 0
-        self._mute: list[str] = []
+        self._mute = Muted()
+        self._open: Counter[str] = Counter()
         self._signs = False
         self._elements: list[Element] = []
 
@@ -106,16 +140,17 @@ class Blocks(HTMLParser):
         known = WORDS if inside is not None else WORDS | OUTER_WORDS
         for name, value in attrs:
             if name in ("class", "id") and value:
-                words = {w.lower() for w in _NAMES.findall(value)}
-                if name == "class" or ((inside is None or inside.tag != "article") and words <= known | PLACES):
-                    found |= words & known
+                for one in value.split() if name == "class" else [value] if inside is None or inside.tag != "article" else []:
+                    words = {w.lower() for w in _NAMES.findall(one)}
+                    if words <= known | PLACES:  # a name with other words in it is of something else
+                        found |= words & known
         return found & HARD_WORDS if tag in ("article", "main") else found
 
     def _left_open(self, tag: str) -> None:
         """End a head or options, whose end tags may be left out, at a tag that cannot be in them."""
-        if "head" in self._mute and (tag == "body" or self._mute[-1] == "head" and tag not in HEAD):
+        if self._mute.count["head"] and (tag == "body" or self._mute.tags[-1] == "head" and tag not in HEAD):
             self._mute.clear()
-        elif self._mute and tag in BLOCKS and set(self._mute) == {"option"}:
+        elif tag in BLOCKS and self._mute.only("option"):
             self._mute.clear()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -124,9 +159,9 @@ class Blocks(HTMLParser):
         if tag in HIDDEN:
             if tag in BLOCKS:
                 self._end_block()
-            self._mute.append(tag)
+            self._mute.add(tag)
             return
-        if self._mute:
+        if self._mute.tags:
             return
         if tag == "br":
             self._text.append(" ")
@@ -136,17 +171,23 @@ class Blocks(HTMLParser):
             return
         self._end_block()
         if self.at.tag == "p" or self.at.tag == tag == "li" or (self.at.tag in ("td", "th") and tag in ("td", "th", "tr")):
-            self.at = self.at.parent  # closed by what follows
+            self._leave(self.at.parent)  # closed by what follows
         if tag not in VOID:
             out = self.at.out or self._excluded(tag, attrs)
             words = set() if out else self._words(tag, attrs)
             firm = self.at.article is not None and bool(words & HARD_WORDS)
             self.at = Element(tag, self.at, out, self.at.article, tag == "form" or bool(words), firm)
             self._elements.append(self.at)
+            self._open[tag] += 1
             self._signs |= self.at.sign
             if tag in ("article", "main") and not out:
                 self.at.article = self.at
 
+    def _leave(self, to: Element) -> None:
+        while self.at is not to:
+            self._open[self.at.tag] -= 1
+            self.at = self.at.parent
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -154,12 +195,12 @@ class Blocks(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
-        if set(self._mute) == {"option"}:
+        if self._mute.only("option"):
             self._left_open(tag)
-        if self._mute:
-            if tag in self._mute:
-                del self._mute[self._mute.index(tag) :]
-            elif tag in ("head", "body", "html") or "head" in self._mute and tag == "title":
+        if self._mute.tags:
+            if self._mute.count[tag]:
+                self._mute.end(tag)
+            elif tag in ("head", "body", "html") or self._mute.count["head"] and tag == "title":
                 self._mute.clear()
             return
         if tag == "a":
@@ -167,23 +208,65 @@ class Blocks(HTMLParser):
         if tag not in BLOCKS:
             return
         self._end_block()
-        e = self.at
-        while e is not self.root and e.tag != tag:
-            e = e.parent
-        if e is not self.root:
-            self.at, self._links = e.parent, 0
+        if self._open[tag]:
+            e = self.at
+            while e.tag != tag:
+                e = e.parent
+            self._leave(e.parent)
+            self._links = 0
 
     def handle_data(self, data: str) -> None:
-        if self._mute == ["head"] and data.strip():
+        if self._mute.tags == ["head"] and data.strip():
             self._mute.clear()
-        if not self._mute:
+        if not self._mute.tags:
             self._text.append(data)
             if self._links:
                 self._linked += len(data)
 
+    # The page is fed whole, so what the parser finds unfinished (-1) is never closed: it is settled at once, not looked
+    # for again from every sign behind it.
+
+    def check_for_whole_start_tag(self, i: int) -> int:
+        end = super().check_for_whole_start_tag(i)
+        if end >= 0 and self.rawdata[end - 1] == ">":
+            return end
+        stop = locatestarttagend_tolerant.match(self.rawdata, i).end()
+        value = _VALUE.match(self.rawdata, stop)
+        if stop == len(self.rawdata) or value and self.rawdata.find(value[1], value.end()) < 0:
+            return -1  # never closed
+        return stop  # what is not like a tag becomes text, up to there
+
+    def parse_starttag(self, i: int) -> int:
+        end = super().parse_starttag(i)
+        if end < 0:
+            rest = self.rawdata[i:]
+            if not any(c in rest for c in "\"'="):
+                self.handle_data(rest)
+            end = len(self.rawdata)
+        return end
+
+    def parse_endtag(self, i: int) -> int:
+        end = super().parse_endtag(i)
+        return end if end > 0 else len(self.rawdata)
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_bogus_comment(self, i: int, report: bool = True) -> int:
+        end = super().parse_bogus_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_pi(self, i: int) -> int:
+        end = super().parse_pi(i)
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_html_declaration(self, i: int) -> int:
+        end = super().parse_html_declaration(i)
+        return end if end >= 0 else len(self.rawdata)
+
     def read(self, html: str) -> list[tuple[str, int, int, Element]]:
-        for i in range(0, len(html), FEED):
-            self.feed(html[i : i + FEED])
+        self.feed(html)
         self.close()
         self._end_block()
         if self._signs:
@@ -199,14 +282,13 @@ class Blocks(HTMLParser):
             total += n
             if not e.out:
                 rest += n
-                while e is not None:
-                    held[e] = held.get(e, 0) + n
-                    e = e.parent
+                held[e] = held.get(e, 0) + n
+        add_up(held, self._elements)
         kept = set()
         articles = {e: n for e, n in held.items() if e.article is e and not e.sign}
         if articles:
             most = max(articles.values())
-            best = max((e for e, n in articles.items() if n >= MOST * most), key=_depth)
+            best = max((e for e, n in articles.items() if n >= MOST * most), key=lambda e: e.depth)
             if 2 * held[best] >= rest:
                 while best is not None:
                     kept.add(best)
@@ -216,6 +298,13 @@ class Blocks(HTMLParser):
             e.out = e.out or e.parent.out or (e.sign and not much and e not in kept)
 
 
+def add_up(held: dict[Element, int], elements: list[Element]) -> None:
+    """Give every element the sum of what it and all below it hold; in ``elements`` parents come before children."""
+    for e in reversed(elements):
+        if e in held:
+            held[e.parent] = held.get(e.parent, 0) + held[e]
+
+
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     radius = math.ceil(3 * sigma)
     x = np.arange(-radius, radius + 1)
@@ -232,7 +321,8 @@ def content_regions(blocks: list[tuple[str, int, int, Element]]) -> np.ndarray:
 
 
 def main_text(html: str | None) -> str:
-    blocks = Blocks().read(html or "")
+    page = Blocks()
+    blocks = page.read(html or "")
     if not blocks:
         return ""
     content = content_regions(blocks)
@@ -241,20 +331,27 @@ def main_text(html: str | None) -> str:
         return ""
     votes: dict[Element, int] = {}
     for k in chosen:
-        e = blocks[k][3]
-        while e is not None:
-            votes[e] = votes.get(e, 0) + len(blocks[k][0])
-            e = e.parent
+        votes[blocks[k][3]] = votes.get(blocks[k][3], 0) + len(blocks[k][0])
+    add_up(votes, page._elements)
+
+    def within(best: Element) -> set[Element]:
+        found = {best}
+        for e in page._elements:
+            if e.parent in found:
+                found.add(e)
+        return found
+
     articles = {a: n for a, n in votes.items() if a.article is a}
     if articles:
         most = max(articles.values())
-        best = max((a for a, n in articles.items() if n >= MOST * most), key=_depth)
-        return "\n".join(t for t, _, _, e in blocks if not e.out and _within(e, best))
+        inner = within(max((a for a, n in articles.items() if n >= MOST * most), key=lambda e: e.depth))
+        return "\n".join(t for t, _, _, e in blocks if not e.out and e in inner)
     total = sum(len(blocks[k][0]) for k in chosen)
-    best = max((e for e, n in votes.items() if n >= MOST * total), key=_depth)
+    best = max((e for e, n in votes.items() if n >= MOST * total), key=lambda e: e.depth)
     if best.tag in HEADINGS or best.tag in ("p", "li", "td"):
         best = best.parent or best
-    inside = [k for k in range(len(blocks)) if not blocks[k][3].out and _within(blocks[k][3], best)]
+    inner = within(best)
+    inside = [k for k in range(len(blocks)) if not blocks[k][3].out and blocks[k][3] in inner]
     if best.tag not in ("body", "html", ""):  # an element of its own: all of it but lists of links
         return "\n".join(blocks[k][0] for k in inside if content[k] or 2 * blocks[k][2] < len(blocks[k][0]))
     marked = [k for k in inside if content[k]]
@@ -265,21 +362,6 @@ def main_text(html: str | None) -> str:
     return "\n".join(blocks[k][0] for k in inside if first <= k <= last and (content[k] or 2 * blocks[k][2] < len(blocks[k][0])))
 
 
-def _depth(e: Element) -> int:
-    n = 0
-    while e.parent is not None:
-        n, e = n + 1, e.parent
-    return n
-
-
-def _within(e: Element | None, outer: Element) -> bool:
-    while e is not None:
-        if e is outer:
-            return True
-        e = e.parent
-    return False
-
-
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text, n_chars`` per row."""
     rows = pages.select(F.struct(F.col(f"`{id_col}`").alias("a"), F.col(f"`{url_col}`").alias("b")).alias("o"), F.col(f"`{html_col}`").alias("h"))

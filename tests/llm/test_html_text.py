@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from netsift.llm.common import table
 from netsift.llm.html_text import extract_text, main_text
 
@@ -93,3 +95,53 @@ def test_nulls_and_clashing_columns(spark):
     got = sorted([tuple(r) for r in extract_text(df).collect()], key=str)
     assert got == [(1, None, "", 0), (1, None, "", 0), (None, "u", "hello there", 11)]
     assert extract_text(df.limit(0)).collect() == []
+
+
+WORDY = "A sentence of the article with some more words in it than a menu has."
+
+
+def test_names_with_other_words_in_them_exclude_nothing():
+    table = "".join(f"<p>{WORDY} Row {i}.</p>" for i in range(6))
+    page = f"<body><article><h1>Title</h1><p>{WORDY}</p><div class='share-price-table'>{table}</div><p class='notice-period'>{WORDY} Notice.</p><p>{WORDY}</p></article></body>"
+    assert main_text(page).split("\n") == ["Title", WORDY, *[f"{WORDY} Row {i}." for i in range(6)], f"{WORDY} Notice.", WORDY]
+    assert main_text(page.replace("share-price-table", "related").replace("notice-period", "x cookie-notice")).split("\n") == ["Title", WORDY, WORDY]
+
+
+@pytest.mark.parametrize("tail,kept", [
+    ('<a href="' + "x<y " * 250_000, ""), ("<!--" + "a<b;" * 250_000, ""), ("<div>" * 50_000, ""), ("<svg>" * 50_000 + "t", ""),
+    ("<div>" * 50_000 + "</p></span></li>" * 50_000, ""), ("<script>" + "</" * 300_000, ""), ("<?" * 300_000, ""), ('<a "' * 100_000, ""),
+], ids=["attribute", "comment", "nested", "hidden", "stray ends", "script", "instruction", "quotes"])
+def test_broken_long_pages_take_time_in_proportion(tail, kept):
+    import time
+
+    began = time.perf_counter()
+    assert main_text(f"<body><article><p>{WORDY}</p>" + tail) == WORDY
+    assert time.perf_counter() - began < 10  # quadratic time would be minutes at least
+
+
+def test_text_with_signs_that_are_no_tags():
+    assert main_text("a<b and c <d " * 50) == ("a<b and c <d " * 50).strip()
+    assert main_text("<p>if x<y then</p><p>more of it</p>").startswith("if x")
+
+
+def _slow(blocks):
+    """Ratios, smoothing and threshold written out for one block after another."""
+    import math
+
+    ratio = [0.0 if e.out else (len(t) - linked) / max(1, tags) for t, tags, linked, e in blocks]
+    weight = {d: math.exp(-d * d / 2) for d in range(-3, 4)}
+    total = sum(weight.values())
+    even = [sum(w * ratio[min(max(i + d, 0), len(ratio) - 1)] for d, w in weight.items()) / total for i in range(len(ratio))]
+    mean = sum(even) / len(even)
+    least = min(math.sqrt(sum((x - mean) ** 2 for x in even) / len(even)), mean)
+    return [max(a, b) >= least - 1e-9 and b > 0 for a, b in zip(even, ratio)]
+
+
+def test_regions_against_brute_force(spark):
+    from netsift.llm.html_text import Blocks, content_regions
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(60).collect()
+    for r in pages:
+        blocks = Blocks().read(r.html or "")
+        if blocks:
+            assert content_regions(blocks).tolist() == _slow(blocks)
