@@ -13,13 +13,17 @@ Built from Spark's ``aes_encrypt`` inside ``transform``/``aggregate`` lambdas:
 one AES call per bit (32 for IPv4, 128 for IPv6), all inside the JVM. The pad
 is a constant expression that Catalyst folds. Run it on distinct addresses,
 not on every flow cell.
+
+A key is 32 bytes, which then are literals of the plan, or a ``KeyFile``: the executors read
+the file, and plans and event logs name its path only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.functions import ipaddr as ip
@@ -27,14 +31,57 @@ from netsift.functions import ipaddr as ip
 _WORD = 0xFFFFFFFF
 
 
-def _check_key(key: bytes) -> bytes:
+KEY_COLUMN = "_cryptopan_key"
+
+
+@dataclass(frozen=True)
+class KeyFile:
+    """A key in a file of 32 bytes that all executors can read. The cipher's expressions take it from a
+    column that ``with_key`` adds; a file of another length raises when it is read."""
+
+    path: str
+
+
+Key = bytes | KeyFile
+
+
+def with_key(df: DataFrame, key: Key) -> DataFrame:
+    """``df`` with the column the cipher's expressions need under this key: none for bytes, the content of a ``KeyFile`` else.
+
+    The file is read once by a scalar subquery, so that its content is a value at run time and no part of a plan.
+    """
+    if not isinstance(key, KeyFile):
+        return df
+    aes, pad = "substring(content, 1, 16)", "substring(content, 17, 16)"
+    encrypted = f"hex(substring(aes_encrypt({pad}, {aes}, 'ECB', 'PKCS'), 1, 16))"
+    words = ", ".join(ip.hex_to_long_sql(f"substr({encrypted}, {1 + 8 * j}, 8)") for j in range(4))
+    wrong = "raise_error('Crypto-PAn key must be 32 bytes')"
+    value = f"CASE WHEN octet_length(content) = 32 THEN struct({aes} AS aes, array({words}) AS pad) ELSE {wrong} END AS v"
+    secret = df.sparkSession.read.format("binaryFile").load(key.path).selectExpr(value)
+    return df.withColumn(KEY_COLUMN, secret.scalar())
+
+
+def write_key_file(spark: SparkSession, path: str, key: bytes) -> KeyFile:
+    """Write a key file that its owner alone can read; the key passes through no query."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(at, False)
+    fs.setPermission(at, spark._jvm.org.apache.hadoop.fs.permission.FsPermission("600"))
+    out.write(bytearray(_check_key(key)))
+    out.close()
+    return KeyFile(path)
+
+
+def _check_key(key: Key) -> Key:
+    if isinstance(key, KeyFile):
+        return key
     if not isinstance(key, (bytes, bytearray)) or len(key) != 32:
         raise ValueError("Crypto-PAn key must be 32 bytes")
     return bytes(key)
 
 
-def _aes_key(key: bytes) -> str:
-    return f"X'{key[:16].hex()}'"
+def _aes_key(key: Key) -> str:
+    return f"{KEY_COLUMN}.aes" if isinstance(key, KeyFile) else f"X'{key[:16].hex()}'"
 
 
 @lru_cache(maxsize=32)
@@ -44,8 +91,6 @@ def _pad_words_of(key: bytes) -> tuple[int, int, int, int]:
     A constant of the key, not of the data: one AES call in a one-row query,
     done once per key, so the cipher expressions carry plain literals.
     """
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.getActiveSession()
     pad = spark.range(1).selectExpr(
         f"hex(substring(aes_encrypt(X'{key[16:].hex()}', {_aes_key(key)}, 'ECB', 'PKCS'), 1, 16)) AS p"
@@ -53,11 +98,18 @@ def _pad_words_of(key: bytes) -> tuple[int, int, int, int]:
     return tuple(int(pad[8 * j: 8 * j + 8], 16) for j in range(4))
 
 
-def _pad_word(key: bytes, j: int) -> str:
-    return f"CAST({_pad_words_of(key)[j]} AS BIGINT)"
+def _pad_word(key: Key, j: int) -> str:
+    return f"{KEY_COLUMN}.pad[{j}]" if isinstance(key, KeyFile) else f"CAST({_pad_words_of(key)[j]} AS BIGINT)"
+
+
+def pad_hex_sql(key: Key, first: int = 0) -> str:
+    """The encrypted pad from its word ``first`` on, as hex text."""
+    if isinstance(key, KeyFile):
+        return "concat(" + ", ".join(ip.long_to_hex_sql(_pad_word(key, j), 8) for j in range(first, 4)) + ")"
+    return "'" + "".join(f"{w:08x}" for w in _pad_words_of(key)[first:]) + "'"
 
 
-def _top_bit(block_hex: str, key: bytes) -> str:
+def top_bit_sql(block_hex: str, key: Key) -> str:
     """1 when the first bit of AES-ECB(block) is set, else 0."""
     enc = f"aes_encrypt(unhex({block_hex}), {_aes_key(key)}, 'ECB', 'PKCS')"
     return f"CAST(hex(substring({enc}, 1, 1)) >= '80' AS BIGINT)"
@@ -74,21 +126,21 @@ def _fold(bits: str, offset: int) -> str:
     return f"aggregate(slice({bits}, {offset}, 32), CAST(0 AS BIGINT), ({acc}, {b}) -> {acc} * 2 + {b})"
 
 
-def cryptopan_v4_sql(addr: str, key: bytes) -> str:
+def cryptopan_v4_sql(addr: str, key: Key) -> str:
     """bigint IPv4 address -> bigint pseudonym."""
     key = _check_key(key)
-    pad_rest = "'" + "".join(f"{w:08x}" for w in _pad_words_of(key)[1:]) + "'"
+    pad_rest = pad_hex_sql(key, 1)
 
     def body(a):
         i = ip.fresh("i")
         first = _mixed(a, _pad_word(key, 0), i)
-        bits = f"transform(sequence(0, 31), {i} -> {_top_bit(f'concat({ip.long_to_hex_sql(first, 8)}, {pad_rest})', key)})"
+        bits = f"transform(sequence(0, 31), {i} -> {top_bit_sql(f'concat({ip.long_to_hex_sql(first, 8)}, {pad_rest})', key)})"
         return f"{a} ^ {_fold(bits, 1)}"
 
     return ip.let_sql(addr, body)
 
 
-def cryptopan_v6_sql(addr_hex: str, key: bytes) -> str:
+def cryptopan_v6_sql(addr_hex: str, key: Key) -> str:
     """32-hex-digit IPv6 address -> 32-hex-digit pseudonym."""
     key = _check_key(key)
     p = [_pad_word(key, j) for j in range(4)]
@@ -102,7 +154,7 @@ def cryptopan_v6_sql(addr_hex: str, key: bytes) -> str:
             for j in range(4)
         ]
         block_hex = "concat(" + ", ".join(ip.long_to_hex_sql(x, 8) for x in block) + ")"
-        bits = f"transform(sequence(0, 127), {i} -> {_top_bit(block_hex, key)})"
+        bits = f"transform(sequence(0, 127), {i} -> {top_bit_sql(block_hex, key)})"
 
         def xor(b):
             return "concat(" + ", ".join(ip.long_to_hex_sql(f"{a[j]} ^ {_fold(b, 1 + 32 * j)}", 8) for j in range(4)) + ")"
@@ -113,7 +165,7 @@ def cryptopan_v6_sql(addr_hex: str, key: bytes) -> str:
     return ip.let_sql(words, body)
 
 
-def _recover(word: str, block_hex, key: bytes) -> str:
+def _recover(word: str, block_hex, key: Key) -> str:
     """The 32 address bits behind a pseudonym's word, bit by bit: pad bit i needs only the i bits before it, which are known by then.
 
     ``block_hex`` makes the cipher's block from the word's known bits (at the top of a 32-bit word) and their number.
@@ -121,13 +173,13 @@ def _recover(word: str, block_hex, key: bytes) -> str:
     acc, i = ip.fresh("acc"), ip.fresh("i")
     known = f"shiftleft({acc}, 32 - {i})"
     bit = f"(shiftright({word}, 31 - {i}) & CAST(1 AS BIGINT))"
-    return f"aggregate(sequence(0, 31), CAST(0 AS BIGINT), ({acc}, {i}) -> {acc} * 2 + ({bit} ^ {_top_bit(block_hex(known, i), key)}))"
+    return f"aggregate(sequence(0, 31), CAST(0 AS BIGINT), ({acc}, {i}) -> {acc} * 2 + ({bit} ^ {top_bit_sql(block_hex(known, i), key)}))"
 
 
-def cryptopan_inverse_v4_sql(pseudonym: str, key: bytes) -> str:
+def cryptopan_inverse_v4_sql(pseudonym: str, key: Key) -> str:
     """bigint pseudonym -> bigint IPv4 address."""
     key = _check_key(key)
-    pad_rest = "'" + "".join(f"{w:08x}" for w in _pad_words_of(key)[1:]) + "'"
+    pad_rest = pad_hex_sql(key, 1)
 
     def block(known, i):
         return f"concat({ip.long_to_hex_sql(_mixed(known, _pad_word(key, 0), i), 8)}, {pad_rest})"
@@ -135,7 +187,7 @@ def cryptopan_inverse_v4_sql(pseudonym: str, key: bytes) -> str:
     return ip.let_sql(pseudonym, lambda c: _recover(c, block, key))
 
 
-def cryptopan_inverse_v6_sql(pseudonym_hex: str, key: bytes) -> str:
+def cryptopan_inverse_v6_sql(pseudonym_hex: str, key: Key) -> str:
     """32-hex-digit pseudonym -> 32-hex-digit IPv6 address, word after word."""
     key = _check_key(key)
 
@@ -156,7 +208,7 @@ def cryptopan_inverse_v6_sql(pseudonym_hex: str, key: bytes) -> str:
     return ip.let_sql(ip.let_sql(pseudonym_hex, words), lambda c: word(c, []))
 
 
-def cryptopan_inverse_sql(x: str, key: bytes) -> str:
+def cryptopan_inverse_sql(x: str, key: Key) -> str:
     """Pseudonym text of either family -> address text, in the short form for IPv6 (NULL if not an address)."""
 
     def body(t):
@@ -168,12 +220,12 @@ def cryptopan_inverse_sql(x: str, key: bytes) -> str:
     return ip.let_sql(x, body)
 
 
-def cryptopan_inverse(c: str, key: bytes) -> Column:
-    """The address behind the pseudonym in column ``c``."""
+def cryptopan_inverse(c: str, key: Key) -> Column:
+    """The address behind the pseudonym in column ``c`` (with a ``KeyFile``: of a table ``with_key``)."""
     return F.expr(cryptopan_inverse_sql(ip.name(c), key))
 
 
-def cryptopan_sql(x: str, key: bytes) -> str:
+def cryptopan_sql(x: str, key: Key) -> str:
     """Address text of either family -> pseudonym text of the same family (NULL if not an address)."""
 
     def body(t):
@@ -184,6 +236,6 @@ def cryptopan_sql(x: str, key: bytes) -> str:
     return ip.let_sql(x, body)
 
 
-def cryptopan(c: str, key: bytes) -> Column:
-    """Pseudonym of the address in column ``c``."""
+def cryptopan(c: str, key: Key) -> Column:
+    """Pseudonym of the address in column ``c`` (with a ``KeyFile``: of a table ``with_key``)."""
     return F.expr(cryptopan_sql(ip.name(c), key))

@@ -61,7 +61,7 @@ def sensitive_ips(
     )
 
 
-def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip", partitions: int | None = None) -> DataFrame:
+def build_mapping(ips: DataFrame, key: cp.Key, column: str = "original_ip", partitions: int | None = None) -> DataFrame:
     """Distinct addresses -> ``original_ip, obfuscated_ip, family, n_cells`` (A3, A4).
 
     Crypto-PAn costs 32 or 128 AES calls per row, while the distinct rows are
@@ -70,10 +70,11 @@ def build_mapping(ips: DataFrame, key: bytes, column: str = "original_ip", parti
     would run on a handful of cores. The rows are therefore hash-partitioned
     by address into an explicit number of partitions (the cluster's default
     parallelism), which adaptive execution keeps. Only distinct rows move.
+    Where very many addresses share networks, ``prefix_cipher`` needs fewer calls.
     """
     extra = [c for c in ("family", "n_cells") if c in ips.columns]
     n = partitions or ips.sparkSession.sparkContext.defaultParallelism
-    ips = ips.repartition(n, column)
+    ips = cp.with_key(ips.repartition(n, column), key)
     return ips.select(
         F.col(column).alias("original_ip"),
         cp.cryptopan(column, key).alias("obfuscated_ip"),
@@ -110,7 +111,7 @@ def apply_mapping(
     mapping: DataFrame | None = None,
     *,
     policy: pol.Policy | None = None,
-    key: bytes | None = None,
+    key: cp.Key | None = None,
     strategy: str = "auto",
     strict: bool = False,
     unique: bool = False,
@@ -141,7 +142,7 @@ def apply_mapping(
     if strategy == "inline":
         if key is None or policy is None:
             raise ValueError("inline anonymization needs the key and the policy")
-        out = df
+        out = cp.with_key(df, key)
         for c in cols:
             out = pol.match_policy(out, c, policy, out=f"_{c}_s")
             pseudonym = F.expr(cp.cryptopan_sql(ipaddr.trim_sql(ipaddr.name(c)), key))
@@ -149,7 +150,7 @@ def apply_mapping(
             if flag:
                 out = out.withColumn(f"{c}_anonymized", F.col(f"_{c}_s"))
             out = out.drop(f"_{c}_s")
-        return out
+        return out.drop(cp.KEY_COLUMN)
     if mapping is None:
         raise ValueError(f"strategy {strategy!r} needs a mapping table")
     if strategy == "broadcast" and n > max_broadcast_rows:
@@ -209,13 +210,13 @@ def deanonymize(
     return apply_mapping(df, cols, rev, strategy="auto", unique=True, only_flagged=flagged, max_broadcast_rows=max_broadcast_rows)
 
 
-def inverse_mapping(pseudonyms: DataFrame, key: bytes, column: str = "obfuscated_ip", partitions: int | None = None) -> DataFrame:
+def inverse_mapping(pseudonyms: DataFrame, key: cp.Key, column: str = "obfuscated_ip", partitions: int | None = None) -> DataFrame:
     """Distinct pseudonyms -> ``obfuscated_ip, original_ip``, by the key alone; NULL where a text is not an address.
 
     As in ``build_mapping`` the few distinct rows are dealt over all cores, since the cipher is the cost.
     """
     n = partitions or pseudonyms.sparkSession.sparkContext.defaultParallelism
-    rows = pseudonyms.repartition(n, column)
+    rows = cp.with_key(pseudonyms.repartition(n, column), key)
     return rows.select(F.col(column).alias("obfuscated_ip"), cp.cryptopan_inverse(column, key).alias("original_ip"))
 
 
@@ -223,7 +224,7 @@ def deanonymize_by_key(
     df: DataFrame,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     *,
-    key: bytes,
+    key: cp.Key,
     policy: pol.Policy | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_MAPPING_ROWS,
 ) -> DataFrame:

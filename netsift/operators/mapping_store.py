@@ -43,9 +43,9 @@ MAX_BROADCAST_ADDRESSES = 100_000
 class MappingStore:
     """Addresses and pseudonyms of all batches so far, in the folder ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, key: bytes, n_buckets: int = 32):
+    def __init__(self, spark: SparkSession, root: str, key: cp.Key, n_buckets: int = 32):
         self._spark, self._root, self._key = spark, root, key
-        self._check = spark.range(1).selectExpr(f"sha2({cp.cryptopan_sql(repr(CHECK_ADDRESS), key)}, 256) AS c").first().c
+        self._check = cp.with_key(spark.range(1), key).selectExpr(f"sha2({cp.cryptopan_sql(repr(CHECK_ADDRESS), key)}, 256) AS c").first().c
         found = self._commits()
         if any(c.key_check != self._check for c in found):
             raise ValueError(f"the mapping store {root} was made with another key")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netsift import fixtures, schemas
+from netsift.functions.cryptopan import write_key_file
 from netsift.operators import anonymize as anon
 from netsift.operators import features as feat
 from netsift.operators import flow as flowop
 from netsift.operators import policy as pol
+from netsift.operators import prefix_cipher
 from netsift.operators.mapping_store import MappingStore
 from netsift.plans import duck
 from netsift.plans.common import FEATURES_SQL, FLOW_CTE, POLICY, SAMPLE_KEY, parsed_flows, with_cte
@@ -358,3 +360,51 @@ def build_mapping_keys(spark, sf_dir):
     used = m.groupBy("obfuscated_ip").agg(F.count(F.lit(1)).alias("n"))
     same = F.when(F.instr("obfuscated_ip", ":") > 0, 6).otherwise(4) == F.col("family")
     return m.join(used, "obfuscated_ip").select("original_ip", "family", "n_cells", ((F.col("n") == 1) & same).alias("one_to_one"))
+
+
+def _same_pseudonyms(spark, sf_dir, mapping):
+    """The mapping's keys, and whether its pseudonyms are those that one address after the other has under the key's bytes."""
+    whole = build_mapping(spark, sf_dir).select("original_ip", F.col("obfuscated_ip").alias("want"))
+    same = F.coalesce(F.col("want") == F.col("obfuscated_ip"), F.lit(False)).alias("same")
+    return mapping.join(whole, "original_ip", "left").select("original_ip", "family", "n_cells", same)
+
+
+_SAME_SQL = with_cte(FLOW_CTE, _SENSITIVE_CELLS) + "SELECT original_ip, family, n_cells, true AS same FROM sensitive"
+
+
+@register("build_mapping_key_file", _SAME_SQL)
+def build_mapping_key_file(spark, sf_dir):
+    """A3 A4: the key stays in a file that the executors read; no plan holds it."""
+    key = write_key_file(spark, scratch_path(spark, "cryptopan-key"), SAMPLE_KEY)
+    ips = anon.sensitive_ips(parsed_flows(spark, sf_dir), COLS, _policy(spark))
+    return _same_pseudonyms(spark, sf_dir, anon.materialize(anon.build_mapping(ips, key)))
+
+
+@register("build_mapping_by_prefixes", _SAME_SQL)
+def build_mapping_by_prefixes(spark, sf_dir):
+    """A3 A4: one AES call for each distinct prefix of the addresses, the key in a file."""
+    key = write_key_file(spark, scratch_path(spark, "cryptopan-key"), SAMPLE_KEY)
+    ips = anon.sensitive_ips(parsed_flows(spark, sf_dir), COLS, _policy(spark))
+    return _same_pseudonyms(spark, sf_dir, prefix_cipher.build_mapping_by_prefixes(ips, key))
+
+
+_ALL_ADDRESSES = "SELECT trim(sa) AS ip FROM flow UNION SELECT trim(da) FROM flow"
+
+
+@register(
+    "cryptopan_prefix_calls",
+    FLOW + f"""
+, address AS (SELECT DISTINCT CASE WHEN contains(ip, ':') THEN {duck.v6_hex('ip')} ELSE printf('%08x', {duck.v4_num('ip')}) END AS h
+              FROM ({_ALL_ADDRESSES})),
+bits AS (SELECT array_to_string(list_transform(range(1, len(h) + 1),
+           lambda i: lpad(bin(strpos('0123456789abcdef', substr(h, i, 1)) - 1), 4, '0')), '') AS b FROM address),
+prefix AS (SELECT DISTINCT substr(b, 1, n) AS p FROM (SELECT b, unnest(range(0, len(b))) AS n FROM bits))
+SELECT CAST(len(p) // 16 AS INTEGER) AS level, count(*) AS n_calls FROM prefix GROUP BY 1""",
+)
+def cryptopan_prefix_calls(spark, sf_dir):
+    """A4: the AES calls by level of 16 bits: as many as the flows' addresses have distinct prefixes."""
+    p = parsed_flows(spark, sf_dir)
+    ips = p.select(F.explode(F.array(F.trim("sa"), F.trim("da"))).alias("ip")).distinct()
+    done = prefix_cipher.encrypted_words(prefix_cipher.words(prefix_cipher.keyed(ips, "ip")), SAMPLE_KEY)
+    level = F.expr("cast(length(parent) div 4 as int)").alias("level")
+    return done.groupBy(level).agg(F.sum("n_calls").cast("bigint").alias("n_calls"))

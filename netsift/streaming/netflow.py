@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from netsift import schemas
+from netsift.functions.cryptopan import Key
 from netsift.operators import anonymize as anon
 from netsift.operators import features as feat
 from netsift.operators import flow as flowop
@@ -51,7 +52,7 @@ def netflow_outputs(
     parsed: DataFrame,
     *,
     policy: pol.Policy,
-    key: bytes | None = None,
+    key: Key | None = None,
     mapping: DataFrame | None = None,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     columns: Sequence[str] | None = None,
@@ -87,7 +88,7 @@ def fanout_batch(
     *,
     root: str,
     policy: pol.Policy,
-    key: bytes,
+    key: Key,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     columns: Sequence[str] | None = None,
     run: str = "0",
@@ -259,7 +260,7 @@ def start_netflow_fanout(
     root: str,
     checkpoint: str,
     policy: pol.Policy,
-    key: bytes,
+    key: Key,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     columns: Sequence[str] | None = None,
     available_now: bool = False,
@@ -291,7 +292,7 @@ def start_netflow_queries(
     sinks: dict[str, dict],
     checkpoint_root: str,
     policy: pol.Policy,
-    key: bytes,
+    key: Key,
     cols: Sequence[str] = schemas.DEFAULT_ANONYMIZE_COLUMNS,
     columns: Sequence[str] | None = None,
     available_now: bool = False,
