@@ -110,18 +110,78 @@ def vocabulary_counts(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("tf").desc(), F.col("term"))))
 
 
-def term_counts(filtered: DataFrame) -> DataFrame:
-    """``term, tf, df``: corpus count and number of lines of every term; the NULL term counts the lines.
-
-    One pass and one shuffle for both counts; map-side combine leaves one row per task and term.
-    """
+def _entries(filtered: DataFrame) -> DataFrame:
+    """``term, tf, df`` entries of every line, to be summed by term; the NULL term counts the lines."""
     entries = F.expr(
         "concat(transform(filteredMessage, t -> named_struct('term', t, 'tf', 1L, 'df', 0L)),"
         " transform(array_distinct(filteredMessage), t -> named_struct('term', t, 'tf', 0L, 'df', 1L)),"
         " array(named_struct('term', cast(null as string), 'tf', 0L, 'df', 1L)))"
     )
-    rows = filtered.select(F.explode(entries).alias("e")).select("e.*")
-    return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    return filtered.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def _summed(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def term_counts(filtered: DataFrame) -> DataFrame:
+    """``term, tf, df``: corpus count and number of lines of every term; the NULL term counts the lines.
+
+    One pass and one shuffle for both counts; map-side combine leaves one row per task and term.
+    """
+    return _summed(_entries(filtered))
+
+
+#: Rows of the sketch of term counts, each with a hash of its own.
+SKETCH_ROWS = 2
+
+
+def _bucket(row: int, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(row), "term"), F.lit(buckets)).cast("int")
+
+
+def term_sketch(filtered: DataFrame, buckets: int) -> DataFrame:
+    """``row, bucket, n``: how many tokens fall into each bucket of each row of hashes.
+
+    The sums of two corpora are the sums of their sketches, and a task hands on ``SKETCH_ROWS * buckets`` rows at most,
+    however many distinct terms it has. No bucket counts less than any of its terms.
+    """
+    terms = filtered.select(F.explode("filteredMessage").alias("term")).filter(F.col("term").isNotNull())
+    cells = F.explode(F.array(*[F.struct(F.lit(r).alias("row"), _bucket(r, buckets).alias("bucket")) for r in range(SKETCH_ROWS)]))
+    return terms.select(cells.alias("c")).groupBy("c.row", "c.bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequent_term_counts(filtered: DataFrame, vocab_size: int, buckets: int) -> DataFrame:
+    """``term_counts`` of some terms only, among them every term of the ``vocab_size`` most frequent ones (ties included).
+
+    For corpora whose distinct terms are too many to shuffle. Terms are counted exactly where all their buckets
+    reach a threshold; the least count of the ``vocab_size`` best of them is one that the true last place
+    reaches too. No term with that count is outside if the threshold was not above it; else
+    the terms are counted once more, with that count as the threshold. Where the buckets tell nothing apart, or the corpus has
+    too few terms, that counts every term. The lines are read two or three times, and beside the
+    sketch only counted terms are shuffled.
+    """
+    from netsift.operators.anonymize import materialize
+
+    sketch = materialize(term_sketch(filtered, buckets))
+    nth = sketch.filter("row = 0").orderBy(F.col("n").desc()).limit(4 * vocab_size).agg(F.min("n")).first()[0]
+
+    def counted(least: int) -> DataFrame:
+        rows = _entries(filtered)
+        for r in range(SKETCH_ROWS):
+            # at most `buckets` numbers; the NULL term stands for the lines
+            heavy = sketch.filter((F.col("row") == r) & (F.col("n") >= least)).select("bucket").unionByName(
+                filtered.sparkSession.range(1).select(F.lit(-1).alias("bucket")))
+            of_term = F.when(F.col("term").isNull(), -1).otherwise(_bucket(r, buckets)).alias("bucket")
+            rows = rows.select("*", of_term).join(F.broadcast(heavy), "bucket", "left_semi").drop("bucket")
+        return materialize(_summed(rows))
+
+    found = counted(nth or 0)
+    best = found.filter("term is not null").orderBy(F.col("tf").desc()).limit(vocab_size)
+    last, n = best.agg(F.min("tf"), F.count(F.lit(1))).first()
+    if n == vocab_size and last >= nth:
+        return found
+    return counted(last if n == vocab_size else 0)
 
 
 def fit_vocabulary(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) -> list[str]:
@@ -129,13 +189,17 @@ def fit_vocabulary(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) ->
     return vocabulary_statistics(filtered, vocab_size)[0]
 
 
-def vocabulary_statistics(filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE) -> tuple[list[str], list[int], int]:
+def vocabulary_statistics(
+    filtered: DataFrame, vocab_size: int = schemas.VOCAB_SIZE, sketch_buckets: int | None = None
+) -> tuple[list[str], list[int], int]:
     """Terms by corpus frequency, ties by term text, with their line counts, and the number of lines.
 
-    At most ``vocab_size`` + 1 rows reach the driver.
+    At most ``vocab_size`` + 1 rows reach the driver. With ``sketch_buckets`` the terms to count are first
+    found by a sketch of so many buckets a row (``frequent_term_counts``); the result is the same.
     """
+    counts = frequent_term_counts(filtered, vocab_size, sketch_buckets) if sketch_buckets else term_counts(filtered)
     first = F.col("term").isNull().desc()
-    rows = term_counts(filtered).orderBy(first, F.col("tf").desc(), F.col("term")).limit(vocab_size + 1).collect()
+    rows = counts.orderBy(first, F.col("tf").desc(), F.col("term")).limit(vocab_size + 1).collect()
     lines = rows[0].df if rows else 0
     return [r.term for r in rows[1:]], [r.df for r in rows[1:]], lines
 
@@ -151,11 +215,15 @@ def fit_tfidf(
     vocab_size: int = schemas.VOCAB_SIZE,
     min_doc_freq: int = schemas.MIN_DOC_FREQ,
     stop_words: Sequence[str] | None = None,
+    sketch_buckets: int | None = None,
 ) -> PipelineModel:
-    """Fit tokenizer -> stop words -> term counts -> IDF weights on parsed lines (T3, T5, T9), in one pass over them."""
+    """Fit tokenizer -> stop words -> term counts -> IDF weights on parsed lines (T3, T5, T9), in one pass over them.
+
+    ``sketch_buckets`` (16,384 is a good number) is for corpora of very many distinct terms: more passes, a bounded shuffle, the same model.
+    """
     tok, rem = tokenizer(), stop_words_remover(stop_words)
     filtered = rem.transform(tok.transform(df.select("message"))).select("filteredMessage")
-    vocab, counts, lines = vocabulary_statistics(filtered, vocab_size)
+    vocab, counts, lines = vocabulary_statistics(filtered, vocab_size, sketch_buckets)
     tf = CountVectorizerModel.from_vocabulary(vocab, inputCol="filteredMessage", outputCol="tfFeatures")
     weights = Vectors.dense(idf_weights(counts, lines, min_doc_freq))
     idf = ElementwiseProduct(scalingVec=weights, inputCol="tfFeatures", outputCol="tfidfFeatures")

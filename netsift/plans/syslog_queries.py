@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from netsift import fixtures, schemas
@@ -105,6 +106,15 @@ def syslog_vocab(spark, sf_dir):
     return sl.vocabulary_counts(sl.tokens(parsed_logs(spark, sf_dir)))
 
 
+@register("syslog_vocab_sketched", SYSLOG + "SELECT v.term, v.tf, n.df, v.rank FROM vocab v JOIN "
+          "(SELECT term, count(DISTINCT k) AS df FROM (SELECT k, unnest(filtered) AS term FROM filt) GROUP BY term) n USING (term)")
+def syslog_vocab_sketched(spark, sf_dir):
+    """The same vocabulary with line counts, where only terms that a sketch finds frequent are counted."""
+    counts = sl.frequent_term_counts(sl.tokens(parsed_logs(spark, sf_dir)), schemas.VOCAB_SIZE, 16_384)
+    top = counts.filter("term is not null").orderBy(F.col("tf").desc(), F.col("term")).limit(schemas.VOCAB_SIZE)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("tf").desc(), F.col("term"))))
+
+
 @register("syslog_tf", SYSLOG + "SELECT k, CAST(pos AS INTEGER) AS pos, x FROM tf")
 def syslog_tf(spark, sf_dir):
     """T4: term counts over the vocabulary, non-zero entries in long form."""

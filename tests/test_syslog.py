@@ -68,3 +68,33 @@ def test_one_pass_parse_equals_field_by_field(spark):
     want = df.select("k", *[F.regexp_extract("value", schemas.SYSLOG_PATTERN, i + 1).alias(n) for i, n in enumerate(schemas.SYSLOG_FIELDS)],
                      F.col("value").rlike(schemas.SYSLOG_PATTERN).alias("matched"))
     assert sl.parse_syslog(df, keep=("k",)).select(want.columns).orderBy("k").collect() == want.orderBy("k").collect()
+
+
+def test_sketched_vocabulary_is_exact(spark):
+    import random
+
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    # Zipf-like lines, terms seen once, a hundred terms tied at the last place, lines without terms
+    lines = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(400)], k=12)) + f" once{n}" for n in range(600)]
+    lines += [" ".join(f"tie{i}" for i in range(100))] * 30 + ["", " "]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(lines)], "k long, message string")
+    t = sl.tokens(df, stop_words=[]).select("filteredMessage").persist()
+    distinct = sl.term_counts(t).count()
+    for size, buckets in [(10, 4096), (50, 512), (120, 4096), (10, 1), (50, 3), (5000, 64)]:
+        assert sl.vocabulary_statistics(t, size, buckets) == sl.vocabulary_statistics(t, size), (size, buckets)
+    assert sl.frequent_term_counts(t, 10, 4096).count() < distinct / 5
+    empty = t.limit(0)
+    assert sl.vocabulary_statistics(empty, 5, 16) == sl.vocabulary_statistics(empty, 5)
+    plan = sl.fit_tfidf(df, vocab_size=10, stop_words=[], sketch_buckets=512)
+    assert list(plan.stages[2].vocabulary) == sl.fit_vocabulary(t, 10)
+
+
+def test_sketch_rows_are_bounded_and_no_bucket_hides_a_term(spark):
+    df = spark.createDataFrame([(0, " ".join(f"t{i}" for i in range(5000)) + " t7" * 9)], "k long, message string")
+    t = sl.tokens(df, stop_words=[])
+    sketch = sl.term_sketch(t, 64)
+    assert sketch.count() <= sl.SKETCH_ROWS * 64
+    assert [r.n for r in sketch.groupBy("row").agg(F.sum("n").alias("n")).collect()] == [5009] * sl.SKETCH_ROWS
+    at = spark.createDataFrame([("t7",)], "term string").select(sl._bucket(0, 64)).first()[0]
+    assert sketch.filter((F.col("row") == 0) & (F.col("bucket") == at)).first().n >= 10
