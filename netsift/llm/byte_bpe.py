@@ -7,8 +7,9 @@ leaves, and rows with no pair left are moved out of the matrix. Pre-tokens over
 ``LONG`` bytes (rounds would cost their square) go through a heap of pairs with
 the same order of merges.
 
-Texts are matched and encoded whole; a null text is empty and has no ids. Decoding joins
-the bytes of the ids.
+Texts are matched and encoded whole, very long ones too; a null text is empty and has no ids. Decoding joins
+the bytes of the ids. Of pairs with the same rank (ties) the leftmost merges first; repeated rows are encoded
+each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

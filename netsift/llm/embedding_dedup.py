@@ -19,7 +19,8 @@
 
 Defined results: vectors without a label, that are null, empty, zero, or hold null or non-finite components link with
 nothing, nor do vectors of different length; they are components of their own. Rows repeating an id or a vector are
-vectors of their own. A null id never names a component unless there is no other, and is not kept. An empty table gives
+vectors of their own; equal vectors (ties) link with each other. Texts are not read, and a vector may have any
+length. A null id never names a component unless there is no other, and is not kept. An empty table gives
 no rows; other columns are ignored.
 """
 

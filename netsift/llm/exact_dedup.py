@@ -10,7 +10,9 @@ two texts; those hashes, if any, are matched on the text.
 Defined results: a null text counts as empty, and all empty texts are equal.
 A null id never becomes ``keep_id`` unless a whole class has no id; its row is
 returned with ``kept`` false. Rows repeating an id and its text count as
-members. An empty table gives an empty result. Other columns are ignored.
+members, and all rows of the class that carry its smallest id (a tie) are kept.
+A very long text is hashed and compared whole. An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations

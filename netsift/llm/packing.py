@@ -12,7 +12,9 @@ sequence and offset from its length and number.
 
 Defined results: an added token of the vocabulary standing in a text has its own id, as
 ``tokenizers`` gives it; a null or empty text is a document of the end id alone; rows
-repeating an id are documents of their own; an empty table gives no pieces.
+repeating an id are documents of their own; a very long text is encoded whole and cut;
+pieces of one length (ties) are alike for the packing, and any of them may take a place;
+an empty table gives no pieces.
 Other columns are ignored.
 """
 

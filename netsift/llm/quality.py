@@ -12,7 +12,7 @@ each grade, see ``labelled``) outside the held-out third.
 
 Defined results: a null or empty text has only the feature of having no tokens; with one grade or none in the
 sample, every document gets that grade (null without any) and is kept; rows are scored one by one, so repeats and null ids do
-not matter; an empty table gives no rows; other columns are ignored.
+not matter and ties get equal scores; a very long text is one text, whose tokens are all counted; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

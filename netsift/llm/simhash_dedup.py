@@ -17,7 +17,8 @@ of two salted parts, each a group of its own, so none is too large for a task.
 Defined results: a null or empty text, or one without words, has fingerprint
 zero and links like any other; rows with a null id take part but never name a
 component unless it has no other id; an empty table gives no rows; other columns
-are ignored.
+are ignored. A very long text is hashed whole, its bits counted in parts of ``SHINGLES``
+shingles. A bit set in just half of the hashes (a tie) is 0. Rows repeating a text or an id are rows of their own.
 """
 
 from __future__ import annotations

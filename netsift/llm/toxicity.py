@@ -12,7 +12,7 @@ sample (``per_grade`` documents a label, see ``labelled``) outside the held-out
 
 Defined results: a null or empty text is one empty sentence, which gets the
 model's base rate; without examples of both labels the score is the share of label 1 (0
-without any). Rows are scored each by itself, so repeats and ties get equal scores; an
+without any). A very long text is scored whole, sentence by sentence. Rows are scored each by itself, so repeats and ties get equal scores; an
 empty table gives no rows; other columns are returned by ``score_documents`` only if asked for, before its own.
 """
 
