@@ -142,7 +142,7 @@ def test_witness_is_any_text_of_moderate_length():
     assert pk.TokenEncoder.witness(["", long]) == 1 and pk.TokenEncoder.witness([long + "z", long, ""]) == 1
     assert pk.TokenEncoder.witness([""]) == 0 and pk.TokenEncoder.witness([long, "", "a"]) == 2
     texts = [f"text {i} " * (i + 1) for i in range(50)]
-    seen = {len(texts[pk.TokenEncoder.witness(texts[k:k + 10])]) for k in range(40)}
-    assert len(seen) > 4 and max(seen) > 100  # not the shortest ones alone
+    seen = {pk.TokenEncoder.witness(texts[k:k + 10]) for k in range(40)}
+    assert len(seen) > 4  # not the shortest, the first of its ten, alone
     with_empty = ["", *texts]
     assert with_empty[pk.TokenEncoder.witness(with_empty)] == texts[pk.TokenEncoder.witness(texts)]
