@@ -59,6 +59,21 @@ for _plan in ("or", "bucket"):
 
 # M8 with rules made from the customers, so that the policy grows with the data: subnets of all widths from /18
 # on, and ranges, over the sources' networks; wide ranges of the IPv6 destinations' network besides.
+# two thirds of the flows with a target in or beside the default policy's networks
+_DEFAULT_CELLS = "CASE WHEN k % 3 = 0 THEN concat('192.168.1.', CAST(k % 256 AS {s})) WHEN k % 3 = 1 THEN concat('10.0.19.', CAST(k % 256 AS {s})) ELSE da END"
+
+
+@register(
+    "policy_match_default",
+    FLOW + f""", moved AS (SELECT k, {_DEFAULT_CELLS.format(s='VARCHAR')} AS ip FROM flow)
+SELECT k, ip, {duck.membership('ip', ('192.168.1.0,192.168.1.254', '10.0.19.0,10.0.19.254'))} AS ip_sensitive FROM moved""",
+)
+def policy_match_default(spark, sf_dir):
+    """The built-in default policy, on addresses in and around its networks."""
+    p = parsed_flows(spark, sf_dir).selectExpr("k", f"{_DEFAULT_CELLS.format(s='STRING')} AS ip")
+    return pol.match_policy(p, "ip", pol.read_policy(spark, default=True))
+
+
 _RULE_EXPR = """CASE c_custkey % 4
   WHEN 0 THEN concat('10.', c_custkey % 256, '.', (c_custkey * 7) % 256, '.', (c_custkey * 31) % 256, '/', 18 + (c_custkey * 13) % 15)
   WHEN 1 THEN concat('192.168.10.', (c_custkey * 11) % 256)
