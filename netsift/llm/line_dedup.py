@@ -11,8 +11,10 @@ if a smaller id of the same batch has it.
 Keys are 128-bit hashes of the line without white space at both ends and with A-Z
 lower-cased. Keys of fewer than ``min_chars`` code points never go.
 
-A batch holds ``BATCH_BYTES`` of text, the runs have a bucket for every ``BUCKET_KEYS`` occurrences
-of keys, so tasks keep their size as the corpus grows.
+A batch holds ``BATCH_BYTES`` of text, more where there would be over ``MOST_BATCHES``. The runs have a bucket
+for every ``BUCKET_KEYS`` occurrences of keys, up to ``MOST_BUCKETS``, so tasks keep their size as the corpus grows.
+A batch leaves a table of the keys that others have too; one join finds the lines that have them, and both of its sides
+come straight from a shuffle (or one is small and broadcast), so that adaptive execution can split a line found in a third of all documents.
 
 Defined results: a null or empty text is one empty line. A null id counts as
 one document after all others. Rows repeating an id are one document: they do not
@@ -41,9 +43,12 @@ SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: Batches at least, and the bytes of text in one.
 BATCHES = 4
 BATCH_BYTES = 4 << 30
+#: Batches at most, one after the other: a larger corpus has larger ones.
+MOST_BATCHES = 16
 FANOUT = 2
 #: Occurrences of keys for one bucket of the runs: what a task reads of each run is a part of this.
 BUCKET_KEYS = 500_000
+MOST_BUCKETS = 50_000
 LAST = 2**63 - 1
 SLAB = 4 << 20
 
@@ -127,7 +132,10 @@ class LineRuns:
         self.levels = []
 
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
-        """Add a batch's ``d, x, h``; returns those whose lines go. ``batch`` must be a written table. After the ``last`` nothing is merged."""
+        """Add a batch's ``d, h``; returns ``h, fresh, lo``: the keys found twice. Their lines go, with ``fresh`` those of ids above ``lo`` only.
+
+        ``batch`` must be a written table. After the ``last`` nothing is merged.
+        """
         keys = batch.groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         fresh = keys.select("h")
         for run in self.runs():
@@ -139,8 +147,7 @@ class LineRuns:
             self._spark.sql(f"DROP TABLE {own}")
         else:
             self._put(0, own)
-        marked = keys.join(own_keys, "h", "left").filter("fresh is null or hi > lo")
-        return batch.join(marked, "h").filter("fresh is null or d > lo").select("d", "x", "h")
+        return keys.join(own_keys, "h", "left").filter("fresh is null or hi > lo").select("h", "fresh", "lo")
 
 
 def repeated_lines(
@@ -149,18 +156,22 @@ def repeated_lines(
     """``d, x, drop``: for documents that lose lines, the keys of those lines."""
     spark = docs.sparkSession
     found = occurrences(docs, id_col, text_col, min_chars)
-    batches = batches or max(BATCHES, math.ceil(text_bytes(docs.select(F.col(f"`{text_col}`").alias("text"))) / BATCH_BYTES))
+    if not batches:
+        n_bytes = text_bytes(docs.select(F.col(f"`{text_col}`").alias("text")))
+        batches = min(MOST_BATCHES, max(BATCHES, math.ceil(n_bytes / BATCH_BYTES)))
     shares = [(i + 1) / batches for i in range(batches - 1)]
     bounds = _numbered(docs, id_col, text_col).agg(F.percentile_approx("d", shares, 10_000)).first()[0] if shares else []
     number = sum([F.when(F.col("d") > b, 1).otherwise(0) for b in bounds or []], F.lit(0))
-    path = scratch_path(spark, "line-occurrences")
-    found.withColumn("batch", number).write.parquet(path)  # a filter on the batch skips what lies in others
+    path, marks = scratch_path(spark, "line-occurrences"), scratch_path(spark, "line-marks")
+    found.withColumn("batch", number).write.partitionBy("batch").parquet(path)
     table = spark.read.schema("d bigint, x binary, h binary, batch int").parquet(path)
-    runs, gone = LineRuns(spark, fanout, max(1, math.ceil(table.count() / BUCKET_KEYS))), None
+    runs = LineRuns(spark, fanout, min(MOST_BUCKETS, max(1, math.ceil(table.count() / BUCKET_KEYS))))
     for i in range(batches):
-        now = runs.add(table.filter(F.col("batch") == i).select("d", "x", "h"), last=i == batches - 1)
-        gone = now if gone is None else gone.unionByName(now)
+        mark = runs.add(table.filter(F.col("batch") == i).select("d", "h"), last=i == batches - 1)
+        mark.write.parquet(f"{marks}/batch={i}")
     runs.close()
+    marked = spark.read.schema("h binary, fresh boolean, lo bigint, batch int").parquet(marks)
+    gone = table.join(marked, ["batch", "h"]).filter("fresh is null or d > lo")
     return gone.groupBy("d", "x").agg(F.collect_set("h").alias("drop"))
 
 
