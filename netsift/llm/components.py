@@ -1,7 +1,8 @@
 """Connected components of an edge table: alternating large-star and small-star steps.
 
 Every step is a min per node and a join back, so no node's neighbours meet in
-one task, and a hub's rows can be split by the engine. Each round is written
+one task. The minima are written before the join: both its sides then come straight from a
+shuffle, and adaptive execution can split a hub's rows. Each round is written
 with a reliable checkpoint; rounds grow with the logarithm of the number of nodes.
 """
 
@@ -15,13 +16,13 @@ from netsift.llm.common import materialize
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     up = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return up.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    low = materialize(edges.groupBy("u").agg(F.min("v").alias("m")))
     rest = edges.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
