@@ -10,9 +10,10 @@ inverted from the first bit to the last: bit i of the pad depends on the i addre
 before it, which are known when bit i of the pseudonym is looked at.
 
 Built from Spark's ``aes_encrypt`` inside ``transform``/``aggregate`` lambdas:
-one AES call per bit (32 for IPv4, 128 for IPv6), all inside the JVM. The pad
-is a constant expression that Catalyst folds. Run it on distinct addresses,
-not on every flow cell.
+one AES block per bit (32 for IPv4, 128 for IPv6), the 32 blocks of a word in one
+call, all inside the JVM; the inverse calls AES bit by bit. The pad
+is a constant expression that Catalyst folds. Run it on distinct addresses
+where these can be had.
 
 A key is 32 bytes, which then are literals of the plan, or a ``KeyFile``: the executors read
 the file, and plans and event logs name its path only.
@@ -121,48 +122,42 @@ def _mixed(addr_w: str, pad_w: str, r: str) -> str:
     return f"(({addr_w} & {m}) | ({pad_w} & ({_WORD} - {m})))"
 
 
-def _fold(bits: str, offset: int) -> str:
-    acc, b = ip.fresh("acc"), ip.fresh("b")
-    return f"aggregate(slice({bits}, {offset}, 32), CAST(0 AS BIGINT), ({acc}, {b}) -> {acc} * 2 + {b})"
+def _pads(before: str, word: str, j: int, key: Key) -> str:
+    """The 32 pad bits of an address's word ``j`` as a bigint: the blocks of all of them pass through AES in one call.
+
+    ``before``: the hex digits of the words before it.
+    """
+    i, acc, k = ip.fresh("i"), ip.fresh("acc"), ip.fresh("k")
+
+    def encrypted(after: str) -> str:
+        block = f"concat({before}, {ip.long_to_hex_sql(_mixed(word, _pad_word(key, j), i), 8)}, {after})"
+        return f"aes_encrypt(unhex(array_join(transform(sequence(0, 31), {i} -> {block}), '')), {_aes_key(key)}, 'ECB', 'PKCS')"
+
+    def top_bits(e: str) -> str:
+        bit = f"CAST(substring({e}, 16 * {k} + 1, 1) >= X'80' AS BIGINT)"
+        return f"aggregate(sequence(0, 31), CAST(0 AS BIGINT), ({acc}, {k}) -> {acc} * 2 + {bit})"
+
+    return ip.let_sql(ip.let_sql(pad_hex_sql(key, j + 1), encrypted), top_bits)
 
 
 def cryptopan_v4_sql(addr: str, key: Key) -> str:
     """bigint IPv4 address -> bigint pseudonym."""
     key = _check_key(key)
-    pad_rest = pad_hex_sql(key, 1)
-
-    def body(a):
-        i = ip.fresh("i")
-        first = _mixed(a, _pad_word(key, 0), i)
-        bits = f"transform(sequence(0, 31), {i} -> {top_bit_sql(f'concat({ip.long_to_hex_sql(first, 8)}, {pad_rest})', key)})"
-        return f"{a} ^ {_fold(bits, 1)}"
-
-    return ip.let_sql(addr, body)
+    return ip.let_sql(addr, lambda a: f"{a} ^ {_pads(repr(''), a, 0, key)}")
 
 
 def cryptopan_v6_sql(addr_hex: str, key: Key) -> str:
     """32-hex-digit IPv6 address -> 32-hex-digit pseudonym."""
     key = _check_key(key)
-    p = [_pad_word(key, j) for j in range(4)]
-
-    def body(words):
-        a = [f"{words}[{j}]" for j in range(4)]
-        i = ip.fresh("i")
-        w, r = f"({i} div 32)", f"({i} % 32)"
-        block = [
-            f"CASE WHEN {j} < {w} THEN {a[j]} WHEN {j} > {w} THEN {p[j]} ELSE {_mixed(a[j], p[j], r)} END"
-            for j in range(4)
-        ]
-        block_hex = "concat(" + ", ".join(ip.long_to_hex_sql(x, 8) for x in block) + ")"
-        bits = f"transform(sequence(0, 127), {i} -> {top_bit_sql(block_hex, key)})"
 
-        def xor(b):
-            return "concat(" + ", ".join(ip.long_to_hex_sql(f"{a[j]} ^ {_fold(b, 1 + 32 * j)}", 8) for j in range(4)) + ")"
+    def body(h):
+        def word(j):
+            own = ip.hex_to_long_sql(f"substr({h}, {1 + 8 * j}, 8)")
+            return ip.let_sql(own, lambda a: ip.long_to_hex_sql(f"{a} ^ {_pads(f'substr({h}, 1, {8 * j})', a, j, key)}", 8))
 
-        return ip.let_sql(bits, xor)
+        return "concat(" + ", ".join(word(j) for j in range(4)) + ")"
 
-    words = "array(" + ", ".join(ip.hex_to_long_sql(f"substr({addr_hex}, {1 + 8 * j}, 8)") for j in range(4)) + ")"
-    return ip.let_sql(words, body)
+    return ip.let_sql(addr_hex, body)
 
 
 def _recover(word: str, block_hex, key: Key) -> str:
@@ -229,8 +224,9 @@ def cryptopan_sql(x: str, key: Key) -> str:
     """Address text of either family -> pseudonym text of the same family (NULL if not an address)."""
 
     def body(t):
-        v6 = ip.hex_to_v6_sql(cryptopan_v6_sql(ip.v6_to_hex_sql(t), key))
-        v4 = ip.long_to_v4_sql(cryptopan_v4_sql(ip.v4_to_long_sql(t), key))
+        # each pseudonym is named once: what follows repeats its input
+        v6 = ip.let_sql(cryptopan_v6_sql(ip.v6_to_hex_sql(t), key), ip.hex_to_v6_sql)
+        v4 = ip.let_sql(cryptopan_v4_sql(ip.v4_to_long_sql(t), key), ip.long_to_v4_sql)
         return f"CASE WHEN {ip.is_v6_sql(t)} THEN {v6} WHEN {ip.v4_to_long_sql(t)} IS NOT NULL THEN {v4} END"
 
     return ip.let_sql(x, body)

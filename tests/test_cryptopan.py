@@ -78,3 +78,8 @@ def test_inverse_gives_known_answers_back(spark):
     first = cp.cryptopan_inverse("ip", SAMPLE_KEY)
     known = spark.createDataFrame([("135.242.180.132",), ("134.136.186.123",)], "ip string").select(first.alias("o"))
     assert [r.o for r in known.collect()] == ["128.11.68.132", "129.118.74.4"]
+
+
+def test_one_cipher_call_for_each_word():
+    text = cp.cryptopan_sql("ip", bytes(range(32)))
+    assert text.count("aes_encrypt") == 5  # one for IPv4, four for IPv6
