@@ -494,14 +494,17 @@ def _across_shards(sent: DataFrame, a: Anchoring, n_shards: int, merge: int) ->
             rec = np.concatenate([p[0].reshape(-1, a.span) for p in parts])
             doc, mask, pos = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
             gone, left = merge_strings(rec, mask, doc, a.width)
+            made = []  # rows of all shards, which are one table: there are as many as shards
             for i, (lo, hi) in enumerate(zip([0, *ends], ends)):
                 k, o = np.nonzero((gone[lo:hi, None] >> np.arange(a.reach + 1, dtype=np.uint64)) & np.uint64(1))
-                done = pack_arrays(pos[lo:hi][k] - o)
-                out.append(pa.table([pa.array([-1], pa.int32()), pa.array([shard[i]]), pa.nulls(1, pa.binary()), pa.array([done], pa.binary())], _SENT))
+                if len(k):
+                    made.append((-1, shard[i], None, pack_arrays(pos[lo:hi][k] - o)))
                 more = lo + np.flatnonzero(left[lo:hi])
                 if len(more) and not last:
-                    b = np.full(len(more), bucket)
-                    out.append(pa.Table.from_batches([_pack_strings(b, shard[i], rec[more], doc[more], left[more], pos[more], _SENT)]))
+                    made.append((bucket, shard[i], pack_arrays(rec[more], doc[more], left[more], pos[more]), None))
+            columns = zip(*made) if made else [()] * 4
+            types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            out.append(pa.table([pa.array(c, t) for c, t in zip(columns, types)], _SENT))
         return pa.concat_tables(out)
 
     def level(last: bool):

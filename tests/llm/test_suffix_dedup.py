@@ -112,3 +112,38 @@ def test_text_longer_than_a_shard(spark):
     rows = [(1, "x" + long[70_000:70_080] + "y"), (2, long), (3, long[150_000:] + "z"), (4, "q")]
     got = {r.doc_id: r for r in sd.repeat_digests(spark.createDataFrame(rows, "doc_id long, text string"), shard_bytes=4096).collect()}
     assert (got[1].n_removed, got[2].n_removed, got[2].n_spans, got[3].n_removed, got[4].n_removed) == (0, 80, 1, 50_000, 0)
+
+
+def test_a_merge_makes_one_table_of_all_shards(spark, monkeypatch):
+    """As many rows as shards meet in a bucket; a table for each of them would make the work quadratic in the shards."""
+    made, table_of = [], sd.pa.table
+    a = sd.Anchoring(50)
+
+    class Grouped:
+        def withColumn(self, *args):
+            return self
+
+        def groupBy(self, *args):
+            return self
+
+        def applyInArrow(self, run, schema):
+            made.append(run)
+            return self
+
+        def filter(self, *args):
+            return self
+
+        select = filter
+
+    sd._across_shards(Grouped(), a, 40, 256)
+    rec = np.tile(np.arange(a.span, dtype=np.uint8), (1, 1))
+    mask = np.array([1], "<u8")
+    blobs = [sd.pack_arrays(rec, np.array([d], "<i8"), mask, np.array([100 + d], "<i8")) for d in range(40)]
+    rows = sd.pa.table({"bucket": sd.pa.array([3] * 40, sd.pa.int32()), "shard": sd.pa.array(range(40), sd.pa.int64()),
+                        "strings": sd.pa.array(blobs, sd.pa.binary()), "gone": sd.pa.nulls(40, sd.pa.binary())})
+    calls = []
+    monkeypatch.setattr(sd.pa, "table", lambda *x: calls.append(1) or table_of(*x))
+    out = made[0](rows)
+    assert len(calls) == 1
+    gone = {s: sd.unpack_arrays(g, "<i8")[0].tolist() for s, g in zip(out["shard"].to_pylist(), out["gone"].to_pylist()) if g}
+    assert gone == {d: [100 + d] for d in range(1, 40)}  # all but the smallest document's
