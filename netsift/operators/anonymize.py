@@ -2,12 +2,12 @@
 
 Plan, for ``flows`` and anonymized columns ``cols``:
 
-1. ``sensitive_ips``: explode the address cells, keep those the policy marks
-   sensitive (a map-side predicate or broadcast join), and count them per
-   address. The count is a partial (map-side) aggregation, so a hot address
-   costs one row per task, not one per flow.
+1. ``sensitive_ips``: explode the address cells, count them per address, and
+   keep the addresses the policy marks sensitive. The count is a partial
+   (map-side) aggregation, so a hot address costs one row per task, not one per
+   flow, and the policy is asked once for each address.
 2. ``build_mapping``: one Crypto-PAn pseudonym per distinct address. This is
-   the only expensive expression (32 or 128 AES calls) and it runs once per
+   the only expensive expression (32 or 128 AES blocks) and it runs once per
    address, not per cell. The table is reversible (``deanonymize``).
 3. ``apply_mapping``: rewrite each column with a left join on the trimmed
    cell. The mapping holds at most one row per address covered by the
@@ -51,20 +51,17 @@ def sensitive_ips(
     plan: str = "auto",
 ) -> DataFrame:
     """Distinct sensitive addresses with their cell counts: ``original_ip, family, n_cells``."""
-    cells = address_cells(df, cols)
-    marked = pol.match_policy(cells, "ip", policy, plan=plan, out="_sensitive")
-    return (
-        marked.filter(F.col("_sensitive"))
-        .groupBy("ip")
-        .agg(F.count(F.lit(1)).alias("n_cells"))
-        .select(F.col("ip").alias("original_ip"), ipaddr.ip_family("ip").alias("family"), "n_cells")
-    )
+    counted = address_cells(df, cols).groupBy("ip").agg(F.count(F.lit(1)).alias("n_cells"))
+    marked = pol.match_policy(counted, "ip", policy, plan=plan, out="_sensitive")
+    # the condition names the count, so it stays above the aggregation: the policy is asked once an address
+    sensitive = marked.filter(F.when(F.col("n_cells") > 0, F.col("_sensitive")))
+    return sensitive.select(F.col("ip").alias("original_ip"), ipaddr.ip_family("ip").alias("family"), "n_cells")
 
 
 def build_mapping(ips: DataFrame, key: cp.Key, column: str = "original_ip", partitions: int | None = None) -> DataFrame:
     """Distinct addresses -> ``original_ip, obfuscated_ip, family, n_cells`` (A3, A4).
 
-    Crypto-PAn costs 32 or 128 AES calls per row, while the distinct rows are
+    Crypto-PAn costs 32 or 128 AES blocks per row, while the distinct rows are
     few bytes: left to adaptive execution, the shuffle after the distinct step
     would be coalesced by size into a handful of partitions and the cipher work
     would run on a handful of cores. The rows are therefore hash-partitioned
@@ -82,6 +79,31 @@ def build_mapping(ips: DataFrame, key: cp.Key, column: str = "original_ip", part
     )
 
 
+def policy_mapping(policy: pol.Policy, key: cp.Key, limit: int = MAX_BROADCAST_MAPPING_ROWS) -> DataFrame | None:
+    """``key, obfuscated_ip`` of every address that the policy covers, by hex digits; None if there are more than ``limit``.
+
+    With it ``apply_policy_mapping`` needs no cipher, no state and no pass over the rows before it, so a stream can use it.
+    """
+    covered = pol.covered_addresses(policy, limit)
+    if covered is None:
+        return None
+    rows = cp.with_key(covered.repartition(covered.sparkSession.sparkContext.defaultParallelism, "key"), key)
+    v4 = ipaddr.let_sql(cp.cryptopan_v4_sql(ipaddr.hex_to_long_sql("key"), key), ipaddr.long_to_v4_sql)
+    v6 = ipaddr.let_sql(cp.cryptopan_v6_sql("key", key), ipaddr.hex_to_v6_sql)
+    return materialize(rows.selectExpr("key", f"CASE WHEN family = {ipaddr.V4} THEN {v4} ELSE {v6} END AS obfuscated_ip"))
+
+
+def apply_policy_mapping(df: DataFrame, cols: Sequence[str], mapping: DataFrame) -> DataFrame:
+    """``apply_mapping`` with the mapping of all addresses of a policy: a cell whose address is in it gets the pseudonym."""
+    out = df
+    for c in cols:
+        mc = F.broadcast(mapping.select(F.col("key").alias(f"_{c}_key"), F.col("obfuscated_ip").alias(f"_{c}_obf")))
+        # the keys of the families differ in length
+        out = out.join(mc, ipaddr.ip_key(c) == F.col(f"_{c}_key"), "left")
+        out = out.withColumn(c, F.coalesce(f"_{c}_obf", c)).drop(f"_{c}_key", f"_{c}_obf")
+    return out
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once and cut lineage with a reliable checkpoint in the cluster's checkpoint folder.
 
@@ -238,12 +260,11 @@ def deanonymize_by_key(
     flagged = all(f"{c}_anonymized" in df.columns for c in cols)
     if not flagged and policy is None:
         raise ValueError("records without flags need the policy, to tell pseudonyms from clear addresses")
-    parts = [df.filter(F.col(f"{c}_anonymized")) if flagged else df for c in cols]
-    cells = None
-    for part, c in zip(parts, cols):
-        own = part.select(ipaddr.java_trim(c).alias("obfuscated_ip"))
-        cells = own if cells is None else cells.unionByName(own)
-    found = materialize(inverse_mapping(cells.filter("obfuscated_ip is not null").distinct(), key).filter("original_ip is not null"))
+    texts = [F.when(F.col(f"{c}_anonymized"), ipaddr.java_trim(c)) if flagged else ipaddr.java_trim(c) for c in cols]
+    cells = df.select(F.explode(F.array(*texts)).alias("obfuscated_ip")).filter("obfuscated_ip is not null")
+    # Written before they are decrypted: a filter on the address would be pushed below the distinct step, and every cell decrypted.
+    pseudonyms = materialize(cells.distinct())
+    found = materialize(inverse_mapping(pseudonyms, key)).filter("original_ip is not null")
     if not flagged:
         found = pol.match_policy(found, "original_ip", policy, out="_sensitive").filter("_sensitive").drop("_sensitive")
     back = found.select(F.col("obfuscated_ip").alias("original_ip"), F.col("original_ip").alias("obfuscated_ip"))

@@ -291,6 +291,24 @@ def wide_intervals(merged: DataFrame) -> DataFrame:
     return merged.filter(f"{hi_b} - {lo_b} >= {MAX_BUCKETS_PER_INTERVAL}")
 
 
+def covered_addresses(policy: Policy, limit: int) -> DataFrame | None:
+    """``family, key`` (hex) of every address that the policy covers; None if there are more than ``limit``.
+
+    The intervals of a small policy are on the driver, where they are counted; its addresses are made in Spark. Intervals
+    that differ above the last 60 bits count as too large.
+    """
+    low, n = 15, 0
+    for r in policy.rows if policy.rows is not None else ():
+        n += int(r.hi, 16) - int(r.lo, 16) + 1
+        if r.hi[:-low] != r.lo[:-low]:
+            return None
+    if policy.rows is None or n > limit:
+        return None
+    start, end = (ipaddr.hex_to_long_sql(f"right({x}, least({low}, length({x})))") for x in ("lo", "hi"))
+    each = policy.intervals.selectExpr("family", f"left(lo, greatest(length(lo) - {low}, 0)) AS above", "length(lo) AS width", f"explode(sequence({start}, {end})) AS n")
+    return each.selectExpr("family", "concat(above, lower(lpad(hex(n), width - length(above), '0'))) AS key")
+
+
 def address_key(df: DataFrame, column: str, prefix: str = "_") -> DataFrame:
     """Add ``{prefix}{column}_fam`` and ``{prefix}{column}_key`` (hex) for an address column."""
     fam = ipaddr.ip_family(column)

@@ -12,8 +12,9 @@ Two ways to run the three outputs:
   only what is committed, so a reader sees all outputs of a batch or none; a
   retried batch writes a new attempt, and a committed one is not written again.
 * ``start_netflow_queries``: three independent streaming queries, each with
-  its own checkpoint folder (disjoint), pseudonyms computed inline for
-  sensitive cells, which needs no state and no join.
+  its own checkpoint folder (disjoint), without state. The pseudonyms of all
+  addresses of a small policy are made once and broadcast; under a policy that
+  covers more addresses than that they are computed inline for sensitive cells.
 
 Records that cannot be parsed go to a ``rejects`` output in both forms.
 """
@@ -70,6 +71,8 @@ def netflow_outputs(
         pass
     elif mapping is not None:
         anonymized = anon.apply_mapping(whole, cols, mapping, policy=policy)
+    elif (covered := anon.policy_mapping(policy, key) if key is not None else None) is not None:
+        anonymized = anon.apply_policy_mapping(whole, cols, covered)
     else:
         anonymized = anon.apply_mapping(whole, cols, None, policy=policy, key=key, strategy="inline")
     return {

@@ -88,3 +88,53 @@ def test_clear_cell_that_equals_a_pseudonym_stays(spark, flows, policy):
     masked = anon.apply_mapping(flows, ["sa", "da"], mapping, policy=policy, flag=True)
     back = anon.deanonymize(masked, ["sa", "da"], mapping).select("k", "sa", "da")
     assert sorted(back.collect()) == sorted(flows.select("k", F.trim("sa").alias("sa"), "da").collect())
+
+
+def _flows(spark, cells):
+    return spark.createDataFrame(cells, "k bigint, sa string, da string")
+
+
+CELLS = [(1, "10.10.5.7", "fddd:be2e:c6ba::0"), (2, " 10.10.5.7 ", "8.8.8.8"), (3, None, "FDDD:be2e:c6ba::1"), (4, "10.10.5.0", "no address"), (5, "10.10.5.7", "")]
+
+
+def test_policy_is_asked_once_an_address(spark):
+    policy = pol.read_policy(spark, lines=("10.10.5.0/24", "fddd:be2e:c6ba::/116"))
+    ips = anon.sensitive_ips(_flows(spark, CELLS), ["sa", "da"], policy)
+    plan = ips._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and "RLIKE" not in plan.split("Aggregate", 1)[1]
+    assert {(r.original_ip, r.n_cells) for r in ips.collect()} == {("10.10.5.7", 3), ("fddd:be2e:c6ba::0", 1), ("FDDD:be2e:c6ba::1", 1)}
+
+
+def test_only_distinct_pseudonyms_are_decrypted(spark, monkeypatch):
+    policy = pol.read_policy(spark, lines=("10.10.5.0/24", "fddd:be2e:c6ba::/116"))
+    df, seen, inverse = _flows(spark, CELLS), [], anon.inverse_mapping
+
+    def watched(pseudonyms, key, *args):
+        seen.append(pseudonyms._jdf.queryExecution().optimizedPlan().toString())
+        return inverse(pseudonyms, key, *args)
+
+    monkeypatch.setattr(anon, "inverse_mapping", watched)
+    for flag in (True, False):
+        mapping = anon.materialize(anon.build_mapping(anon.sensitive_ips(df, ["sa", "da"], policy), SAMPLE_KEY))
+        hidden = anon.apply_mapping(df, ["sa", "da"], mapping, unique=True, flag=flag)
+        back = anon.deanonymize_by_key(hidden, ["sa", "da"], key=SAMPLE_KEY, policy=None if flag else policy)
+        got = {r.k: (r.sa, r.da) for r in back.collect()}
+        assert got == {1: ("10.10.5.7", "fddd:be2e:c6ba::"), 2: ("10.10.5.7", "8.8.8.8"), 3: (None, "fddd:be2e:c6ba::1"),
+                       4: ("10.10.5.0", "no address"), 5: ("10.10.5.7", "")}
+    assert len(seen) == 2 and not any("Aggregate" in plan for plan in seen)  # written rows: no filter can pass below the distinct step
+
+
+def test_mapping_of_a_whole_policy(spark):
+    policy = pol.read_policy(spark, lines=("10.10.5.4/30", "10.10.6.9", "fddd:be2e:c6ba::fffe,fddd:be2e:c6ba::1:1"))
+    mapping = anon.policy_mapping(policy, SAMPLE_KEY)
+    assert mapping.count() == 2 + 1 + 4 and mapping.filter("obfuscated_ip is null").count() == 0
+    cells = [(i, a, b) for i, (a, b) in enumerate([
+        ("10.10.5.4", "fddd:be2e:c6ba::fffe"), (" 10.10.5.5", "FDDD:be2e:c6ba:0::ffff "), ("10.10.5.6", "fddd:be2e:c6ba::1:1"),
+        ("10.10.5.7", "fddd:be2e:c6ba::1:2"), ("10.10.6.9", None), (None, ""), ("10.10.6.10", "x")])]
+    df = _flows(spark, cells)
+    want = anon.apply_mapping(df, ["sa", "da"], None, policy=policy, key=SAMPLE_KEY, strategy="inline")
+    got = anon.apply_policy_mapping(df, ["sa", "da"], mapping)
+    assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert anon.policy_mapping(policy, SAMPLE_KEY, limit=6) is None
+    wide = pol.read_policy(spark, lines=("2001:db8::/32",))
+    assert anon.policy_mapping(wide, SAMPLE_KEY) is None
