@@ -22,13 +22,33 @@ from netsift.streaming import netflow as snf
 from netsift.streaming import syslog as ssl
 
 FILES_PER_BATCH = 2
+#: Rows, and bytes of text, in a file of a source: files grow in number with the data, not in size.
+FILE_ROWS, FILE_BYTES = 100_000, 64 << 20
 
 
-def _flow_source(spark, sf_dir):
+def _n_files(table, least, text=None):
+    """How many files a source of a table's rows has, ``least`` at least."""
+    size = F.coalesce(F.sum(F.octet_length(text)) if text else F.lit(0), F.lit(0))
+    n, size = table.agg(F.count(F.lit(1)), size).first()
+    return max(least, -(-n // FILE_ROWS), -(-size // FILE_BYTES))
+
+
+def _files_per_batch(spark):
+    """A micro-batch has two files for each core, so that none waits while a batch is read."""
+    return max(FILES_PER_BATCH, 2 * spark.sparkContext.defaultParallelism)
+
+
+def _source(spark, env, name, n_files):
     """Envelope rows written as parquet files, then opened as a stream (several micro-batches)."""
-    path = scratch_path(spark, "flow-source")
-    fixtures.flow_envelope(spark, sf_dir).repartition(4).write.parquet(path)
-    return read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(FILES_PER_BATCH)})
+    path = scratch_path(spark, name)
+    env.repartition(n_files).write.parquet(path)
+    batch = min(-(-n_files // 2), _files_per_batch(spark))
+    return read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(batch)})
+
+
+def _flow_source(spark, sf_dir):
+    n_files = _n_files(fixtures.table(spark, sf_dir, "events"), 2 * FILES_PER_BATCH)
+    return _source(spark, fixtures.flow_envelope(spark, sf_dir), "flow-source", n_files)
 
 
 def _run_fanout(spark, sf_dir):
@@ -102,9 +122,8 @@ def stream_syslog_lines(spark, sf_dir):
     """Log lines scored by a fitted model on a stream; the output records."""
     p = parsed_logs(spark, sf_dir)
     model = sl.fit_tfidf(p)
-    src_path = scratch_path(spark, "syslog-source")
-    fixtures.syslog_envelope(spark, sf_dir).repartition(4).write.parquet(src_path)
-    source = read_envelope(spark, "parquet", streaming=True, path=src_path, options={"maxFilesPerTrigger": "2"})
+    n_files = _n_files(fixtures.table(spark, sf_dir, "documents"), 2 * FILES_PER_BATCH, "text")
+    source = _source(spark, fixtures.syslog_envelope(spark, sf_dir), "syslog-source", n_files)
     out = scratch_path(spark, "syslog-out")
     lines = ssl.syslog_lines(source, model, keep=("offset",))
     q = (lines.writeStream.format("parquet").option("path", out)
@@ -134,9 +153,11 @@ def _run_twice(spark, sf_dir):
     path, root, store = (scratch_path(spark, x) for x in ("flow-source", "flow-out", "mapping-store"))
     env = fixtures.flow_envelope(spark, sf_dir)
     kept = MappingStore(spark, store, SAMPLE_KEY, n_buckets=4)
+    # each run writes so many files, which are one batch
+    n_files = _n_files(fixtures.table(spark, sf_dir, "events"), FILES_PER_BATCH)
     for run, part in (("0", "offset % 5 < 2"), ("1", "offset % 5 >= 2")):
-        env.filter(part).repartition(2).write.mode("append").parquet(path)
-        source = read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(FILES_PER_BATCH)})
+        env.filter(part).repartition(n_files).write.mode("append").parquet(path)
+        source = read_envelope(spark, "parquet", streaming=True, path=path, options={"maxFilesPerTrigger": str(n_files)})
         q = snf.start_netflow_fanout(source, root=root, checkpoint=scratch_path(spark, "flow-ckpt"), policy=pol.read_policy(spark, lines=POLICY),
                                      key=SAMPLE_KEY, available_now=True, run=run, resume=run != "0", store=kept)
         snf.await_all(spark, [q])

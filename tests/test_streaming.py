@@ -175,3 +175,24 @@ def test_snapshots(spark, tmp_path):
     assert read_snapshot(spark, gap).count() == 299
     with pytest.raises(ValueError, match="holds 199 of the 200"):
         read_snapshot(spark, gap, fail_on_data_loss=True)
+
+
+def test_files_of_a_source_grow_in_number(spark):
+    from netsift.plans.registry import load_all
+
+    load_all()
+    from netsift.plans import streaming_queries as sq
+
+    assert sq._n_files(spark.range(10), 4) == 4
+    assert sq._n_files(spark.range(0), 4, "cast(id as string)") == 4
+    assert sq._n_files(spark.range(10 * sq.FILE_ROWS + 1), 4) == 11
+    assert sq._n_files(spark.range(5).selectExpr(f"repeat('x', {sq.FILE_BYTES}) AS t"), 2, "t") == 5
+
+
+def test_streams_under_a_small_policy_call_no_cipher(spark):
+    from netsift.operators import flow as flowop
+
+    policy = pol.read_policy(spark, lines=POLICY)
+    outs = snf.netflow_outputs(flowop.parse_flow(fixtures.flow_envelope(spark, SMALL)), policy=policy, key=SAMPLE_KEY)
+    for name in ("anonymized", "both"):
+        assert "aes_encrypt" not in outs[name]._jdf.queryExecution().optimizedPlan().toString()
