@@ -23,7 +23,7 @@ from netsift.streaming import syslog as ssl
 
 FILES_PER_BATCH = 2
 #: Rows, and bytes of text, in a file of a source: files grow in number with the data, not in size.
-FILE_ROWS, FILE_BYTES = 100_000, 64 << 20
+FILE_ROWS, FILE_BYTES = 50_000, 64 << 20
 
 
 def _n_files(table, least, text=None):
@@ -34,8 +34,8 @@ def _n_files(table, least, text=None):
 
 
 def _files_per_batch(spark):
-    """A micro-batch has two files for each core, so that none waits while a batch is read."""
-    return max(FILES_PER_BATCH, 2 * spark.sparkContext.defaultParallelism)
+    """A micro-batch has four files for each core, so that few cores wait for its last ones."""
+    return max(FILES_PER_BATCH, 4 * spark.sparkContext.defaultParallelism)
 
 
 def _source(spark, env, name, n_files):
